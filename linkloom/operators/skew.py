@@ -39,9 +39,11 @@ def skew_join(
         raise ValueError(f"cannot salt a {how} join")
     hot = F.broadcast(hot_keys(key_counts(left, key) if counts is None else counts, key, slices, min_rows))
     salts = F.coalesce("n_salts", F.lit(1))
+    # NULL keys match nothing, so any salt will do: spread them too.
+    left_salts = F.when(F.col(key).isNull(), F.lit(slices)).otherwise(salts)
     salted_left = (
         left.join(hot, key, "left")
-        .withColumn("_salt", F.pmod(F.xxhash64(spread), salts).cast("int"))
+        .withColumn("_salt", F.pmod(F.xxhash64(spread), left_salts).cast("int"))
         .drop("n_salts")
     )
     salted_right = (
