@@ -36,7 +36,8 @@ def clean_html(html: Column) -> Column:
     Pages that differ only in removed elements or in white space around tags get equal text.
     """
     kept = F.regexp_replace(html, _DROPPED, "$1")
-    return F.btrim(F.regexp_replace(F.regexp_replace(kept, _ANY_TAG, "\n$1\n"), r"\n\n+", "\n"), F.lit("\n"))
+    lines = F.regexp_replace(kept, _ANY_TAG, "\n$1\n")
+    return F.btrim(F.replace(lines, F.lit(">\n\n<"), F.lit(">\n<")), F.lit("\n"))
 
 
 def content_hash(text: Column) -> Column:

@@ -190,4 +190,6 @@ def normalize_links(df: DataFrame, base: str = "base", link: str = "link", out:
         .when((c("_path") == "") & (c("_params") == ""), F.concat(c("_root"), c("_dir")))
         .otherwise(F.concat(c("_root"), with_params))
     )
-    return df.withColumn("_resolved", resolved).select(*keep, canonical(c("_resolved")).alias(out))
+    # Exploding a one-element array keeps later filters on ``out`` from being pushed down through all
+    # the steps above, which would write the whole chain out once per use.
+    return df.withColumn("_resolved", resolved).select(*keep, F.explode(F.array(canonical(c("_resolved")))).alias(out))

@@ -35,13 +35,18 @@ def _tidy(path: Column) -> Column:
     return path
 
 
-def tested_path(url: Column) -> Column:
-    """The text robots prefixes are compared with: the path alone, uniformly quoted, at least ``/``."""
-    path = urls.path_of(url)
+def with_tested_path(df: DataFrame, url: str, out: str) -> DataFrame:
+    """Add the text robots prefixes are compared with: the path alone, uniformly quoted, at least ``/``."""
+    c = F.col
+    keep = df.columns
+    df = df.withColumn("_raw_path", urls.path_of(c(url)))
+    df = df.withColumn("_odd", ~c("_raw_path").rlike(r"^(?!//)" + _PLAIN_PATH[1:]))
     # The decoded path is read as a URL once more, so it can lose a scheme or authority.
-    again = F.regexp_replace(unquote(path), r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/?#]*)?", "")
-    quoted = F.when(path.rlike(r"^(?!//)" + _PLAIN_PATH[1:]), path).otherwise(quote(_tidy(again)))
-    return F.when(quoted == "", "/").otherwise(quoted)
+    again = F.regexp_replace(unquote(c("_raw_path")), r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/?#]*)?", "")
+    df = df.withColumn("_again", F.when(c("_odd"), _tidy(again)))
+    quoted = F.when(c("_odd"), quote(c("_again"))).otherwise(c("_raw_path"))
+    df = df.withColumn("_quoted", quoted)
+    return df.select(*keep, F.when(c("_quoted") == "", "/").otherwise(c("_quoted")).alias(out))
 
 
 def one_robots_per_domain(sites: DataFrame) -> DataFrame:
@@ -145,7 +150,7 @@ def robots_allowed(
     links: DataFrame, rules: DataFrame, link: str = "link", slices: int = SLICES, min_rows: int = MIN_HOT_ROWS,
 ) -> DataFrame:
     """``links`` with a boolean ``allowed``. Rules of a domain form one row, so links never multiply."""
-    keyed = links.withColumns({"_domain": urls.domain_of(F.col(link)), "_tested": tested_path(F.col(link))})
+    keyed = with_tested_path(links, link, "_tested").withColumn("_domain", urls.domain_of(F.col(link)))
     lists = rule_lists(rules).withColumnRenamed("domain", "_domain")
     joined = skew_join(keyed, lists, "_domain", F.col(link), slices=slices, min_rows=min_rows)
     return joined.withColumn("allowed", verdict(F.col("_tested"), F.col("rules"))).select(*links.columns, "allowed")

@@ -143,8 +143,10 @@ def _new_sites(state: State, inputs: Inputs, claimed: DataFrame) -> tuple[DataFr
     asked = materialize(
         missing.join(inputs.robots.select("domain", "robots_content"), "domain", "left"), "asked"
     )
-    listed = robots.robots_sitemaps(asked)
-    located = sitemaps.sitemap_urls(inputs.sitemaps)
+    listed = materialize(robots.robots_sitemaps(asked), "listed")
+    # Only the files of sites seen first now are parsed.
+    files = known_rows(inputs.sitemaps, small(listed.select("sitemap_url").distinct()), ["sitemap_url"])
+    located = materialize(sitemaps.sitemap_urls(files), "located")
     content = sitemaps.sitemap_content(asked, listed, located)
     rows = site_append(state.site, asked.join(content, "domain", "left"))
     return materialize(rows, "sites"), listed, located
@@ -211,9 +213,9 @@ def _sitemap_links(
         F.min(F.struct("accessed_time", F.col("id").alias("page_id"))).alias("_finder")
     ).select("domain", "_finder.page_id", "_finder.accessed_time")
     rows = sitemaps.sitemap_frontier(listed, located, rules, SEED_RELEVANCE).filter(F.col("url").isNotNull())
-    return rows.join(finders, "domain").select(
+    return materialize(rows.join(finders, "domain").select(
         "page_id", "accessed_time", "url", "relevance", F.lit(0).alias("step")
-    )
+    ), "sitemap-links")
 
 
 def _page_data(state: State, routed: DataFrame) -> DataFrame:
