@@ -12,26 +12,37 @@ from linkloom.functions import urls
 def link_attributes(pages: DataFrame, html: str = "html_content") -> DataFrame:
     """Explode pages into (…, kind, value): ``a href``, any ``onclick`` and ``img src`` values.
 
-    Repeated tags of one page are dropped inside the row, before anything is exploded. The page
-    text itself does not travel on.
+    Each value comes once per page and kind. A page is one row, so repeats are dropped inside it,
+    before anything is exploded or shuffled. The page text itself does not travel on.
     """
     keep = [name for name in pages.columns if name != html]
-    tags = pages.select(*keep, F.explode(F.array_distinct(H.start_tags(F.col(html)))).alias("_tag"))
-    tags = tags.withColumn("_element", H.tag_name(F.col("_tag")))
-    tags = tags.filter(F.col("_element").isin("a", "img") | F.lower("_tag").contains("onclick"))
-    attributes = tags.withColumn("_attributes", H.attributes(F.col("_tag")))
+    parts = pages.select(*keep, F.array_distinct(H.start_tags(F.col(html))).alias("_tags")).select(
+        *keep, F.array_distinct(F.flatten(F.transform(_named_tags("_tags"), _wanted_values))).alias("_found")
+    )
+    return parts.select(*keep, F.inline("_found"))
+
+
+def _named_tags(tags: str) -> Column:
+    """Tags that can hold a link, as (element, attributes)."""
+    may_link = F.filter(tags, lambda tag: tag.rlike(r"(?i)^<(?:a|img)[\s/>]|onclick"))
+    return F.transform(may_link, lambda tag: F.struct(
+        H.tag_name(tag).alias("element"), H.attributes(tag).alias("attributes")
+    ))
+
+
+def _wanted_values(tag: Column) -> Column:
+    """(kind, value) of the link attributes of one tag. The last of repeated attributes counts."""
 
     def value(name: str) -> Column:
-        # The last of repeated attributes counts.
-        named = F.filter("_attributes", lambda attribute: H.attribute_name(attribute) == name)
+        named = F.filter(tag["attributes"], lambda attribute: H.attribute_name(attribute) == name)
         return H.attribute_value(F.try_element_at(named, F.lit(-1)))
 
-    found = attributes.select(*keep, F.inline(F.array(
-        F.struct(F.lit("href").alias("kind"), F.when(F.col("_element") == "a", value("href")).alias("value")),
+    values = F.array(
+        F.struct(F.lit("href").alias("kind"), F.when(tag["element"] == "a", value("href")).alias("value")),
         F.struct(F.lit("onclick").alias("kind"), value("onclick").alias("value")),
-        F.struct(F.lit("src").alias("kind"), F.when(F.col("_element") == "img", value("src")).alias("value")),
-    )))
-    return found.filter(href_filter(F.col("kind"), F.col("value")))
+        F.struct(F.lit("src").alias("kind"), F.when(tag["element"] == "img", value("src")).alias("value")),
+    )
+    return F.filter(values, lambda found: href_filter(found["kind"], found["value"]))
 
 
 def extract_links(pages: DataFrame, url: str = "url", html: str = "html_content") -> DataFrame:

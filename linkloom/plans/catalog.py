@@ -41,10 +41,24 @@ def site_append(spark, sf):
     return appends.site_append(schemas.empty(spark, "site"), new)
 
 
+def _links(spark, sf) -> DataFrame:
+    """Links of all pages, written once for queries that read them more than once."""
+    return materialize(D.page_links(spark, sf), "links")
+
+
+def _scored(spark, sf) -> DataFrame:
+    return materialize(D.scored_links(spark, sf), "scored")
+
+
+def _known(spark, sf) -> DataFrame:
+    return materialize(D.known_page(spark, sf), "known")
+
+
 def _single_inserts(spark, sf):
     batch = D.page_links(spark, sf).select("page_id", F.col("link").alias("url"))
-    both = batch.unionByName(D.known_page(spark, sf).select(F.col("id").alias("page_id"), "url"))
-    return frontier.frontier_append(D.known_page(spark, sf), both, F.struct("page_id", "url"))
+    known = _known(spark, sf)
+    both = materialize(batch.unionByName(known.select(F.col("id").alias("page_id"), "url")), "singles")
+    return frontier.frontier_append(known, both, F.struct("page_id", "url"))
 
 
 @query
@@ -271,17 +285,16 @@ def access_join_like(spark, sf):
 
 @query
 def url_to_id(spark, sf):
-    scored = D.scored_links(spark, sf).select(F.col("page_id").alias("from_page"), "url")
-    known = D.known_page(spark, sf)
+    scored, known = _scored(spark, sf), _known(spark, sf)
     own = known.select(F.col("id").alias("from_page"), "url")
-    inserted = frontier.insert_ignore(known, D.scored_links(spark, sf), F.struct("page_id", "url"))
-    page = frontier.union_state(known, inserted)
-    return frontier.url_to_id(scored.unionByName(own), page).select("from_page", "to_page")
+    page = frontier.union_state(known, frontier.insert_ignore(known, scored, F.struct("page_id", "url")))
+    wanted = scored.select(F.col("page_id").alias("from_page"), "url").unionByName(own)
+    return frontier.url_to_id(wanted, page).select("from_page", "to_page")
 
 
 @query
 def frontier_insert_ignore(spark, sf):
-    new = frontier.insert_ignore(D.known_page(spark, sf), D.scored_links(spark, sf), F.struct("page_id", "url"))
+    new = frontier.insert_ignore(_known(spark, sf), _scored(spark, sf), F.struct("page_id", "url"))
     return new.select("id", "url", "site_id", "page_type_code", "relevance")
 
 
@@ -361,7 +374,7 @@ def page_update_rejects(spark, sf):
 def robots_allowed(spark, sf):
     own = D.known_page(spark, sf).select(F.col("id").alias("page_id"), F.col("url").alias("link"))
     rules = robots.robots_rules(D.site_robots(spark, sf), D.AGENT)
-    return robots.robots_allowed(D.page_links(spark, sf).unionByName(own), rules)
+    return robots.robots_allowed(_links(spark, sf).unionByName(own), rules)
 
 
 def _marked_docs(spark, sf):
@@ -515,8 +528,8 @@ def any_first(spark, sf):
 
 @query
 def union_state(spark, sf):
-    known = D.known_page(spark, sf)
-    new = frontier.insert_ignore(known, D.scored_links(spark, sf), F.struct("page_id", "url"))
+    known = _known(spark, sf)
+    new = frontier.insert_ignore(known, _scored(spark, sf), F.struct("page_id", "url"))
     return frontier.union_state(known, new).select("id", "url", "relevance")
 
 
@@ -649,7 +662,7 @@ def reachable_pages(spark, sf):
 def _arriving(spark, sf):
     """Documents as a stream of responses."""
     schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
-    doc = spark.readStream.schema(schema).parquet(f"{sf}/documents.parquet")
+    doc = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(sf)
     return doc.select(
         F.col("doc_id").alias("id"), F.concat(F.lit(f"https://{D.DOCS_HOST}/"), "source", F.lit("/"), F.col("doc_id").cast("string")).alias("url"),
         F.col("text").alias("html"), F.lit(200).alias("http_status_code"),

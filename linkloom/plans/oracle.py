@@ -106,7 +106,7 @@ CTES = {
             coalesce(k.id, first_value(h.id) OVER (PARTITION BY h.content_hash ORDER BY h.accessed_time, h.id)) AS original_id
         FROM hashed h LEFT JOIN doc_page k USING (content_hash)""",
     "cleaned": f"SELECT page_id, url, {clean('html')} AS html_content FROM pages",
-    "written": f"SELECT page_id, url, replace(value, '&amp;', '&') AS value FROM (SELECT page_id, url, {found('html_content', 'a', 'href')} AS value FROM cleaned) WHERE value <> ''",
+    "written": f"SELECT DISTINCT page_id, url, replace(value, '&amp;', '&') AS value FROM (SELECT page_id, url, {found('html_content', 'a', 'href')} AS value FROM cleaned) WHERE value <> ''",
     "all_links": f"SELECT page_id, {resolved('url', 'value')} AS link FROM written",
     "links": "SELECT DISTINCT page_id, link FROM all_links",
     "scored": f"SELECT page_id, link AS url, {relevance('link')} AS relevance FROM links",
@@ -235,7 +235,9 @@ ORACLE = {
     "validate_rows_rejects": "SELECT event_id FROM bodies WHERE kind IN (3, 4, 5)",
     "payload_contracts": "SELECT event_id, from_page, to_page FROM clicks WHERE event_id % 3 <> 2",
     "length_checks": "SELECT id, CAST(length(html_content) AS INT) AS n_chars FROM docs WHERE length(html_content) > 3000",
-    "access_join": "SELECT DISTINCT r.site_url, r.ip, a.accessed_time, a.rowid_ FROM (SELECT *, row_number() OVER () AS rowid_ FROM access) a JOIN requests r ON r.ip = a.accessed_ip AND r.site_url = a.domain",
+    "access_join": """
+        SELECT r.site_url, r.ip, a.accessed_time FROM access a JOIN (SELECT DISTINCT site_url, ip FROM requests) r
+        ON r.ip = a.accessed_ip AND r.site_url = a.domain""",
     "access_join_like": """
         SELECT r.site_url, r.ip, a.domain, a.accessed_time FROM access a JOIN (
             SELECT DISTINCT substr(site_url, 3, 4) AS site_url, ip FROM requests UNION SELECT '_l%example', ip FROM requests
@@ -352,9 +354,6 @@ ORACLE = {
     "stream_html_count": "SELECT CASE WHEN lang = 'fr' THEN 'BINARY' ELSE 'HTML' END AS page_type_code, count(*) AS n FROM documents GROUP BY 1",
     "best_links": "SELECT url, relevance FROM (SELECT url, any_value(relevance) AS relevance FROM scored GROUP BY url) ORDER BY relevance DESC NULLS FIRST, url LIMIT 20",
 }
-ORACLE["access_join"] = """
-    SELECT r.site_url, r.ip, a.accessed_time FROM access a JOIN (SELECT DISTINCT site_url, ip FROM requests) r ON r.ip = a.accessed_ip AND r.site_url = a.domain"""
-
 # Reachability has its own recursive part.
 _REACH = f"""reach(id, depth) AS (
     SELECT page_id, 0 FROM pages WHERE {domain('url')} = '{FOCUS}'
