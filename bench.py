@@ -7,6 +7,7 @@ go to a sink that discards them, after all rows are computed.
 import json
 import os
 import re
+import sys
 import time
 
 from linkloom import session
@@ -38,6 +39,7 @@ def main() -> None:
             took = time.perf_counter() - begin
             best = took if best is None else min(best, took)
         times[name] = round(best, 3)
+        print(name, times[name], file=sys.stderr, flush=True)
     scale = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
         "metric": "total_headline_seconds", "value": round(sum(times.values()), 3), "unit": "sec", "queries": times,

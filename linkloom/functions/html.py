@@ -7,6 +7,7 @@ exhaust the regex stack.
 
 from __future__ import annotations
 
+import json
 from html.entities import name2codepoint
 
 from pyspark.sql import Column
@@ -14,19 +15,23 @@ from pyspark.sql import functions as F
 
 from linkloom.constants import RENDER_MARK, RENDER_MARK_ANY_CASE
 
-_TAG_REST = r"""(?:"[^"]*+"|'[^']*+'|[^"'>])*+>"""
+# Every pattern fails on its first character almost everywhere, and runs of plain characters are
+# taken in one step: these scans are what a crawl spends its time on.
+_TAG_REST = r"""[^"'>]*+(?:(?:"[^"]*+"|'[^']*+')[^"'>]*+)*+>"""
 # Comments are matched first and kept, so that a script inside a comment is not taken for one.
 _DROPPED = (
-    r"(?is)(<!--.*?(?:-->|\z))"
+    r"(?is)(?=<)(?:(<!--.*?(?:-->|\z))"
     r"|<script(?=[\s/>])[^>]*>.*?(?:</script\s*>|\z)"
     r"|<style(?=[\s/>])[^>]*>.*?(?:</style\s*>|\z)"
-    rf"|<meta(?=[\s/>]){_TAG_REST}|</(?:script|style|meta)\s*>"
+    rf"|<meta(?=[\s/>]){_TAG_REST}|</(?:script|style|meta)\s*>)"
 )
-_COMMENT = r"(?s)<!--.*?(?:-->|\z)"
 # White space is only entered at its start, so long blank runs are scanned once.
-_ANY_TAG = rf"(?:(?<!\s)\s++)?+(<!--(?s:.*?)(?:-->|\z)|</?[A-Za-z!]{_TAG_REST})\s*+"
-_START_TAG = rf"(?i)<[a-z]{_TAG_REST}"
+_ANY_TAG = rf"(?:\s(?<!\s\s)\s*+)?+(<(?:!--(?s:.*?)(?:-->|\z)|/?[A-Za-z!]{_TAG_REST}))\s*+"
+# Start tags and comments in one scan: what is inside a comment is never taken for a tag.
+_START_TAG = rf"(?s)<(?:!--.*?(?:-->|\z)|[A-Za-z]{_TAG_REST})"
+_LINK_TAG = rf"(?is)<(?:!--.*?(?:-->|\z)|(?:a|img)(?=[\s/>]){_TAG_REST})"
 _ATTRIBUTE = r"""[^\s"'<>/=]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>]*+))?"""
+_NAMED = json.dumps({f"&{name};": chr(code) for name, code in name2codepoint.items()})
 _ENTITY = r"&#[xX][0-9A-Fa-f]+;?|&#[0-9]+;?|&[A-Za-z][A-Za-z0-9]*;|[^&]+|&"
 
 
@@ -37,7 +42,8 @@ def clean_html(html: Column) -> Column:
     """
     kept = F.regexp_replace(html, _DROPPED, "$1")
     lines = F.regexp_replace(kept, _ANY_TAG, "\n$1\n")
-    return F.btrim(F.replace(lines, F.lit(">\n\n<"), F.lit(">\n<")), F.lit("\n"))
+    laid_out = F.replace(lines, F.lit(">\n\n<"), F.lit(">\n<"))
+    return F.btrim(F.when(html.contains("<"), laid_out).otherwise(html), F.lit("\n"))
 
 
 def content_hash(text: Column) -> Column:
@@ -50,9 +56,13 @@ def needs_render(html: Column) -> Column:
     return html.contains(RENDER_MARK) | F.lower(html).contains(RENDER_MARK_ANY_CASE)
 
 
-def start_tags(html: Column) -> Column:
-    """All start tags outside comments, as an array in document order."""
-    return F.regexp_extract_all(F.regexp_replace(html, _COMMENT, ""), F.lit(_START_TAG), F.lit(0))
+def link_tags(html: Column) -> Column:
+    """Start tags outside comments that can hold a link, as an array in document order: ``a`` and
+    ``img``, and any with ``onclick``. Only pages where that word occurs pay for looking at all tags."""
+    every = F.regexp_extract_all(html, F.lit(_START_TAG), F.lit(0))
+    links = F.regexp_extract_all(html, F.lit(_LINK_TAG), F.lit(0))
+    tags = F.when(html.rlike("(?i)onclick"), every).otherwise(links)
+    return F.filter(tags, lambda tag: tag.rlike(r"(?is)^<(?:(?:a|img)[\s/>]|[a-z].*onclick)"))
 
 
 def tag_name(tag: Column) -> Column:
@@ -69,9 +79,9 @@ def attribute_name(attribute: Column) -> Column:
 
 
 def attribute_value(attribute: Column) -> Column:
-    """Value without quotes and with entities decoded; '' for a bare name."""
+    """Value without quotes, entities still as written; '' for a bare name."""
     raw = F.regexp_replace(attribute, r"^[^=]*+(?:=\s*+)?", "")
-    return unescape(F.regexp_replace(raw, r"""(?s)^(["'])(.*)\1\z""", "$2"))
+    return F.regexp_replace(raw, r"""(?s)^(["'])(.*)\1\z""", "$2")
 
 
 def _from_code_point(code: Column) -> Column:
@@ -81,7 +91,7 @@ def _from_code_point(code: Column) -> Column:
 
 def unescape(text: Column) -> Column:
     """Decode numeric entities and the named ones of HTML 4, each exactly once."""
-    names = F.create_map(*[F.lit(x) for name, code in name2codepoint.items() for x in (f"&{name};", chr(code))])
+    names = F.from_json(F.lit(_NAMED), "map<string, string>")
 
     def decode(piece: Column) -> Column:
         return (

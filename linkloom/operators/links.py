@@ -16,26 +16,31 @@ def link_attributes(pages: DataFrame, html: str = "html_content") -> DataFrame:
     before anything is exploded or shuffled. The page text itself does not travel on.
     """
     keep = [name for name in pages.columns if name != html]
-    parts = pages.select(*keep, F.array_distinct(H.start_tags(F.col(html))).alias("_tags")).select(
-        *keep, F.array_distinct(F.flatten(F.transform(_named_tags("_tags"), _wanted_values))).alias("_found")
-    )
-    return parts.select(*keep, F.inline("_found"))
+    tags = pages.select(*keep, F.array_distinct(H.link_tags(F.col(html))).alias("_tags"))
+    tags = tags.select(*keep, F.transform("_tags", _named_attributes).alias("_tags"))
+    found = tags.select(*keep, F.array_distinct(F.flatten(F.transform("_tags", _wanted_values))).alias("_found"))
+    decoded = F.transform("_found", lambda entry: F.struct(
+        entry["kind"].alias("kind"), H.unescape(entry["value"]).alias("value")
+    ))
+    return found.select(*keep, F.inline(F.array_distinct(decoded)))
 
 
-def _named_tags(tags: str) -> Column:
-    """Tags that can hold a link, as (element, attributes)."""
-    may_link = F.filter(tags, lambda tag: tag.rlike(r"(?i)^<(?:a|img)[\s/>]|onclick"))
-    return F.transform(may_link, lambda tag: F.struct(
-        H.tag_name(tag).alias("element"), H.attributes(tag).alias("attributes")
-    ))
+def _named_attributes(tag: Column) -> Column:
+    """(element, attributes) of a start tag, with each attribute's name next to its text."""
+    return F.struct(
+        H.tag_name(tag).alias("element"),
+        F.transform(H.attributes(tag), lambda attribute: F.struct(
+            H.attribute_name(attribute).alias("name"), attribute.alias("text")
+        )).alias("attributes"),
+    )
 
 
 def _wanted_values(tag: Column) -> Column:
     """(kind, value) of the link attributes of one tag. The last of repeated attributes counts."""
 
     def value(name: str) -> Column:
-        named = F.filter(tag["attributes"], lambda attribute: H.attribute_name(attribute) == name)
-        return H.attribute_value(F.try_element_at(named, F.lit(-1)))
+        named = F.filter(tag["attributes"], lambda attribute: attribute["name"] == name)
+        return H.attribute_value(F.try_element_at(named, F.lit(-1))["text"])
 
     values = F.array(
         F.struct(F.lit("href").alias("kind"), F.when(tag["element"] == "a", value("href")).alias("value")),

@@ -330,16 +330,21 @@ def site_get_or_create(spark, sf):
     return sites.site_get_or_create(some, wanted)
 
 
-def _doc_page(spark, sf):
+def _hashed(spark, sf) -> DataFrame:
+    return materialize(D.hashed_docs(spark, sf), "hashed")
+
+
+def _doc_page(hashed):
     """Documents of two sources as pages known already, one page per text."""
-    rows = D.hashed_docs(spark, sf).filter(F.col("url").contains("/src1/") | F.col("url").contains("/src2/"))
+    rows = hashed.filter(F.col("url").contains("/src1/") | F.col("url").contains("/src2/"))
     return rows.groupBy("content_hash").agg(F.min("id").alias("id"))
 
 
 @query
 def hash_lookup(spark, sf):
-    asked = D.hashed_docs(spark, sf).select("id", "content_hash").withColumnRenamed("id", "asked_id")
-    return pages.hash_lookup(asked, _doc_page(spark, sf))[0].select("asked_id", "exists", "page_id")
+    hashed = _hashed(spark, sf)
+    asked = hashed.select("id", "content_hash").withColumnRenamed("id", "asked_id")
+    return pages.hash_lookup(asked, _doc_page(hashed))[0].select("asked_id", "exists", "page_id")
 
 
 def _updates(spark, sf):
@@ -377,19 +382,20 @@ def robots_allowed(spark, sf):
     return robots.robots_allowed(_links(spark, sf).unionByName(own), rules)
 
 
-def _marked_docs(spark, sf):
-    return pages.mark_duplicates(D.hashed_docs(spark, sf), _doc_page(spark, sf))
+def _marked_docs(hashed):
+    return pages.mark_duplicates(hashed, _doc_page(hashed))
 
 
 @query
 def duplicate_link(spark, sf):
-    return pages.duplicate_links(_marked_docs(spark, sf))
+    return pages.duplicate_links(_marked_docs(_hashed(spark, sf)))
 
 
 @query
 def duplicate_update(spark, sf):
-    marked = _marked_docs(spark, sf)
-    page = D.hashed_docs(spark, sf).select(*[
+    hashed = _hashed(spark, sf)
+    marked = _marked_docs(hashed)
+    page = hashed.select(*[
         (F.col(f.name) if f.name in ("id", "url", "content_hash") else F.lit(None)).cast(f.dataType).alias(f.name) for f in schemas.PAGE.fields
     ])
     updated = pages.page_update(page, pages.duplicate_updates(marked), D.now())[0]
@@ -404,7 +410,7 @@ def fk_violations(spark, sf):
 
 @query
 def unique_violations(spark, sf):
-    page = D.hashed_docs(spark, sf).select("id", "content_hash", F.substring_index("url", "/", 4).alias("url"))
+    page = _hashed(spark, sf).select("id", "content_hash", F.substring_index("url", "/", 4).alias("url"))
     return quality.unique_violations({"page": page, "link": D.clicks(spark, sf)})
 
 
@@ -462,12 +468,12 @@ def sitemap_content(spark, sf):
 
 @query
 def mark_duplicates(spark, sf):
-    return pages.mark_duplicates(D.hashed_docs(spark, sf)).select("id", "original_id", "is_duplicate")
+    return pages.mark_duplicates(_hashed(spark, sf)).select("id", "original_id", "is_duplicate")
 
 
 @query
 def mark_duplicates_known(spark, sf):
-    return _marked_docs(spark, sf).select("id", "original_id", "is_duplicate")
+    return _marked_docs(_hashed(spark, sf)).select("id", "original_id", "is_duplicate")
 
 
 @query
