@@ -601,6 +601,9 @@ def sitemap_frontier(spark, sf):
 # Rounds, graph, streams
 
 
+_ROUNDS: dict[tuple[str, str], rounds.Changes] = {}
+
+
 def _round(spark, sf) -> rounds.Changes:
     state = rounds.State(
         page=D.round_page(spark, sf), **{name: schemas.empty(spark, name) for name in ("site", "link", "page_data", "image")}
@@ -611,7 +614,14 @@ def _round(spark, sf) -> rounds.Changes:
     # Sites list one sitemap: the file of their first page.
     files = found.groupBy("sitemap_url").agg(F.min_by("xml", "line_no").alias("xml"))
     inputs = rounds.Inputs(D.round_fetched(spark, sf), D.site_robots(spark, sf), files)
-    return rounds.crawl_round(state, inputs, rounds.Options(agent=D.AGENT, focus=D.FOCUS, keywords=D.KEYWORDS))
+    changes = rounds.crawl_round(state, inputs, rounds.Options(agent=D.AGENT, focus=D.FOCUS, keywords=D.KEYWORDS))
+    _ROUNDS[spark.sparkContext.applicationId, sf] = changes
+    return changes
+
+
+def _last_round(spark, sf) -> rounds.Changes:
+    """The round that ``crawl_round`` ran in this application, or a new one: its outputs are separate queries."""
+    return _ROUNDS.get((spark.sparkContext.applicationId, sf)) or _round(spark, sf)
 
 
 @query
@@ -624,27 +634,27 @@ def crawl_round(spark, sf):
 
 @query
 def crawl_round_frontier(spark, sf):
-    return _round(spark, sf).frontier.select("id", "url", "page_type_code", "relevance")
+    return _last_round(spark, sf).frontier.select("id", "url", "page_type_code", "relevance")
 
 
 @query
 def crawl_round_links(spark, sf):
-    return _round(spark, sf).link
+    return _last_round(spark, sf).link
 
 
 @query
 def crawl_round_sites(spark, sf):
-    return _round(spark, sf).site
+    return _last_round(spark, sf).site
 
 
 @query
 def crawl_round_page_data(spark, sf):
-    return _round(spark, sf).page_data.select("id", "page_id", "data_type_code")
+    return _last_round(spark, sf).page_data.select("id", "page_id", "data_type_code")
 
 
 @query
 def crawl_round_images(spark, sf):
-    return _round(spark, sf).image.select("id", "page_id", "filename", "content_type", "accessed_time")
+    return _last_round(spark, sf).image.select("id", "page_id", "filename", "content_type", "accessed_time")
 
 
 @query

@@ -97,15 +97,15 @@ def crawl_round(state: State, inputs: Inputs, options: Options) -> Changes:
 
     sources = processed.filter(F.col("page_type_code") == "HTML").join(duplicates.select("id"), "id", "left_anti")
     sources = sources.select(F.col("id").alias("page_id"), "url", "accessed_time", "html_content")
-    found = materialize(links.link_attributes(sources), "found")
-    raw_links = found.filter(F.col("kind") != "src")
-    normalized = urls.normalize_links(raw_links, base="url", link="value", out="link")
+    values = urls.normalize_links(links.link_attributes(sources), base="url", link="value", out="link")
+    found = materialize(
+        values.filter(F.col("link").isNotNull()).select("page_id", "accessed_time", "kind", "link"), "found"
+    )
+    written = found.filter(F.col("kind") != "src").drop("kind")
     if options.http_only:
-        normalized = frontier.http_only(normalized)
+        written = frontier.http_only(written)
     rules = materialize(robots.robots_rules(robots.one_robots_per_domain(all_sites), options.agent), "rules")
-    allowed = robots.robots_allowed(
-        normalized.filter(F.col("link").isNotNull()).select("page_id", "accessed_time", "link"), rules
-    ).filter("allowed")
+    allowed = robots.robots_allowed(written, rules).filter("allowed")
     routed = materialize(allowed.select(
         "page_id", "accessed_time", F.col("link").alias("url"), urls.url_type(F.col("link")).alias("type"),
         urls.relevance(F.col("link"), options.focus, options.keywords).alias("relevance"), F.lit(1).alias("step"),
@@ -230,8 +230,7 @@ def _page_data(state: State, routed: DataFrame) -> DataFrame:
 
 def _images(state: State, found: DataFrame) -> DataFrame:
     """One row per page and image, without its bytes, timed as its page."""
-    sources = urls.normalize_links(found.filter(F.col("kind") == "src"), base="url", link="value", out="link")
-    rows = sources.filter(F.col("link").isNotNull()).dropDuplicates(["page_id", "link"]).select(
+    rows = found.filter(F.col("kind") == "src").dropDuplicates(["page_id", "link"]).select(
         F.concat_ws(" ", F.lpad(F.col("page_id").cast("string"), 20, "0"), "link").alias("_key"),
         "page_id", links.image_filename(F.col("link")).alias("filename"),
         F.lit(IMAGE_CONTENT_TYPE).alias("content_type"), F.lit("").cast("binary").alias("data"), "accessed_time",
