@@ -604,17 +604,24 @@ def sitemap_frontier(spark, sf):
 _ROUNDS: dict[tuple[str, str], rounds.Changes] = {}
 
 
-def _round(spark, sf) -> rounds.Changes:
-    state = rounds.State(
-        page=D.round_page(spark, sf), **{name: schemas.empty(spark, name) for name in ("site", "link", "page_data", "image")}
-    )
+def _round_inputs(spark, sf) -> rounds.Inputs:
     found = D.sitemap_files(spark, sf).select(
         F.concat(F.lit("https://"), "domain", F.lit("/sitemap.xml")).alias("sitemap_url"), "line_no", "xml"
     )
     # Sites list one sitemap: the file of their first page.
     files = found.groupBy("sitemap_url").agg(F.min_by("xml", "line_no").alias("xml"))
-    inputs = rounds.Inputs(D.round_fetched(spark, sf), D.site_robots(spark, sf), files)
-    changes = rounds.crawl_round(state, inputs, rounds.Options(agent=D.AGENT, focus=D.FOCUS, keywords=D.KEYWORDS))
+    return rounds.Inputs(D.round_fetched(spark, sf), D.site_robots(spark, sf), files)
+
+
+def _options() -> rounds.Options:
+    return rounds.Options(agent=D.AGENT, focus=D.FOCUS, keywords=D.KEYWORDS)
+
+
+def _round(spark, sf) -> rounds.Changes:
+    state = rounds.State(
+        page=D.round_page(spark, sf), **{name: schemas.empty(spark, name) for name in ("site", "link", "page_data", "image")}
+    )
+    changes = rounds.crawl_round(state, _round_inputs(spark, sf), _options())
     _ROUNDS[spark.sparkContext.applicationId, sf] = changes
     return changes
 
@@ -661,10 +668,7 @@ def crawl_round_images(spark, sf):
 def crawl_to_limit(spark, sf):
     store = Store(spark, new_folder(spark, "store"))
     store.replace({"page": D.round_page(spark, sf)})
-    inputs = rounds.Inputs(
-        D.round_fetched(spark, sf), D.site_robots(spark, sf), spark.createDataFrame([], "sitemap_url string, xml string")
-    )
-    rounds.crawl_to_limit(store, inputs, rounds.Options(agent=D.AGENT, focus=D.FOCUS, keywords=D.KEYWORDS), max_rounds=3)
+    rounds.crawl_to_limit(store, _round_inputs(spark, sf), _options())
     return rounds.load(store).page.groupBy("page_type_code").agg(F.count("*").alias("n_pages"))
 
 

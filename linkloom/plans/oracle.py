@@ -343,7 +343,12 @@ ORACLE = {
             SELECT DISTINCT page_id, link, accessed_time, lpad(CAST(page_id AS VARCHAR), 20, '0') || ' ' || link AS key FROM (
                 SELECT id AS page_id, accessed_time, {resolved('url', 'value')} AS link FROM (
                     SELECT id, accessed_time, url, {found('html_content', 'img', 'src')} AS value FROM round_sources) WHERE value <> ''))""",
-    "reachable_pages": f"""
+    # The second round finds no response for any URL that the first one added, and ends the crawl.
+    "crawl_to_limit": """
+        SELECT page_type_code, count(*) AS n_pages FROM (
+            SELECT CASE WHEN is_duplicate THEN 'DUPLICATE' WHEN html_content IS NULL THEN 'BINARY' ELSE 'HTML' END AS page_type_code FROM round_pages
+            UNION ALL SELECT 'BINARY' FROM round_fresh) GROUP BY 1""",
+    "reachable_pages": """
         SELECT id, CAST(min(depth) AS INT) AS depth FROM reach GROUP BY id""",
     "stream_ingest": """
         SELECT id, url, CASE WHEN NOT is_html THEN 'BINARY' WHEN first_id = id THEN 'HTML' ELSE 'DUPLICATE' END AS page_type_code,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -37,10 +37,11 @@ class State:
 
 @dataclass(frozen=True)
 class Inputs:
-    """What fetching delivered. ``fetched`` has one row per URL, in the frontier's spelling;
-    ``robots`` is (domain, robots_content), ``sitemaps`` (sitemap_url, xml)."""
+    """What fetching delivered. ``fetched`` has one row per URL, in the frontier's spelling, or is a
+    function from the claimed rows (id, url) to such rows, so that a round reads only its own
+    responses; ``robots`` is (domain, robots_content), ``sitemaps`` (sitemap_url, xml)."""
 
-    fetched: DataFrame
+    fetched: DataFrame | Callable[[DataFrame], DataFrame]
     robots: DataFrame
     sitemaps: DataFrame
 
@@ -139,7 +140,7 @@ def crawl_round(state: State, inputs: Inputs, options: Options) -> Changes:
 def _new_sites(state: State, inputs: Inputs, claimed: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(new site rows, their Sitemap lines, URLs of the sitemap files) for domains seen first now."""
     domains = claimed.select("domain").distinct()
-    missing = materialize(domains.join(state.site.select("domain"), "domain", "left_anti"), "missing")
+    missing = domains.join(state.site.select("domain"), "domain", "left_anti")
     asked = materialize(
         missing.join(inputs.robots.select("domain", "robots_content"), "domain", "left"), "asked"
     )
@@ -162,7 +163,8 @@ def _responses(claimed: DataFrame, inputs: Inputs, options: Options) -> DataFram
     """What came for the claimed pages; a claimed page without response counts as a failed fetch."""
     now = None if options.now is None else options.now.isoformat(sep=" ")
     hinted = small(claimed)
-    got = inputs.fetched.select("url", "html", "http_status_code", "content_type", "accessed_ip", "accessed_time")
+    fetched = inputs.fetched if isinstance(inputs.fetched, DataFrame) else inputs.fetched(claimed.select("id", "url"))
+    got = fetched.select("url", "html", "http_status_code", "content_type", "accessed_ip", "accessed_time")
     arrived = got.join(hinted, "url")
     lost = claimed.join(known_rows(got.select("url"), hinted, ["url"]).distinct(), "url", "left_anti")
     lost = lost.select(
