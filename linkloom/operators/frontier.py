@@ -170,7 +170,10 @@ def frontier_topk_per_site(page: DataFrame, k: int = 1) -> DataFrame:
 
 
 def frontier_claim(page: DataFrame, claimed: DataFrame, now: Column) -> DataFrame:
-    """``page`` with the claimed ids in state CRAWLING at ``now``. One job claims, so no locks."""
+    """``page`` with the claimed ids in state CRAWLING at ``now``. One job claims, so no locks.
+
+    ``claimed`` may carry a broadcast hint (``sizes.small``); ``page`` then is not shuffled.
+    """
     marks = claimed.select("id", F.lit(True).alias("_claimed"))
     hit = F.col("_claimed") & (F.col("page_type_code") == "FRONTIER")
     return page.join(marks, "id", "left").withColumns({

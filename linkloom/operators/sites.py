@@ -27,17 +27,22 @@ def site_access(site: DataFrame, page: DataFrame, slices: int = SLICES, min_rows
     return joined.select("accessed_ip", "domain", "accessed_time")
 
 
-def access_join(access: DataFrame, requests: DataFrame, mode: str = "exact") -> DataFrame:
-    """Accesses that each request (site_url, ip) means: same ip, and matching domain."""
+def access_join(
+    access: DataFrame, requests: DataFrame, mode: str = "exact", slices: int = SLICES, min_rows: int = MIN_HOT_ROWS,
+) -> DataFrame:
+    """Accesses (site_url, ip, domain, accessed_time) that each request (site_url, ip) means: same ip,
+    and matching domain. Accesses of a busy pair of ip and domain are spread."""
     asked = requests.select("site_url", "ip").distinct()
-    by_ip = access.withColumnRenamed("accessed_ip", "ip")
     if mode == "exact":
-        return by_ip.withColumnRenamed("domain", "site_url").join(asked, ["site_url", "ip"]).select(
-            "site_url", "ip", F.col("site_url").alias("domain"), "accessed_time"
-        )
-    # Find the matching domains first, then fetch their accesses by equality.
-    matches = matching_domains(asked, by_ip.select("ip", "domain").distinct(), "site_url", ["ip"])
-    return by_ip.join(matches, ["ip", "domain"]).select("site_url", "ip", "domain", "accessed_time")
+        matches = asked.withColumn("domain", F.col("site_url"))
+    else:
+        # Find the matching domains first, then fetch their accesses by equality.
+        known = access.select(F.col("accessed_ip").alias("ip"), "domain").distinct()
+        matches = matching_domains(asked, known, "site_url", ["ip"])
+    keyed = access.select(F.struct(F.col("accessed_ip").alias("ip"), "domain").alias("_pair"), "accessed_time")
+    wanted = matches.select(F.struct("ip", "domain").alias("_pair"), "site_url")
+    joined = skew_join(keyed, wanted, "_pair", F.col("accessed_time"), "inner", slices=slices, min_rows=min_rows)
+    return joined.select("site_url", "_pair.ip", "_pair.domain", "accessed_time")
 
 
 def last_access(access: DataFrame) -> DataFrame:
@@ -93,16 +98,19 @@ def any_first(df: DataFrame, key: str, id_column: str = "id") -> DataFrame:
     )
 
 
-def site_lookup(requests: DataFrame, site: DataFrame, mode: str = "exact") -> DataFrame:
+def site_lookup(
+    requests: DataFrame, site: DataFrame, mode: str = "exact", slices: int = SLICES, min_rows: int = MIN_HOT_ROWS,
+) -> DataFrame:
     """``requests`` (domain) with ``exists`` and ``site_id``, the lowest id that matches."""
     if mode == "exact":
-        first = site.groupBy("domain").agg(F.min("id").alias("site_id"))
-        found = requests.join(first, "domain", "left")
+        asked = requests.withColumn("_asked", F.col("domain"))
+        hits = site.groupBy(F.col("domain").alias("_asked")).agg(F.min("id").alias("site_id"))
     else:
+        asked = requests.withColumn("_asked", F.lower("domain"))
         lower = site.groupBy(F.lower("domain").alias("_low")).agg(F.min("id").alias("id"))
-        asked = requests.select(F.lower("domain").alias("_asked")).distinct()
-        hits = like_lookup(asked, lower, "_asked", "_low", "id", F.min, out="site_id")
-        found = requests.withColumn("_asked", F.lower("domain")).join(hits, "_asked", "left")
+        hits = like_lookup(asked.select("_asked").distinct(), lower, "_asked", "_low", "id", F.min, out="site_id")
+    spread = F.struct(*requests.columns)
+    found = skew_join(asked, hits, "_asked", spread, slices=slices, min_rows=min_rows)
     return found.select(*requests.columns, F.col("site_id").isNotNull().alias("exists"), "site_id")
 
 

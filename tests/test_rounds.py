@@ -87,7 +87,8 @@ def test_same_round_again_adds_nothing(spark, inputs):
 
 def test_crawl_to_the_end(spark, inputs):
     store = seeded(spark)
-    n = rounds.crawl_to_limit(store, inputs, OPTIONS)
+    on_demand = rounds.Inputs(lambda claimed: inputs.fetched.join(claimed.select("url"), "url"), inputs.robots, inputs.sitemaps)
+    n = rounds.crawl_to_limit(store, on_demand, OPTIONS)
     state = rounds.load(store)
     got = by_url(state.page)
     kinds = {u: r.page_type_code for u, r in got.items()}
