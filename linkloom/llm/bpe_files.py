@@ -7,11 +7,23 @@ import base64
 import tiktoken
 
 
+def ranks(path: str) -> dict[bytes, int]:
+    with open(path, "rb") as lines:
+        return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+
+
+def tokens(path: str) -> list[bytes]:
+    """The bytes of each id."""
+    known = ranks(path)
+    out = [b""] * (max(known.values()) + 1)
+    for token, rank in known.items():
+        out[rank] = token
+    return out
+
+
 def encoding(path: str, pattern: str) -> tiktoken.Encoding:
     """The encoder of a rank file, without special tokens: their names in a text are ordinary text."""
-    with open(path, "rb") as lines:
-        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks(path), special_tokens={})
 
 
 def encode(own: tiktoken.Encoding, text: str | None) -> list[int]:

@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.llm import jaccard, langid, packing, quality
+from linkloom.llm import chunks, jaccard, langid, packing, quality, slots, spotsigs, warc
+from linkloom.session import new_folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +19,10 @@ def remainder(doc_id: str, of: int) -> Column:
     return F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(of))
 
 
+def op1_spotsigs_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op2_repetition_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.repetition(table(spark, sf_dir, "documents"), carry=["doc_id"])
 
@@ -27,17 +32,55 @@ def op3_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN, end=2)
 
 
+def op4_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_folder(spark, "archives")
+    warc.write_archives(warc.resolve(table(spark, sf_dir, "pages"), "page_id", "html"), path, "page_id", "url", "html")
+    records = warc.join_revisits(warc.read_archives(spark, path, payloads=False))
+    return records.select(F.col("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op6_subword_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", F.coalesce(remainder("doc_id", 4) == 2, F.lit(False)))
     model = langid.fit(docs, train=~F.col("held_out"))
     return langid.predict(docs, model, carry=["doc_id", "held_out"])
 
 
+def op8_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = slots.shard_documents(table(spark, sf_dir, "documents"), shards=24)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit(slots.LAW).alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
+        "virtual_slot", "version",
+    )
+
+
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_join(table(spark, sf_dir, "documents"), n=4, percent=85)
 
 
+def op10_chunked_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    encoded = chunks.encode(table(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN, carry=["doc_id"])
+    return chunks.digests(encoded, vocabulary)
+
+
 QUERIES = {
     name: call for name, call in sorted(globals().items()) if name.startswith("op") and name[2].isdigit()
 }
-ORACLE: dict[str, str] = {}
+
+_DIGIT = "substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((v >> {shift}) & 31)::INT, 1)"
+_GROUP = "list_transform(range(8), i -> ('0x' || substr(hex, 1 + 5 * i::INT, 5))::BIGINT)"
+
+ORACLE: dict[str, str] = {
+    "op4_warc_revisits": f"""
+        WITH payloads AS (SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS hex FROM pages),
+        hashed AS (
+            SELECT page_id, strlen(body)::BIGINT AS payload_bytes, hex,
+                array_to_string(list_transform({_GROUP}, v -> {" || ".join(_DIGIT.format(shift=s) for s in (15, 10, 5, 0))}), '') AS payload_digest
+            FROM payloads
+        ),
+        known AS (SELECT *, max(page_id) OVER (PARTITION BY hex) AS original FROM hashed)
+        SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id < original THEN 'revisit' ELSE 'response' END AS record_type,
+            CASE WHEN page_id < original THEN original END AS refers_to
+        FROM known
+    """,
+}
