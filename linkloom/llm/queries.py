@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.llm import chunks, jaccard, langid, packing, quality, slots, spotsigs, warc
+from linkloom.llm import chunks, jaccard, katz, langid, packing, quality, slots, spotsigs, warc
 from linkloom.session import new_folder
 
 
@@ -45,6 +45,10 @@ def op6_subword_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model, carry=["doc_id", "held_out"])
 
 
+def op7_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.katz_scores(table(spark, sf_dir, "documents"), held_out=remainder("doc_id", 5) == 1)
+
+
 def op8_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = slots.shard_documents(table(spark, sf_dir, "documents"), shards=24)
     return placed.select(
