@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.llm import chunks, jaccard, katz, langid, packing, quality, slots, spotsigs, warc
+from linkloom.llm import chunks, jaccard, katz, langid, licenses, packing, quality, slots, spotsigs, warc
 from linkloom.session import new_folder
 
 
@@ -39,6 +39,20 @@ def op4_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select(F.col("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as files: a folder for each source, language and 64 ids; the first of a folder is its licence file, the first
+    of 16 folders that of the language."""
+    docs = table(spark, sf_dir, "documents")
+    folder = F.concat_ws("/", "source", "lang")
+    place = F.concat_ws("/", folder, F.expr("doc_id div 64").cast("string"))
+    path = (
+        F.when(F.col("doc_id") % 1024 == 0, F.concat(folder, F.lit("/LICENSE-"), F.col("doc_id").cast("string")))
+        .when(F.col("doc_id") % 64 == 0, F.concat(place, F.lit("/LICENSE")))
+        .otherwise(F.concat(place, F.lit("/"), F.col("doc_id").cast("string"), F.lit(".txt")))
+    )
+    return licenses.scan(docs.select(path.alias("path"), "text"))
+
+
 def op6_subword_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", F.coalesce(remainder("doc_id", 4) == 2, F.lit(False)))
     model = langid.fit(docs, train=~F.col("held_out"))
