@@ -26,9 +26,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from linkloom.llm import arrays
-from linkloom.session import materialize
+from linkloom.session import materialize, new_folder
 
-BLOCK_TOKENS = 2_000_000
+BLOCK_TOKENS = 1_000_000
 # Words or bigrams that blocks send to a bucket, about.
 BUCKET_ENTRIES = 1_000_000
 # Counts above this are not discounted.
@@ -246,37 +246,46 @@ class _Pairs:
 def _pairs(own: _Block, number: np.ndarray, count: np.ndarray, starts: int, total: int, buckets: int) -> _Pairs:
     """``number`` and ``count``: of the block's words. ``starts``: training documents. The history of a first token is number 0."""
     first = np.cumsum(own.sizes) - own.sizes
-    before = np.concatenate([[0], own.tokens[:-1]]) if len(own.tokens) else own.tokens
-    before = np.where(np.isin(np.arange(len(before)), first), len(own.words), before)
+    before = np.empty_like(own.tokens)
+    before[1:] = own.tokens[:-1]
+    before[first] = len(own.words)
     number, count = np.append(number, 0), np.append(count, starts)
-    known = (count[before] > 0) & (count[own.tokens] > 0)
-    key = before[known] * len(number) + own.tokens[known]
-    distinct, place = np.unique(key, return_inverse=True)
-    history, word = np.divmod(distinct, len(number))
-    train = np.bincount(place, weights=own.train[known], minlength=len(distinct)).astype(np.int64)
+    at = np.flatnonzero((count[before] > 0) & (count[own.tokens] > 0))
     # A history with more than a bucket's share of the tokens has several parts.
     parts = 1 + count * buckets // max(1, total)
-
-    def dealt(numbers: np.ndarray, part: np.ndarray) -> np.ndarray:
-        return (arrays.mix(arrays.mix(numbers) + part.astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
-
-    part = (arrays.mix(number[word]) % parts[history].astype(np.uint64)).astype(np.int64)
-    bucket = dealt(number[history], part)
-    order = np.lexsort((number[word], number[history], bucket))
-    back = np.empty(len(order), np.int64)
-    back[order] = np.arange(len(order))
+    spread, by_word = arrays.mix(number), arrays.mix(arrays.mix(number))
+
+    def dealt(words: np.ndarray, part: np.ndarray) -> np.ndarray:
+        return ((by_word[words] + part.astype(np.uint64) * spread[words]) % np.uint64(buckets)).astype(np.int64)
+
+    h, w = before[at], own.tokens[at]
+    many = parts[h] > 1
+    part = np.zeros(len(at), np.int64)
+    part[many] = (spread[w[many]] % parts[h[many]].astype(np.uint64)).astype(np.int64)
+    names, to = np.arange(buckets), dealt(h, part)
+    bits = len(number).bit_length()
+    if buckets.bit_length() + 2 * bits > 63:
+        names, to = np.unique(to, return_inverse=True)
+    # In the order of bucket, history and next word, by their numbers.
+    rank = np.empty(len(number), np.int64)
+    by_number = np.argsort(number, kind="stable")
+    rank[by_number] = np.arange(len(number))
+    distinct, place = np.unique((to << (2 * bits)) | (rank[h] << bits) | rank[w], return_inverse=True)
+    train = np.bincount(place[own.train[at]], minlength=len(distinct))
+    bucket = names[distinct >> (2 * bits)]
+    history, word = by_number[(distinct >> bits) & ((1 << bits) - 1)], by_number[distinct & ((1 << bits) - 1)]
     full = np.full(len(own.tokens), -1)
-    full[known] = back[place]
-    used = np.unique(before)
-    used = used[count[used] > 0]
+    full[at] = place
+    used = np.flatnonzero(np.bincount(before, minlength=len(number)) * count)
     each = np.repeat(used, parts[used])
     part = np.arange(len(each)) - np.repeat(np.cumsum(parts[used]) - parts[used], parts[used])
-    asked, asked_bucket = number[each], dealt(number[each], part)
+    asked, asked_bucket = number[each], dealt(each, part)
     # Two parts of a history may fall into one bucket, which then answers for both at once.
-    pairs = np.unique(np.stack([asked_bucket, asked], axis=1), axis=0) if len(asked) else np.zeros((0, 2), np.int64)
-    return _Pairs(
-        full, number[history][order], number[word][order], train[order], count[word][order], bucket[order], pairs[:, 1], pairs[:, 0], before,
-    )
+    order = np.lexsort((asked, asked_bucket))
+    asked, asked_bucket = asked[order], asked_bucket[order]
+    new = np.ones(len(asked), bool)
+    new[1:] = (asked[1:] != asked[:-1]) | (asked_bucket[1:] != asked_bucket[:-1])
+    return _Pairs(full, number[history], number[word], train, count[word], bucket, asked[new], asked_bucket[new], before)
 
 
 def _answered(lists: pa.Array, words: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -360,11 +369,10 @@ def _count_pairs(asked: DataFrame, words: Words) -> DataFrame:
     return asked.groupBy("bucket").applyInArrow(run, schema + ", ".join(f"{c} long" for c in _TALLY))
 
 
-def chances(counts: np.ndarray, history_counts: np.ndarray, few: np.ndarray, mass: np.ndarray, lower: np.ndarray, pairs: Discounts) -> np.ndarray:
-    """P(word | history) for bigrams with these counts; ``few`` and ``mass`` are of the history, ``lower`` is the word's unigram
-    probability. The weights make the probabilities of all words, unknown ones included, add up to 1 exactly: unseen
+def chances(counts: np.ndarray, history_counts: np.ndarray, lost: np.ndarray, mass: np.ndarray, lower: np.ndarray, pairs: Discounts) -> np.ndarray:
+    """P(word | history) for bigrams with these counts; ``lost`` (what its counts lose) and ``mass`` (the unigram probability of
+    what was seen after it) are of the history, ``lower`` is the word's unigram probability. The weights make the probabilities of all words, unknown ones included, add up to 1 exactly: unseen
     words share what the discounts took off the history's counts (a pseudo count, if that is nothing)."""
-    lost = few @ pairs.lost
     pseudo = np.where((history_counts > 0) & (lost <= 0), 1.0, 0.0)
     whole = np.maximum(history_counts + pseudo, 1)
     weight = np.where(history_counts > 0, (lost + pseudo) / whole / np.maximum(1 - mass, 1e-300), 1.0)
@@ -394,7 +402,7 @@ def _score(joined: DataFrame, doc_kind: T.DataType, word_buckets: int, starts: i
                 few = few[by_word] * hit[:, None] if len(names) else np.zeros((len(numbers), LARGE))
                 mass = np.where(hit, mass[by_word], 0.0) if len(names) else np.zeros(len(numbers))
                 lower = unigram(count, words)
-                p = chances(totals[found.place], counts[found.before], few[found.before], mass[found.before], lower[own.tokens], pairs)
+                p = chances(totals[found.place], counts[found.before], (few @ pairs.lost)[found.before], mass[found.before], lower[own.tokens], pairs)
                 first = np.cumsum(own.sizes) - own.sizes
                 base = np.log10((count + 0.5) / (words.total + 0.5 * (words.distinct + 1)))[own.tokens]
                 by_doc = lambda v: np.add.reduceat(v, first)
@@ -411,6 +419,16 @@ def _score(joined: DataFrame, doc_kind: T.DataType, word_buckets: int, starts: i
     return joined.mapInArrow(run, schema)
 
 
+def _bucketed(blocks: DataFrame) -> DataFrame:
+    """The blocks as a table bucketed by block, in the shared folder: joins on block then only move what joins them."""
+    spark = blocks.sparkSession
+    path = new_folder(spark, "blocks")
+    name = path.rpartition("/")[2].replace("-", "_")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    blocks.write.format("parquet").option("path", path).bucketBy(buckets, "block").saveAsTable(name)
+    return spark.table(name)
+
+
 def katz_scores(
     docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str = "text", block_tokens: int = BLOCK_TOKENS, bucket_entries: int = BUCKET_ENTRIES,
 ) -> DataFrame:
@@ -422,7 +440,7 @@ def katz_scores(
     too; other columns play no part; an empty table gives no rows. With no row to learn from, every token is unknown.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.coalesce(held_out, F.lit(False)).alias("held_out"))
-    blocks = materialize(make_blocks(rows, "doc_id", "text", "held_out", block_tokens), "blocks")
+    blocks = _bucketed(make_blocks(rows, "doc_id", "text", "held_out", block_tokens))
     sums = blocks.agg(F.sum("n_words"), F.sum("n_tokens"), F.sum(F.size(F.filter("held", lambda h: ~h)))).first()
     n_words, n_tokens, starts = (int(v or 0) for v in sums)
     word_buckets = max(1, -(-n_words // bucket_entries))
