@@ -1,16 +1,17 @@
 """N-gram Jaccard join: a blocked sparse product of the document by n-gram incidence with itself.
 
 1. Documents with equal shingle sets become one node (128 bits of digest, and the size).
-2. Columns are put in an order: n-grams that many documents share last, others by hash. Two linked documents
-   meet in the columns at the beginning of their rows, as many as the size-derived bound leaves; only
-   those columns are shuffled. In each, documents of fitting sizes are chained, and the chains make groups.
-3. The rows of a group are shuffled once and multiplied with each other block by block: overlap counts
-   add up over blocks of columns, and pairs that can no longer reach their bound are discarded. A group
-   larger than a block is dealt to pairs of blocks. Every task returns a spanning forest and link counts, not
-   the pairs.
+2. Columns are put in an order: n-grams that many documents share last, others by hash. Two linked documents share at
+   least so many columns at the beginning of their rows, as far as a size-derived bound says; only those columns are
+   shuffled. Overlaps in them are added up for the pairs of each rare column, and pairs below their bound are
+   discarded. In common columns, which only documents that are made of them reach, documents of fitting sizes
+   are chained instead, as in any long column.
+3. Pairs and chains make groups. The whole rows of a group are shuffled once and multiplied with each other: overlaps
+   add up over blocks of columns, and pairs that can no longer reach their bound are discarded. A group larger
+   than a block is dealt to pairs of blocks. Every task returns a spanning forest and link counts, not the pairs.
 4. The forests make the components.
 
-No step gathers the documents of a column, and no pair of a group leaves its task.
+No step gathers the documents of a long column, and no pair of a large group leaves its task.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkloom.llm import arrays
@@ -37,6 +38,8 @@ COMMON_FROM = 32
 BLOCK_SHINGLES = 1 << 20
 _COLUMNS = 4096
 _SALTS = 64
+# A column of more documents is chained.
+LONG = 64
 
 
 def shingle_sets(column: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -110,8 +113,9 @@ def _postings(docs: DataFrame, n: int, percent: int, common: np.ndarray, doc_id:
     def make(part, keys, borders):
         last = np.isin(keys, common) if len(common) else np.zeros(len(keys), bool)
         sizes = np.diff(borders)
-        # Partners share at least ceil(percent * size / 100) columns, so one of the first ones of both.
-        first = sizes - (percent * sizes + 99) // 100 + 1
+        # Partners share at least ceil(percent * size / 100) columns, so ``need`` of the first ones of both.
+        need = 1 + sizes // 20
+        first = sizes - (percent * sizes + 99) // 100 + need
         chosen, digest = [np.zeros(0, np.int64)], []
         for a, b, k in zip(borders[:-1], borders[1:], first, strict=True):
             digest.append(np.bitwise_xor.reduce(arrays.mix(keys[a:b])))
@@ -130,23 +134,40 @@ def _postings(docs: DataFrame, n: int, percent: int, common: np.ndarray, doc_id:
     return _map(with_id, [doc_id], "shingle long, salt int, node long, size int, own long", make, n, text)
 
 
-def _chains(postings: DataFrame, percent: int) -> DataFrame:
-    """(a, b): in each column, documents that follow each other by size, where the sizes allow a link.
+def _candidates(postings: DataFrame, percent: int) -> DataFrame:
+    """(a, b): pairs of documents with overlap enough in rare columns; and in long columns, documents that follow each other
+    by size, where the sizes allow a link.
 
     A common column is chained within each of its salts; the first document of each salt and size then
     stands for all of them when salts are chained with each other.
     """
+    def fits(smaller: Column, larger: Column) -> Column:
+        return 100 * smaller.cast("long") >= percent * larger.cast("long")
+
     def chained(rows: DataFrame, *by: str) -> DataFrame:
         order = Window.partitionBy(*by).orderBy("size", "salt", "own", "node")
-        return rows.select("shingle", "salt", "node", "size", "own", *[F.lag(c).over(order).alias(f"_{c}") for c in ("node", "size", "own")])
+        return rows.withColumns({f"_{c}": F.lag(c).over(order) for c in ("node", "size", "own")})
 
-    fits = F.col("_size").isNotNull() & (100 * F.col("_size").cast("long") >= percent * F.col("size").cast("long"))
-    differs = fits & (F.col("own") != F.col("_own"))
+    follows = F.col("_size").isNotNull() & fits(F.col("_size"), F.col("size")) & (F.col("own") != F.col("_own"))
     stands = (F.col("salt") >= 0) & (F.col("_size").isNull() | (F.col("size") != F.col("_size")))
-    within = materialize(chained(postings, "shingle", "salt").filter(differs | stands), "chains")
-    between = chained(within.filter(stands), "shingle")
-    pairs = [rows.filter(differs).select(F.col("_node").alias("a"), F.col("node").alias("b")) for rows in (within, between)]
-    return pairs[0].unionByName(pairs[1]).distinct()
+    rows = chained(postings, "shingle", "salt")
+    # Copies follow each other: one of them is enough for the rare columns.
+    counted = rows.withColumn("_n", F.sum((F.col("_own").isNull() | (F.col("own") != F.col("_own"))).cast("int")).over(Window.partitionBy("shingle", "salt")))
+    kept = materialize(counted.filter(F.when(F.col("salt") < 0, F.col("_n") > 1).otherwise(follows | stands)), "columns")
+    is_long = (F.col("salt") >= 0) | (F.col("_n") > LONG)
+    within = kept.filter(is_long & follows)
+    between = chained(kept.filter(stands).drop("_node", "_size", "_own"), "shingle").filter(follows)
+    chains = [part.select(F.col("_node").alias("a"), F.col("node").alias("b")) for part in (within, between)]
+
+    rare = kept.filter(~is_long & (F.col("_own").isNull() | (F.col("own") != F.col("_own"))))
+    lists = rare.groupBy("shingle").agg(F.sort_array(F.collect_list(F.struct("size", "node"))).alias("docs"))
+    first = lists.select("docs", F.posexplode("docs").alias("i", "x"))
+    pairs = first.select("x", F.explode(F.slice("docs", F.col("i") + 2, F.lit(LONG))).alias("y")).filter(fits(F.col("x.size"), F.col("y.size")))
+    need = 1 + F.floor(F.col("x.size") / 20)
+    overlaps = pairs.groupBy(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).agg(
+        F.count("*").alias("n"), F.min(need).alias("need")
+    )
+    return chains[0].unionByName(chains[1]).unionByName(overlaps.filter("n >= need").select("a", "b")).distinct()
 
 
 def _dealt(groups: DataFrame, block_shingles: int, block_docs: int) -> DataFrame:
@@ -253,7 +274,7 @@ def jaccard_join(
     classes = found.filter("n_shingles > 0").groupBy("n_shingles", "high", "low").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
     members = materialize(found.join(classes, ["n_shingles", "high", "low"], "left").select("doc_id", "n_shingles", "rep", "copies"), "members")
     common = common_shingles(docs, n, most=most_common, least=common_from)
-    pairs = _chains(_postings(docs, n, percent, common, "doc_id", "text"), percent)
+    pairs = _candidates(_postings(docs, n, percent, common, "doc_id", "text"), percent)
     known = members.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("rep").alias("rep"))
     for side in ("a", "b"):
         pairs = pairs.join(known.select(F.col("doc_id").alias(side), F.col("rep").alias(f"{side}_rep")), side)
