@@ -3,9 +3,9 @@
 1. Documents with equal shingle sets become one node (128 bits of digest, and the size).
 2. Columns are put in an order: n-grams that many documents share last, others by hash. Two linked documents share at
    least so many columns at the beginning of their rows, as far as a size-derived bound says; only those columns are
-   shuffled. Overlaps in them are added up for the pairs of each rare column, and pairs below their bound are
-   discarded. In common columns, which only documents that are made of them reach, documents of fitting sizes
-   are chained instead, as in any long column.
+   shuffled. Overlaps in them are added up for the pairs of each short column, and pairs below their bound are
+   discarded. In a long column, documents of fitting sizes are chained instead; but only those with so many long
+   columns that they can reach the bound by these.
 3. Pairs and chains make groups. The whole rows of a group are shuffled once and multiplied with each other: overlaps
    add up over blocks of columns, and pairs that can no longer reach their bound are discarded. A group larger
    than a block is dealt to pairs of blocks. Every task returns a spanning forest and link counts, not the pairs.
@@ -28,18 +28,19 @@ from pyspark.sql import functions as F
 from linkloom.llm import arrays
 from linkloom.llm.components import components
 from linkloom.operators.sizes import small
+from linkloom.operators.skew import skew_join
 from linkloom.session import materialize
 
 # Most n-grams that go last because many documents share them: their list is sent to all tasks, 8 bytes each.
 MOST_COMMON = 200_000
 # An n-gram of fewer documents than this is not on that list, whatever else is.
-COMMON_FROM = 32
+COMMON_FROM = 16
 # n-grams in a block of documents, which is what a task holds at a time.
 BLOCK_SHINGLES = 1 << 20
 _COLUMNS = 4096
 _SALTS = 64
 # A column of more documents is chained.
-LONG = 64
+LONG = 16
 
 
 def shingle_sets(column: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -113,9 +114,8 @@ def _postings(docs: DataFrame, n: int, percent: int, common: np.ndarray, doc_id:
     def make(part, keys, borders):
         last = np.isin(keys, common) if len(common) else np.zeros(len(keys), bool)
         sizes = np.diff(borders)
-        # Partners share at least ceil(percent * size / 100) columns, so ``need`` of the first ones of both.
-        need = 1 + sizes // 20
-        first = sizes - (percent * sizes + 99) // 100 + need
+        # Partners share at least ceil(percent * size / 100) columns, so as many as are needed of the first ones of both.
+        first = sizes - (percent * sizes + 99) // 100 + 1 + sizes // 20
         chosen, digest = [np.zeros(0, np.int64)], []
         for a, b, k in zip(borders[:-1], borders[1:], first, strict=True):
             digest.append(np.bitwise_xor.reduce(arrays.mix(keys[a:b])))
@@ -134,8 +134,18 @@ def _postings(docs: DataFrame, n: int, percent: int, common: np.ndarray, doc_id:
     return _map(with_id, [doc_id], "shingle long, salt int, node long, size int, own long", make, n, text)
 
 
+def _needed(size: Column) -> Column:
+    """Columns among the first ones that a document of ``size`` shares with a linked one that is not smaller."""
+    return 1 + F.floor(size / 20)
+
+
+def _by_long(needed: Column) -> Column:
+    """So many of them in long columns, or the rest and one more in short ones: one of both holds."""
+    return 1 + F.floor((needed - 1) / 2)
+
+
 def _candidates(postings: DataFrame, percent: int) -> DataFrame:
-    """(a, b): pairs of documents with overlap enough in rare columns; and in long columns, documents that follow each other
+    """(a, b): pairs of documents with overlap enough in short columns; and in long columns, documents that follow each other
     by size, where the sizes allow a link.
 
     A common column is chained within each of its salts; the first document of each salt and size then
@@ -148,26 +158,31 @@ def _candidates(postings: DataFrame, percent: int) -> DataFrame:
         order = Window.partitionBy(*by).orderBy("size", "salt", "own", "node")
         return rows.withColumns({f"_{c}": F.lag(c).over(order) for c in ("node", "size", "own")})
 
+    other = F.col("_own").isNull() | (F.col("own") != F.col("_own"))
+    rows = chained(postings, "shingle", "salt").withColumn("_other", other)
+    # Copies follow each other; they count once.
+    counted = rows.withColumn("_n", F.sum(F.col("_other").cast("int")).over(Window.partitionBy("shingle", "salt")))
+    columns = ["shingle", "salt", "node", "size", "own"]
+    kept = materialize(counted.filter("salt >= 0 OR _n > 1").select(*columns, "_n", "_other"), "columns")
+    is_long = (F.col("salt") >= 0) | (F.col("_n") > LONG)
+
+    least = F.floor((F.col("size").cast("long") * percent + 99) / 100)
+    able = kept.filter(is_long).groupBy("node", "size").agg(F.count("*").alias("_long")).filter(F.col("_long") >= _by_long(_needed(least)))
+    reaching = kept.filter(is_long).select(*columns).join(able.select("node", "size"), ["node", "size"], "left_semi")
     follows = F.col("_size").isNotNull() & fits(F.col("_size"), F.col("size")) & (F.col("own") != F.col("_own"))
     stands = (F.col("salt") >= 0) & (F.col("_size").isNull() | (F.col("size") != F.col("_size")))
-    rows = chained(postings, "shingle", "salt")
-    # Copies follow each other: one of them is enough for the rare columns.
-    counted = rows.withColumn("_n", F.sum((F.col("_own").isNull() | (F.col("own") != F.col("_own"))).cast("int")).over(Window.partitionBy("shingle", "salt")))
-    kept = materialize(counted.filter(F.when(F.col("salt") < 0, F.col("_n") > 1).otherwise(follows | stands)), "columns")
-    is_long = (F.col("salt") >= 0) | (F.col("_n") > LONG)
-    within = kept.filter(is_long & follows)
-    between = chained(kept.filter(stands).drop("_node", "_size", "_own"), "shingle").filter(follows)
-    chains = [part.select(F.col("_node").alias("a"), F.col("node").alias("b")) for part in (within, between)]
+    within = materialize(chained(reaching, "shingle", "salt").filter(follows | stands), "chains")
+    between = chained(within.filter(stands).select(*columns), "shingle")
+    chains = [part.filter(follows).select(F.col("_node").alias("a"), F.col("node").alias("b")) for part in (within, between)]
 
-    rare = kept.filter(~is_long & (F.col("_own").isNull() | (F.col("own") != F.col("_own"))))
-    lists = rare.groupBy("shingle").agg(F.sort_array(F.collect_list(F.struct("size", "node"))).alias("docs"))
+    lists = kept.filter(~is_long & F.col("_other")).groupBy("shingle").agg(F.sort_array(F.collect_list(F.struct("size", "node"))).alias("docs"))
     first = lists.select("docs", F.posexplode("docs").alias("i", "x"))
     pairs = first.select("x", F.explode(F.slice("docs", F.col("i") + 2, F.lit(LONG))).alias("y")).filter(fits(F.col("x.size"), F.col("y.size")))
-    need = 1 + F.floor(F.col("x.size") / 20)
+    needed = _needed(F.col("x.size"))
     overlaps = pairs.groupBy(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).agg(
-        F.count("*").alias("n"), F.min(need).alias("need")
+        F.count("*").alias("n"), F.min(needed + 1 - _by_long(needed)).alias("needed")
     )
-    return chains[0].unionByName(chains[1]).unionByName(overlaps.filter("n >= need").select("a", "b")).distinct()
+    return chains[0].unionByName(chains[1]).unionByName(overlaps.filter("n >= needed").select("a", "b")).distinct()
 
 
 def _dealt(groups: DataFrame, block_shingles: int, block_docs: int) -> DataFrame:
@@ -272,7 +287,11 @@ def jaccard_join(
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     found = materialize(digests(docs, n), "digests")
     classes = found.filter("n_shingles > 0").groupBy("n_shingles", "high", "low").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
-    members = materialize(found.join(classes, ["n_shingles", "high", "low"], "left").select("doc_id", "n_shingles", "rep", "copies"), "members")
+    # A class with a large share of all rows is spread over tasks.
+    classes = materialize(classes.select(F.struct("n_shingles", "high", "low").alias("_class"), "rep", "copies"), "classes")
+    keyed = found.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.struct("n_shingles", "high", "low")).alias("_class"))
+    members = skew_join(keyed, classes, "_class", F.col("doc_id"), counts=classes.select("_class", F.col("copies").alias("n")))
+    members = materialize(members.select("doc_id", "n_shingles", "rep", "copies"), "members")
     common = common_shingles(docs, n, most=most_common, least=common_from)
     pairs = _candidates(_postings(docs, n, percent, common, "doc_id", "text"), percent)
     known = members.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("rep").alias("rep"))
@@ -296,11 +315,10 @@ def jaccard_join(
     )
     ends = components(forest.select(F.col("node").alias("a"), F.col("root").alias("b")))
     degrees = forest.groupBy("node").agg(F.sum("links").alias("links"))
-    return (
-        members.join(ends.withColumnRenamed("node", "rep"), "rep", "left").join(degrees.withColumnRenamed("node", "rep"), "rep", "left")
-        .select(
-            F.col("doc_id").alias(doc_id), "n_shingles",
-            F.when(F.col("n_shingles") > 0, F.coalesce("links", F.lit(0)) + F.col("copies") - 1).otherwise(F.lit(0)).cast("long").alias("n_links"),
-            F.coalesce("component", "rep", "doc_id").alias("component_id"),
-        )
+    labels = materialize(degrees.join(ends, "node", "left").withColumnRenamed("node", "rep"), "labels")
+    placed = skew_join(members, labels, "rep", F.col("doc_id"), counts=classes.filter("rep IS NOT NULL").groupBy("rep").agg(F.sum("copies").alias("n")))
+    return placed.select(
+        F.col("doc_id").alias(doc_id), "n_shingles",
+        F.when(F.col("n_shingles") > 0, F.coalesce("links", F.lit(0)) + F.col("copies") - 1).otherwise(F.lit(0)).cast("long").alias("n_links"),
+        F.coalesce("component", "rep", "doc_id").alias("component_id"),
     )
