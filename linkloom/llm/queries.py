@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkloom.llm import chunks, jaccard, katz, langid, licenses, packing, quality, slots, spotsigs, warc
-from linkloom.session import new_folder
+from linkloom.session import materialize, new_folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,7 +35,7 @@ def op3_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "archives")
     warc.write_archives(warc.resolve(table(spark, sf_dir, "pages"), "page_id", "html"), path, "page_id", "url", "html")
-    records = warc.join_revisits(warc.read_archives(spark, path, payloads=False))
+    records = warc.join_revisits(materialize(warc.read_archives(spark, path, payloads=False), "records"))
     return records.select(F.col("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

@@ -143,12 +143,13 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
 def join_revisits(records: DataFrame) -> DataFrame:
     """``records`` with length and digest (and payload, if there) of revisits taken from the response they refer to.
 
-    Adaptive execution splits the join where one response has a large share of the revisits.
+    ``records`` should be a table, as it is read more than once. Rows without a reference are spread, and so are those
+    that refer to one response with a large share of all.
     """
     values = [c for c in ("payload_bytes", "payload_digest", "payload") if c in records.columns]
     responses = records.filter("record_type = 'response' AND record_id IS NOT NULL").groupBy(F.col("record_id").alias("refers_to")).agg(
         *[F.first(c).alias(f"_{c}") for c in values]
     )
-    joined = records.join(responses, "refers_to", "left")
+    joined = skew_join(records, responses, "refers_to", F.col("record_id"))
     taken = {c: F.when(F.col("record_type") == "revisit", F.col(f"_{c}")).otherwise(F.col(c)) for c in values}
     return joined.withColumns(taken).select(*records.columns)
