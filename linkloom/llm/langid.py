@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from linkloom.llm import arrays
+from linkloom.operators.sizes import small
+from linkloom.session import materialize
 
 UNKNOWN = "und"
 
@@ -99,15 +101,18 @@ def _features(batches: Iterable[pa.RecordBatch], settings: Settings) -> Iterator
 
 
 def sample(docs: DataFrame, label: str, text: str, train: Column, settings: Settings) -> DataFrame:
-    """The labelled rows to fit on: up to ``per_language`` of each language, those of smallest text hash."""
-    rows = docs.filter(train & F.col(label).isNotNull() & F.col(text).isNotNull()).select(
-        F.col(label).cast("string").alias("lang"), F.col(text).alias("text"), F.xxhash64(F.col(text), F.lit(settings.seed)).alias("_hash"),
-    )
+    """The labelled rows to fit on: up to ``per_language`` of each language, those of smallest text hash.
+
+    Languages are counted first, and only texts whose hash is within a few times the share asked for are ranked.
+    """
+    rows = docs.filter(train & F.col(label).isNotNull() & F.col(text).isNotNull()).select(F.col(label).cast("string").alias("lang"), F.col(text).alias("text"))
+    shares = materialize(rows.groupBy("lang").agg((F.lit(8.0 * settings.per_language) / F.count("*")).alias("_share")), "shares")
+    hashed = rows.withColumn("_hash", F.xxhash64(F.col("text"), F.lit(settings.seed)))
+    near = hashed.join(small(shares), "lang").filter(F.shiftrightunsigned("_hash", 11) < F.col("_share") * float(1 << 53))
     order = Window.partitionBy("lang").orderBy("_hash", "text")
     held = F.pmod(F.xxhash64("_hash"), F.lit(1000)) < int(1000 * settings.calibration)
-    return rows.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= settings.per_language).select(
-        "lang", "text", held.alias("held")
-    )
+    ranked = near.withColumn("_hash", F.shiftrightunsigned("_hash", 11)).withColumn("_rank", F.row_number().over(order))
+    return ranked.filter(F.col("_rank") <= settings.per_language).select("lang", "text", held.alias("held"))
 
 
 def fit(docs: DataFrame, label: str = "lang", text: str = "text", train: Column | None = None, settings: Settings = Settings()) -> Model:
