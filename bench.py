@@ -9,6 +9,7 @@ import json
 import os
 import re
 import sys
+import tempfile
 import time
 
 from linkloom import session
@@ -27,7 +28,7 @@ def main() -> None:
     runs = int(os.environ.get("BENCH_RUNS", "1"))
     spark = session.build(
         f"local[{cpus}]",
-        **{"spark.sql.shuffle.partitions": cpus, "spark.ui.enabled": "false", "spark.driver.memory": "12g",
+        **{"spark.sql.shuffle.partitions": cpus, "spark.ui.enabled": "false", "spark.driver.memory": "12g", "spark.checkpoint.dir": tempfile.mkdtemp(prefix="shared-"),
            "spark.ui.showConsoleProgress": "false"},
     )
     spark.sparkContext.setLogLevel("OFF")

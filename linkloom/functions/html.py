@@ -84,7 +84,17 @@ def attribute_value(attribute: Column) -> Column:
     return F.regexp_replace(raw, r"""(?s)^(["'])(.*)\1\z""", "$2")
 
 
-def _from_code_point(code: Column) -> Column:
+def _windows_1252() -> dict[int, int]:
+    """Code points 128 to 159 stand for characters of Windows-1252, where that has one."""
+    raw = ((code, bytes([code]).decode("cp1252", "ignore")) for code in range(128, 160))
+    return {code: ord(char) for code, char in raw if char}
+
+
+def _from_code_point(digits: Column, base: int, most: int) -> Column:
+    """The character of a number without leading zeros; one of more than ``most`` digits is beyond any code point."""
+    code = F.when(F.length(digits) <= most, F.conv(digits, base, 10).cast("bigint"))
+    told = F.create_map(*[F.lit(v).cast("bigint") for pair in _windows_1252().items() for v in pair])
+    code = F.coalesce(F.try_element_at(told, code), code)
     valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
     return F.decode(F.unhex(F.lpad(F.hex(F.when(valid, code).otherwise(F.lit(0xFFFD))), 8, "0")), "UTF-32")
 
@@ -95,10 +105,8 @@ def unescape(text: Column) -> Column:
 
     def decode(piece: Column) -> Column:
         return (
-            F.when(piece.rlike("^&#[xX]"), _from_code_point(
-                F.conv(F.right(F.regexp_extract(piece, "^&#[xX]0*([0-9A-Fa-f]*)", 1), F.lit(8)), 16, 10).cast("bigint")))
-            .when(piece.startswith("&#"), _from_code_point(
-                F.right(F.regexp_extract(piece, "^&#0*([0-9]*)", 1), F.lit(10)).try_cast("bigint")))
+            F.when(piece.rlike("^&#[xX]"), _from_code_point(F.regexp_extract(piece, "^&#[xX]0*([0-9A-Fa-f]*)", 1), 16, 8))
+            .when(piece.startswith("&#"), _from_code_point(F.regexp_extract(piece, "^&#0*([0-9]*)", 1), 10, 10))
             .when(piece == "&apos;", "'")
             .when(piece.startswith("&"), F.coalesce(F.try_element_at(names, piece), piece))
             .otherwise(piece)

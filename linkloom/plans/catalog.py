@@ -601,9 +601,6 @@ def sitemap_frontier(spark, sf):
 # Rounds, graph, streams
 
 
-_ROUNDS: dict[tuple[str, str], rounds.Changes] = {}
-
-
 def _round_inputs(spark, sf) -> rounds.Inputs:
     found = D.sitemap_files(spark, sf).select(
         F.concat(F.lit("https://"), "domain", F.lit("/sitemap.xml")).alias("sitemap_url"), "line_no", "xml"
@@ -621,14 +618,7 @@ def _round(spark, sf) -> rounds.Changes:
     state = rounds.State(
         page=D.round_page(spark, sf), **{name: schemas.empty(spark, name) for name in ("site", "link", "page_data", "image")}
     )
-    changes = rounds.crawl_round(state, _round_inputs(spark, sf), _options())
-    _ROUNDS[spark.sparkContext.applicationId, sf] = changes
-    return changes
-
-
-def _last_round(spark, sf) -> rounds.Changes:
-    """The round that ``crawl_round`` ran in this application, or a new one: its outputs are separate queries."""
-    return _ROUNDS.get((spark.sparkContext.applicationId, sf)) or _round(spark, sf)
+    return rounds.crawl_round(state, _round_inputs(spark, sf), _options())
 
 
 @query
@@ -641,27 +631,27 @@ def crawl_round(spark, sf):
 
 @query
 def crawl_round_frontier(spark, sf):
-    return _last_round(spark, sf).frontier.select("id", "url", "page_type_code", "relevance")
+    return _round(spark, sf).frontier.select("id", "url", "page_type_code", "relevance")
 
 
 @query
 def crawl_round_links(spark, sf):
-    return _last_round(spark, sf).link
+    return _round(spark, sf).link
 
 
 @query
 def crawl_round_sites(spark, sf):
-    return _last_round(spark, sf).site
+    return _round(spark, sf).site
 
 
 @query
 def crawl_round_page_data(spark, sf):
-    return _last_round(spark, sf).page_data.select("id", "page_id", "data_type_code")
+    return _round(spark, sf).page_data.select("id", "page_id", "data_type_code")
 
 
 @query
 def crawl_round_images(spark, sf):
-    return _last_round(spark, sf).image.select("id", "page_id", "filename", "content_type", "accessed_time")
+    return _round(spark, sf).image.select("id", "page_id", "filename", "content_type", "accessed_time")
 
 
 @query

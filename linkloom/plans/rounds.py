@@ -163,8 +163,11 @@ def _responses(claimed: DataFrame, inputs: Inputs, options: Options) -> DataFram
     """What came for the claimed pages; a claimed page without response counts as a failed fetch."""
     now = None if options.now is None else options.now.isoformat(sep=" ")
     hinted = small(claimed)
-    fetched = inputs.fetched if isinstance(inputs.fetched, DataFrame) else inputs.fetched(claimed.select("id", "url"))
-    got = fetched.select("url", "html", "http_status_code", "content_type", "accessed_ip", "accessed_time")
+    columns = ["url", "html", "http_status_code", "content_type", "accessed_ip", "accessed_time"]
+    if isinstance(inputs.fetched, DataFrame):
+        got = inputs.fetched.select(*columns)
+    else:  # fetched once, though read twice
+        got = materialize(inputs.fetched(claimed.select("id", "url")).select(*columns), "responses")
     arrived = got.join(hinted, "url")
     lost = claimed.join(known_rows(got.select("url"), hinted, ["url"]).distinct(), "url", "left_anti")
     lost = lost.select(

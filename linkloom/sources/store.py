@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from typing import TYPE_CHECKING
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkloom import schemas
@@ -22,7 +22,7 @@ if TYPE_CHECKING:
 
 OPEN_STATES = ("FRONTIER", "CRAWLING")
 _ADDED = ("site", "link", "page_data", "image")
-_COMMIT = "version int, base int, html_pages bigint, frontier_pages bigint"
+_COMMIT = "version int, base int, html_pages bigint, frontier_pages bigint, stream string, batch bigint"
 
 
 @dataclass(frozen=True)
@@ -31,6 +31,8 @@ class Status:
     base: int
     html_pages: int
     frontier_pages: int
+    stream: str | None = None
+    batch: int | None = None
 
 
 class Store:
@@ -40,9 +42,16 @@ class Store:
 
     def status(self) -> Status | None:
         """The newest committed version; its counts were taken when it was written."""
+        return self._newest(F.lit(True))
+
+    def applied(self, stream: str, batch: int) -> bool:
+        """Whether a version holds this micro-batch of the stream, or a later one."""
+        return self._newest((F.col("stream") == stream) & (F.col("batch") >= batch)) is not None
+
+    def _newest(self, condition: Column) -> Status | None:
         try:
             commits = self.spark.read.schema(_COMMIT).json(f"{self.root}/_commits/*")
-            row = commits.orderBy(F.col("version").desc()).first()
+            row = commits.filter(condition).orderBy(F.col("version").desc()).first()
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -71,8 +80,8 @@ class Store:
         self._write(page.filter(F.col("page_type_code").isin(*OPEN_STATES)), "page_open", version)
         return self._commit(version, version, 0)
 
-    def append(self, changes: Changes) -> Status:
-        """Add the changes of one round as the next version."""
+    def append(self, changes: Changes, stream: str | None = None, batch: int | None = None) -> Status:
+        """Add the changes of one round, or of a micro-batch of a stream, as the next version."""
         before = self.status()
         version = before.version + 1
         for name in _ADDED:
@@ -80,10 +89,18 @@ class Store:
         self._write_settled(changes.settled, version)
         # Which rows were settled is read back from what was just written: ids only.
         opened = self.spark.read.schema(schemas.PAGE).parquet(self._path("page_open", before.version))
-        settled = self.spark.read.parquet(self._path("page_settled", version)).select("id")
+        settled = self.spark.read.schema(schemas.PAGE).parquet(self._path("page_settled", version)).select("id")
         still_open = opened.join(settled, "id", "left_anti").select(*schemas.PAGE.names)
         self._write(still_open.unionByName(changes.frontier), "page_open", version)
-        return self._commit(version, before.base, before.html_pages)
+        return self._commit(version, before.base, before.html_pages, stream, batch)
+
+    def write_rejects(self, rows: DataFrame, version: int) -> None:
+        """Keep arrived rows (id, url) that a version could not take."""
+        rows.select("id", "url").write.mode("overwrite").parquet(self._path("rejects", version))
+
+    def rejects(self) -> DataFrame:
+        """(id, url, v): the arrived rows that were not taken, by version."""
+        return self.spark.read.schema("id bigint, url string, v int").parquet(f"{self.root}/rejects")
 
     def _path(self, table: str, version: int) -> str:
         return f"{self.root}/{table}/v={version}"
@@ -102,12 +119,12 @@ class Store:
         stored = self.spark.read.schema(f"{_ddl(schema)}, v int").parquet(f"{self.root}/{table}")
         return stored.filter(F.col("v").between(status.base, status.version)).select(*schema.names)
 
-    def _commit(self, version: int, base: int, html_before: int) -> Status:
+    def _commit(self, version: int, base: int, html_before: int, stream: str | None = None, batch: int | None = None) -> Status:
         opened = self.spark.read.schema(schemas.PAGE).parquet(self._path("page_open", version))
         stored = self.spark.read.schema(f"{_ddl(schemas.PAGE)}, v int").parquet(f"{self.root}/page_settled")
         html = stored.filter((F.col("v") == version) & (F.col("page_type_code") == "HTML"))
         frontier = opened.filter(F.col("page_type_code") == "FRONTIER")
-        status = Status(version, base, html_before + html.count(), frontier.count())
+        status = Status(version, base, html_before + html.count(), frontier.count(), stream, batch)
         row = self.spark.createDataFrame([tuple(vars(status).values())], _COMMIT)
         row.coalesce(1).write.mode("overwrite").json(f"{self.root}/_commits/{version}")
         return status

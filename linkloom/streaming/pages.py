@@ -13,10 +13,10 @@ from pyspark.sql.streaming import StreamingQuery
 from linkloom import schemas
 from linkloom.functions import urls
 from linkloom.operators import pages
-from linkloom.operators.sizes import except_known, small
+from linkloom.operators.sizes import except_known, known_rows, small
 from linkloom.plans import rounds
 from linkloom.session import materialize, new_folder
-from linkloom.sources.store import Store
+from linkloom.sources.store import OPEN_STATES, Store
 
 # Copies of one text are first reduced inside this many groups, so that a text with very many copies
 # does not send them all to one task.
@@ -32,8 +32,7 @@ def _responses(arrived: DataFrame) -> DataFrame:
     })
 
 
-def _run(writer, name: str, spark, checkpoint: str | None) -> StreamingQuery:
-    location = checkpoint or new_folder(spark, f"stream-{name}")
+def _run(writer, location: str) -> StreamingQuery:
     return writer.option("checkpointLocation", location).trigger(availableNow=True).start()
 
 
@@ -41,20 +40,53 @@ def stream_ingest(arriving: DataFrame, store: Store, checkpoint: str | None = No
     """Settle arriving pages in ``store``: each text is accepted once, later copies become
     DUPLICATE and are linked from their original.
 
-    A micro-batch is one version of the store, with its number following from the batch's. A batch
-    that is replayed after a failure finds its version committed and is skipped.
+    A micro-batch is one version of the store, whose commit names the stream (by its checkpoint) and the
+    batch. A batch that is replayed after a failure or a restart is found there and skipped.
     """
-    first = store.status().version + 1
+    location = checkpoint or new_folder(arriving.sparkSession, "stream-ingest")
     return _run(arriving.writeStream.foreachBatch(
-        lambda batch, number: ingest_batch(store, batch, number, first)
-    ), "ingest", arriving.sparkSession, checkpoint)
+        lambda batch, number: ingest_batch(store, batch, number, location)
+    ), location)
 
 
-def ingest_batch(store: Store, batch: DataFrame, number: int, first: int) -> None:
-    if store.status().version >= first + number:
+def _known(arrived: DataFrame, page: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Arrived rows that can be taken, and (id, url) of the others.
+
+    An open page is updated by its id: it keeps its URL, site and relevance. A new id with a new URL is a new page. Pages
+    that are settled, and new ids for a URL that another page has, are rejects. Of several rows for one id or
+    URL in a batch, the first by time, then id, is taken.
+    """
+    ids = small(arrived.select("id").distinct())
+    by_id = materialize(known_rows(page.select("id", "url", "site_id", "relevance", "page_type_code"), ids, ["id"]), "known-ids")
+    stored = by_id.select("id", F.col("url").alias("_url"), F.col("site_id").alias("_site"), F.col("relevance").alias("_relevance"), F.col("page_type_code").alias("_state"))
+    rows = arrived.join(small(stored), "id", "left").withColumns({
+        "url": F.coalesce("_url", "url"), "site_id": F.col("_site"), "relevance": F.col("_relevance"), "_new": F.col("_state").isNull(),
+    })
+    urls_of = known_rows(page.select("url"), small(rows.filter("_new").select("url").distinct()), ["url"]).distinct()
+    taken = rows.join(small(materialize(urls_of, "known-urls")).withColumn("_taken", F.lit(True)), "url", "left")
+    fits = F.when(F.col("_new"), F.col("_taken").isNull()).otherwise(F.col("_state").isin(*OPEN_STATES))
+    narrow = taken.select("id", "url", "accessed_time", F.coalesce(fits, F.lit(False)).alias("_fits"))
+    order = ("accessed_time", "id")
+    first = (
+        narrow.filter("_fits").groupBy("url").agg(F.min(F.struct(*order)).alias("_first")).select("url", "_first.*")
+        .groupBy("id").agg(F.min(F.struct("accessed_time", "url")).alias("_first")).select("id", "_first.*")
+    )
+    first = materialize(first, "first-arrived")
+    same = (taken["id"] == first["id"]) & (taken["url"] == first["url"]) & taken["accessed_time"].eqNullSafe(first["accessed_time"])
+    kept = taken.join(small(first), same, "left_semi").drop("_url", "_site", "_relevance", "_state", "_new", "_taken")
+    if kept.select("id").count() > first.count():  # rows alike in id, URL and time; texts only move if there are any
+        kept = kept.dropDuplicates(["id"])
+    rejects = narrow.join(first.select("id", "url"), ["id", "url"], "left_anti")
+    return kept, rejects.select("id", "url")
+
+
+def ingest_batch(store: Store, batch: DataFrame, number: int, stream: str) -> None:
+    if store.applied(stream, number):
         return
     state = rounds.load(store)
-    processed = materialize(rounds.process(_responses(batch)), "arrived")
+    kept, rejects = _known(_responses(batch), state.page)
+    processed = materialize(rounds.process(kept), "arrived")
+    store.write_rejects(rejects, store.status().version + 1)
     marked = materialize(rounds.mark(processed, state.page), "marked")
     duplicates = small(marked.filter("is_duplicate").select("id", "is_duplicate"))
     pairs = pages.duplicate_links(marked)
@@ -65,7 +97,7 @@ def ingest_batch(store: Store, batch: DataFrame, number: int, first: int) -> Non
         **{name: schemas.empty(spark, table) for name, table in (
             ("frontier", "page"), ("site", "site"), ("page_data", "page_data"), ("image", "image"),
         )},
-    ))
+    ), stream, number)
 
 
 def first_seen(arriving: DataFrame) -> DataFrame:
@@ -82,7 +114,7 @@ def first_seen(arriving: DataFrame) -> DataFrame:
 def stream_first_seen(arriving: DataFrame, out: str, checkpoint: str | None = None) -> StreamingQuery:
     """Append first sightings to parquet files in ``out``."""
     writer = first_seen(arriving).writeStream.format("parquet").option("path", out).outputMode("append")
-    return _run(writer, "first-seen", arriving.sparkSession, checkpoint)
+    return _run(writer, checkpoint or new_folder(arriving.sparkSession, "stream-first-seen"))
 
 
 def type_counts(arriving: DataFrame) -> DataFrame:
@@ -98,7 +130,7 @@ def stream_html_count(arriving: DataFrame, out: str, checkpoint: str | None = No
         counts.coalesce(1).write.mode("overwrite").parquet(f"{out}/batch={number}")
 
     writer = type_counts(arriving).writeStream.outputMode("complete").foreachBatch(write)
-    return _run(writer, "html-count", arriving.sparkSession, checkpoint)
+    return _run(writer, checkpoint or new_folder(arriving.sparkSession, "stream-html-count"))
 
 
 def latest_counts(spark, out: str) -> DataFrame:

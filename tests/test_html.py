@@ -97,3 +97,13 @@ def test_needs_render(spark):
     rows = [("<div data-placeholder>", True), ("DATA-PLACEHOLDER", False), ("Please Enable JavaScript", True), ("", False)]
     df = spark.createDataFrame(rows, "t string, want boolean").withColumn("got", H.needs_render(F.col("t")))
     assert all(r.got == r.want for r in df.collect())
+
+
+def test_numeric_entities_like_a_parser(spark):
+    import html as parser
+
+    from linkloom.functions import html
+
+    texts = ["&#x100000041;", "&#10000000065;", "&#146;", "&#128;", "&#129;", "&#x9F;", "&#0000065;", "&#x0;", "&#xD800;", "&#1114112;", "&#65;&#x42;"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", html.unescape(F.col("t")).alias("got")).collect()
+    assert {r.t: r.got for r in rows} == {t: parser.unescape(t) for t in texts}

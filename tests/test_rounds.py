@@ -148,9 +148,13 @@ def test_streams_end_where_batches_do(spark):
     assert counts == {"HTML": 7, "DUPLICATE": 41, "BINARY": 12}
     assert state.link.count() == 41
     assert quality.unique_violations({"page": state.page, "link": state.link}).count() == 0
-    # A batch that is replayed is skipped.
-    streams.ingest_batch(store, stored, 2, 1)
+    # A batch that is replayed is skipped, also by a stream that was started again.
+    streams.ingest_batch(store, stored, 2, checkpoint)
     assert store.status().version == 3
+    again = streams.stream_ingest(page_stream(spark, folder, 1), store, checkpoint)
+    again.awaitTermination()
+    assert store.status().version == 3
+    assert store.rejects().count() == 0
 
     out = new_folder(spark, "seen")
     streams.stream_first_seen(page_stream(spark, folder, 1), out).awaitTermination()
@@ -160,3 +164,38 @@ def test_streams_end_where_batches_do(spark):
     out = new_folder(spark, "counts")
     streams.stream_html_count(page_stream(spark, folder, 1), out).awaitTermination()
     assert {r.page_type_code: r.n for r in streams.latest_counts(spark, out).collect()} == {"HTML": 48, "BINARY": 12}
+
+
+def test_stream_restarts_after_a_commit(spark, monkeypatch):
+    folder = page_files(spark)
+    store = Store(spark, new_folder(spark, "store"))
+    open_page = (3, None, "FRONTIER", "https://h.example/3", None, None, None, None, 7, None)
+    store.replace({"page": spark.createDataFrame([open_page], schemas.PAGE)})
+    checkpoint = new_folder(spark, "checkpoint")
+    real, calls = store.append, []
+
+    def failing(*args):
+        real(*args)
+        calls.append(args)
+        if len(calls) == 2:
+            raise RuntimeError("lost after the commit")
+
+    monkeypatch.setattr(store, "append", failing)
+    with pytest.raises(Exception, match="lost after the commit"):
+        streams.stream_ingest(page_stream(spark, folder, 1), store, checkpoint).awaitTermination()
+    monkeypatch.setattr(store, "append", real)
+    streams.stream_ingest(page_stream(spark, folder, 1), store, checkpoint).awaitTermination()
+    page = rounds.load(store).page
+    assert page.count() == page.select("id").distinct().count() == page.select("url").distinct().count() == 60
+    assert page.filter("id = 3").first().relevance == 7 and page.filter("page_type_code = 'FRONTIER'").count() == 0
+
+
+def test_stream_rejects(spark):
+    store = Store(spark, new_folder(spark, "store"))
+    store.replace({"page": spark.createDataFrame([(1, None, "FRONTIER", "https://h.example/1", None, None, None, None, 3, None)], schemas.PAGE)})
+    row = lambda i, u, t: (i, f"https://h.example/{u}", f"<p>{i}</p>", 200, "text/html", "ip", T0 + dt.timedelta(seconds=t))
+    streams.ingest_batch(store, spark.createDataFrame([row(9, 1, 0), row(1, 1, 1), row(5, 5, 2), row(6, 5, 3)], schemas.FETCHED), 0, "s")
+    assert {(r.id, r.relevance) for r in rounds.load(store).page.collect()} == {(1, 3), (5, None)}
+    assert {r.id for r in store.rejects().collect()} == {9, 6}
+    streams.ingest_batch(store, spark.createDataFrame([row(1, 1, 9)], schemas.FETCHED), 1, "s")
+    assert rounds.load(store).page.count() == 2
