@@ -86,14 +86,14 @@ QUERIES = {
 }
 
 _DIGIT = "substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((v >> {shift}) & 31)::INT, 1)"
-_GROUP = "list_transform(range(8), i -> ('0x' || substr(hex, 1 + 5 * i::INT, 5))::BIGINT)"
+_GROUPS = "[('0x' || substr(hex, 1 + 5 * i::INT, 5))::BIGINT for i in range(8)]"
 
 ORACLE: dict[str, str] = {
     "op4_warc_revisits": f"""
         WITH payloads AS (SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS hex FROM pages),
         hashed AS (
             SELECT page_id, strlen(body)::BIGINT AS payload_bytes, hex,
-                array_to_string(list_transform({_GROUP}, v -> {" || ".join(_DIGIT.format(shift=s) for s in (15, 10, 5, 0))}), '') AS payload_digest
+                array_to_string([{" || ".join(_DIGIT.format(shift=s) for s in (15, 10, 5, 0))} for v in {_GROUPS}], '') AS payload_digest
             FROM payloads
         ),
         known AS (SELECT *, max(page_id) OVER (PARTITION BY hex) AS original FROM hashed)
