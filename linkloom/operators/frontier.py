@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from linkloom.constants import SEED_RELEVANCE, SINGLE_INSERT_SITE_ID
@@ -17,6 +17,8 @@ from linkloom.schemas import LINK_BATCH, PAGE
 # top k before the shuffle only up to its own threshold of the same size.
 GROUP_LIMIT = 1000
 RANK_SALTS = 64
+# Ids of one score are counted in this many equal ranges at a time.
+ID_RANGES = 4096
 
 
 def explode_link_batches(bodies: DataFrame, body: str = "body") -> tuple[DataFrame, DataFrame]:
@@ -155,7 +157,46 @@ def open_frontier(page: DataFrame) -> DataFrame:
 
 def frontier_topk(page: DataFrame, k: int = 1) -> DataFrame:
     """The k best FRONTIER rows (id, url, relevance), ties by id."""
-    return open_frontier(page).orderBy(*_best_first()).limit(k)
+    return best_rows(open_frontier(page), k)
+
+
+def best_rows(rows: DataFrame, k: int, limit: int = GROUP_LIMIT, ranges: int = ID_RANGES) -> DataFrame:
+    """The k best of ``rows`` (id, relevance, …), ties by id; ids are unique.
+
+    Small k are merged in one task, which sees k rows of every other task. For larger ones, counts by score and then by
+    ranges of ids find the last row that is taken, and the answer is a filter: no task gets k rows, nothing is shuffled
+    but counts. That runs a few small jobs at once, so ``rows`` should be a stored table.
+    """
+    if k <= limit:
+        return rows.orderBy(*_best_first()).limit(k)
+    counts = rows.groupBy("relevance").agg(F.count("*").alias("n"))
+    cut = _holding(counts, F.col("relevance").desc_nulls_first(), k)
+    if cut is None:  # fewer than k rows
+        return rows
+    left = k - cut.before
+    score = F.lit(cut.relevance).cast(rows.schema["relevance"].dataType)
+    tied = F.col("relevance").eqNullSafe(score)
+    better = F.lit(False) if cut.relevance is None else F.col("relevance").isNull() | (F.col("relevance") > score)
+    if left == cut.n:
+        return rows.filter(better | tied)
+    low, high = rows.filter(tied).agg(F.min("id"), F.max("id")).first()
+    while low < high:
+        width = (high - low) // ranges + 1
+        place = F.expr(f"(id - {low}) div {width}")
+        within = rows.filter(tied & F.col("id").between(low, high)).groupBy(place.alias("place"))
+        hit = _holding(within.agg(F.count("*").alias("n"), F.max("id").alias("last")), F.col("place"), left)
+        left -= hit.before
+        low, high = low + hit.place * width, hit.last
+        if left == hit.n:  # the whole range is taken
+            low = high
+    return rows.filter(better | (tied & (F.col("id") <= high)))
+
+
+def _holding(counts: DataFrame, order: Column, k: int) -> Row | None:
+    """The row of a small frame of counts ``n`` that holds the k-th of all, with what stands ``before`` it."""
+    earlier = Window.partitionBy(F.lit(0)).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    summed = counts.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    return summed.filter((F.col("before") < k) & (F.col("before") + F.col("n") >= k)).first()
 
 
 def frontier_topk_per_site(page: DataFrame, k: int = 1) -> DataFrame:

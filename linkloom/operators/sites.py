@@ -85,6 +85,21 @@ def politeness_delay(
     return joined.select(*requests.columns, delay.alias("delay"))
 
 
+def waiting_domains(
+    latest: DataFrame, delays: DataFrame, ip: str, now: Column, default: float = DEFAULT_DELAY_SECONDS,
+) -> DataFrame:
+    """(domain, delay): domains that ``ip`` cannot ask again at ``now``, and for how many seconds.
+
+    ``latest`` comes from last_access, ``delays`` (domain, crawl_delay) from the robots files.
+    """
+    asked = latest.filter(F.col("accessed_ip") == ip).select("domain").distinct().join(delays, "domain", "left")
+    requests = asked.select(
+        F.col("domain").alias("site_url"), F.lit(ip).alias("ip"), F.col("crawl_delay").cast("double").alias("robots_delay")
+    )
+    waits = politeness_delay(requests, latest, now, default=default).filter(F.col("delay") > 0)
+    return waits.select(F.col("site_url").alias("domain"), "delay")
+
+
 def _micros(time: Column) -> Column:
     zero = F.expr("timestamp_ntz '1970-01-01 00:00:00'")
     return F.timestamp_diff("MICROSECOND", zero, time)

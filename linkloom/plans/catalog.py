@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -506,6 +507,38 @@ def frontier_claim(spark, sf):
     return claimed.select("id", "url", "page_type_code", "accessed_time")
 
 
+@query
+def frontier_topk_large(spark, sf):
+    """A third of the frontier, without a merge in one task."""
+    page = D.mixed_page(spark, sf)
+    k = page.filter(F.col("page_type_code") == "FRONTIER").count() // 3
+    return frontier.best_rows(frontier.open_frontier(page), k, limit=0, ranges=7)
+
+
+@query
+def claim_due(spark, sf):
+    """Claims of sites whose delay is over; sites were asked at different times."""
+    site = _site(spark, sf)
+    keyed = D.mixed_page(spark, sf).drop("site_id").withColumn("domain", urls.domain_of(F.col("url")))
+    keyed = keyed.join(site.select(F.col("id").alias("site_id"), "domain"), "domain", "left")
+    settled = F.col("page_type_code") != "FRONTIER"
+    page = keyed.withColumns({
+        "accessed_time": F.when(settled, D.seconds_after_start(F.length("domain") % 7)), "accessed_ip": F.when(settled, "10.0.0.1"),
+    })
+    now = datetime(2024, 1, 1, 0, 0, 7)
+    return rounds.claim(page, rounds.Options(agent=D.AGENT, ip="10.0.0.1", now=now, due_only=True), site)
+
+
+@query
+def last_page_access(spark, sf):
+    """Latest access from pages and their sites; users stand in for sites."""
+    site = table(spark, sf, "customer").select(F.col("c_custkey").cast("bigint").alias("id"), F.concat(F.lit("c"), F.col("c_nationkey").cast("string"), F.lit(".example")).alias("domain"))
+    page = table(spark, sf, "events").select(
+        F.col("user_id").cast("bigint").alias("site_id"), F.col("event_type").alias("accessed_ip"), F.col("ts").alias("accessed_time")
+    )
+    return sites.last_page_access(site, page)
+
+
 @query
 def frontier_topk_per_site(spark, sf):
     return frontier.frontier_topk_per_site(D.mixed_page(spark, sf), 2)
@@ -602,11 +635,10 @@ def sitemap_frontier(spark, sf):
 
 
 def _round_inputs(spark, sf) -> rounds.Inputs:
-    found = D.sitemap_files(spark, sf).select(
-        F.concat(F.lit("https://"), "domain", F.lit("/sitemap.xml")).alias("sitemap_url"), "line_no", "xml"
+    # Sites list one sitemap, which has several parts.
+    files = D.sitemap_files(spark, sf).select(
+        F.concat(F.lit("https://"), "domain", F.lit("/sitemap.xml")).alias("sitemap_url"), "xml"
     )
-    # Sites list one sitemap: the file of their first page.
-    files = found.groupBy("sitemap_url").agg(F.min_by("xml", "line_no").alias("xml"))
     return rounds.Inputs(D.round_fetched(spark, sf), D.site_robots(spark, sf), files)
 
 

@@ -141,7 +141,10 @@ CTES = {
         SELECT page_id AS from_page, child AS to_page FROM (
             SELECT page_id, unnest([page_id * 2 + 1, page_id * 2 + 2, CASE WHEN page_id % 3 = 0 THEN 0 END]) AS child FROM pages
         ) WHERE child IN (SELECT page_id FROM pages)""",
-    # The round: all responses of pages and documents at once.
+    # The round: all responses of pages and documents at once, the first of each URL.
+    "round_all": f"""
+        SELECT id, {canonical('url')} AS url, html || '<a href="/files/' || (id % 30) || '.pdf">f</a><img src="/img/' || (id % 50) || '.png">' AS html FROM fetched
+        UNION ALL SELECT id + {DOC_ID_OFFSET}, url, html_content FROM docs""",
     "round_in": f"""
         SELECT f.id, k.url, html || '<a href="/files/' || (f.id % 30) || '.pdf">f</a><img src="/img/' || (f.id % 50) || '.png">' AS html,
             http_status_code, content_type, accessed_ip, accessed_time
@@ -152,11 +155,9 @@ CTES = {
         SELECT {dense('domain')} AS id, domain, robots_content,
             CASE WHEN robots_content IS NULL THEN NULL WHEN length(domain) % 3 = 1 THEN coalesce(content, '') ELSE '' END AS sitemap_content
         FROM (SELECT DISTINCT {domain('url')} AS domain FROM round_in) LEFT JOIN robots USING (domain)
-        LEFT JOIN (SELECT domain, string_agg(url || ' ', '' ORDER BY position) AS content FROM round_located GROUP BY domain) USING (domain)""",
+        LEFT JOIN (SELECT domain, string_agg(url || ' ', '' ORDER BY position, url) AS content FROM round_located GROUP BY domain) USING (domain)""",
     "round_located": """
-        SELECT domain, position, located.url FROM located JOIN (
-            SELECT domain, arg_min(sitemap_url, line_no) AS sitemap_url FROM listed WHERE length(domain) % 3 = 1 GROUP BY domain
-        ) USING (sitemap_url)""",
+        SELECT domain, position, located.url FROM located JOIN listed USING (sitemap_url) WHERE length(domain) % 3 = 1""",
     "classed": f"""
         SELECT id, url, http_status_code, accessed_ip, accessed_time, {domain('url')} AS domain,
             CASE WHEN contains(content_type, 'text/html') AND http_status_code = 200 AND NOT ends_with(url, '.pdf') THEN {clean('html')} END AS html_content
@@ -304,6 +305,16 @@ ORACLE = {
     "crawl_delay": "SELECT domain, CAST(value AS BIGINT) AS crawl_delay FROM robot_lines WHERE key = 'crawl-delay'",
     "dense_ids": f"SELECT url, {dense('url')} AS id FROM pages",
     "frontier_topk": "SELECT id, url, relevance FROM mixed WHERE page_type_code = 'FRONTIER' ORDER BY relevance DESC NULLS FIRST, id LIMIT 20",
+    "frontier_topk_large": """
+        SELECT id, url, relevance FROM (SELECT *, row_number() OVER (ORDER BY relevance DESC NULLS FIRST, id) AS place, count(*) OVER () AS n FROM mixed WHERE page_type_code = 'FRONTIER')
+        WHERE place <= n // 3""",
+    "claim_due": f"""
+        SELECT id, url, relevance FROM mixed WHERE page_type_code = 'FRONTIER' AND {domain('url')} NOT IN (
+            SELECT s.domain FROM mixed m JOIN site s ON s.domain = {domain('m.url')}
+            WHERE page_type_code <> 'FRONTIER' AND 7 - length(s.domain) % 7 < CASE WHEN length(s.domain) % 3 = 0 THEN 3 ELSE 5 END)""",
+    "last_page_access": """
+        SELECT event_type AS accessed_ip, 'c' || c_nationkey || '.example' AS domain, max(ts) AS accessed_time
+        FROM events JOIN customer ON c_custkey = user_id WHERE ts IS NOT NULL GROUP BY ALL""",
     "frontier_claim": f"""
         SELECT m.id, m.url, CASE WHEN c.id IS NULL THEN page_type_code ELSE 'CRAWLING' END AS page_type_code, CASE WHEN c.id IS NOT NULL THEN TIMESTAMP '{NOW}' END AS accessed_time
         FROM mixed m LEFT JOIN (SELECT id FROM mixed WHERE page_type_code = 'FRONTIER' ORDER BY relevance DESC NULLS FIRST, id LIMIT 20) c USING (id)""",
@@ -321,7 +332,7 @@ ORACLE = {
     "content_hash": "SELECT id, content_hash FROM hashed",
     "extract_links": "SELECT * FROM all_links",
     "extract_images": f"""
-        SELECT id AS page_id, {resolved('url', 'value')} AS link FROM (SELECT id, url, {found('h', 'img', 'src')} AS value FROM (SELECT id, url, {clean('html')} AS h FROM round_in)) WHERE value <> ''""",
+        SELECT id AS page_id, {resolved('url', 'value')} AS link FROM (SELECT id, url, {found('h', 'img', 'src')} AS value FROM (SELECT id, url, {clean('html')} AS h FROM round_all)) WHERE value <> ''""",
     "robots_sitemaps": "SELECT domain, CAST(line_no AS INT) AS line_no, value AS sitemap_url FROM robot_lines WHERE key = 'sitemap'",
     "sitemap_urls": "SELECT sitemap_url, CAST(position AS INT) AS position, url FROM located",
     "sitemap_frontier": f"""

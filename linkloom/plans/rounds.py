@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -20,7 +20,7 @@ from linkloom.operators.appends import page_data_append, site_append
 from linkloom.operators.ids import dense_ids, max_id
 from linkloom.operators.sizes import except_known, known_rows, small
 from linkloom.operators.skew import skew_join
-from linkloom.session import materialize
+from linkloom.session import materialize, scratch
 from linkloom.sources.store import Store
 
 
@@ -37,9 +37,10 @@ class State:
 
 @dataclass(frozen=True)
 class Inputs:
-    """What fetching delivered. ``fetched`` has one row per URL, in the frontier's spelling, or is a
+    """What fetching delivered. ``fetched`` has responses by URL, in the frontier's spelling, or is a
     function from the claimed rows (id, url) to such rows, so that a round reads only its own
-    responses; ``robots`` is (domain, robots_content), ``sitemaps`` (sitemap_url, xml)."""
+    responses; of several for one URL the first by time counts. ``robots`` is (domain, robots_content),
+    ``sitemaps`` (sitemap_url, xml)."""
 
     fetched: DataFrame | Callable[[DataFrame], DataFrame]
     robots: DataFrame
@@ -56,6 +57,8 @@ class Options:
     http_only: bool = False
     ip: str | None = None
     now: datetime | None = None
+    # Claim only pages of sites whose delay since the last access by ``ip`` is over at ``now``.
+    due_only: bool = False
 
 
 @dataclass(frozen=True)
@@ -70,27 +73,42 @@ class Changes:
     image: DataFrame
 
 
-def claim(page: DataFrame, options: Options) -> DataFrame:
-    """(id, url, relevance) of the rows to crawl: all, the k best, or the best of every site."""
+def claim(page: DataFrame, options: Options, site: DataFrame | None = None) -> DataFrame:
+    """(id, url, relevance) of the rows to crawl: all, the k best, or the best of every site.
+
+    ``site`` is needed where only due sites are asked.
+    """
+    narrow = page.select("id", "url", "relevance", "page_type_code")
+    if options.due_only:
+        waiting = small(materialize(_waiting(page, site, options), "waiting"))
+        domain = urls.domain_of(F.col("url"))
+        opened = narrow.filter(F.col("page_type_code") == "FRONTIER").withColumn("domain", domain)
+        narrow = opened.join(waiting.select("domain"), "domain", "left_anti").drop("domain")
     if options.per_site is not None:
-        rows = frontier.frontier_topk_per_site(page, options.per_site).select("id", "url", "relevance")
-        best = [F.col("relevance").desc_nulls_first(), F.col("id")]
-        return rows if options.k is None else rows.orderBy(*best).limit(options.k)
-    return frontier.open_frontier(page) if options.k is None else frontier.frontier_topk(page, options.k)
+        rows = frontier.frontier_topk_per_site(narrow, options.per_site).select("id", "url", "relevance")
+        return rows if options.k is None else frontier.best_rows(materialize(rows, "best-of-sites"), options.k)
+    return frontier.open_frontier(narrow) if options.k is None else frontier.frontier_topk(narrow, options.k)
+
+
+def _waiting(page: DataFrame, site: DataFrame, options: Options) -> DataFrame:
+    """(domain, delay) of sites that are not due yet."""
+    delays = robots.crawl_delays(robots.one_robots_per_domain(site), options.agent)
+    now = F.lit(options.now.isoformat(sep=" ")).cast("timestamp_ntz")
+    return sites.waiting_domains(sites.last_page_access(site, page), delays, options.ip, now)
 
 
 def crawl_round(state: State, inputs: Inputs, options: Options) -> Changes:
     """One turn. Page texts are read once, cleaned once, and written once to the shared folder; all
     other joins work on ids, hashes and URLs."""
     claimed = materialize(
-        claim(state.page, options).withColumn("domain", urls.domain_of(F.col("url"))), "claimed"
+        claim(state.page, options, state.site).withColumn("domain", urls.domain_of(F.col("url"))), "claimed"
     )
 
     new_sites, listed, located = _new_sites(state, inputs, claimed)
     all_sites = state.site.unionByName(new_sites)
     with_site = _site_ids(claimed, all_sites)
 
-    processed = materialize(_responses(with_site, inputs, options), "processed")
+    processed = one_response(materialize(_responses(with_site, inputs, options), "processed"))
     marked = materialize(mark(processed, state.page), "marked")
     duplicates = marked.filter("is_duplicate").select("id", F.lit(True).alias("is_duplicate"))
     duplicates = small(duplicates)
@@ -173,7 +191,22 @@ def _responses(claimed: DataFrame, inputs: Inputs, options: Options) -> DataFram
     lost = lost.select(
         *[lost[name] if name in lost.columns else F.lit(None).cast(kind).alias(name) for name, kind in arrived.dtypes]
     ).withColumns({"accessed_ip": F.lit(options.ip).cast("string"), "accessed_time": F.lit(now).cast("timestamp_ntz")})
-    return process(arrived.unionByName(lost))
+    return process(arrived.unionByName(lost)).withColumn("response_no", F.monotonically_increasing_id())
+
+
+def one_response(processed: DataFrame) -> DataFrame:
+    """The first of several responses for a page, by time, then hash; texts move only where there are several.
+
+    ``processed`` is a written table, so that ``response_no`` is the same whenever it is read.
+    """
+    order = F.struct("accessed_time", "content_hash", "http_status_code", "page_type_code", "accessed_ip", "response_no")
+    firsts = processed.groupBy("id").agg(F.count("*").alias("n"), F.min(order).alias("_first")).filter(F.col("n") > 1)
+    firsts = materialize(firsts.select("id", F.col("_first.response_no").alias("_first")), "repeated")
+    if firsts.isEmpty():
+        return processed
+    marked = processed.join(small(firsts), "id", "left")
+    kept = marked.filter(F.col("_first").isNull() | (F.col("_first") == F.col("response_no"))).drop("_first")
+    return materialize(kept, "first-responses")
 
 
 def process(rows: DataFrame) -> DataFrame:
@@ -262,18 +295,26 @@ def load(store: Store) -> State:
 
 def crawl_to_limit(
     store: Store, inputs: Inputs, options: Options, max_pages: int = MAX_HTML_PAGES, max_rounds: int | None = None,
+    only_missing: bool = False,
 ) -> int:
     """Rounds from and to ``store`` until there are more than ``max_pages`` HTML pages, the frontier
-    is empty, or ``max_rounds`` are done; returns how many were.
+    is empty, nothing is due, or ``max_rounds`` are done; returns how many were.
 
-    Each round is one committed version: a crashed round leaves the version before it in place.
+    Each round is one committed version: a crashed round leaves the version before it in place. Intermediate tables of a
+    round are removed after its commit. With ``only_missing``, a round claims no more pages than are missing to the limit.
     """
     done = 0
     while max_rounds is None or done < max_rounds:
         status = store.status()
         if status.html_pages > max_pages or status.frontier_pages == 0:
             break
-        changes = crawl_round(load(store), inputs, options)
-        store.append(changes)
+        turn = options
+        if only_missing:
+            missing = max_pages + 1 - status.html_pages
+            turn = replace(options, k=missing if options.k is None else min(options.k, missing))
+        with scratch(store.spark, "round"):
+            after = store.append(crawl_round(load(store), inputs, turn))
         done += 1
+        if (after.html_pages, after.frontier_pages) == (status.html_pages, status.frontier_pages) and turn.due_only:
+            break  # every open site has to wait
     return done

@@ -139,7 +139,7 @@ def mixed_page(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def round_fetched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Responses of a round: pages, with a file link and an image added, and documents as pages of one
-    large site; URLs as the frontier spells them, one response per URL."""
+    large site; URLs as the frontier spells them. A URL may come more than once, with its first page earliest."""
     extra = F.concat(
         F.col("html"), F.lit('<a href="/files/'), (F.col("id") % 30).cast("string"), F.lit('.pdf">f</a><img src="/img/'),
         (F.col("id") % 50).cast("string"), F.lit('.png">'),
@@ -147,9 +147,8 @@ def round_fetched(spark: SparkSession, sf_dir: str) -> DataFrame:
     spelled = urls.normalize_links(
         fetched(spark, sf_dir).withColumns({"html": extra, "base": F.lit("")}), "base", "url", "spelled"
     )
-    keep = known_page(spark, sf_dir).select("id")
     columns = schemas.FETCHED.names
-    web = spelled.join(keep, "id", "left_semi").drop("base", "url").withColumnRenamed("spelled", "url").select(*columns)
+    web = spelled.drop("base", "url").withColumnRenamed("spelled", "url").select(*columns)
     doc = docs(spark, sf_dir).select(
         (F.col("id") + DOC_ID_OFFSET).alias("id"), "url", F.col("html_content").alias("html"), F.lit(200).alias("http_status_code"),
         F.lit("text/html").alias("content_type"), F.lit("10.0.0.1").alias("accessed_ip"),

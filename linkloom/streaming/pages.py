@@ -15,7 +15,7 @@ from linkloom.functions import urls
 from linkloom.operators import pages
 from linkloom.operators.sizes import except_known, known_rows, small
 from linkloom.plans import rounds
-from linkloom.session import materialize, new_folder
+from linkloom.session import materialize, new_folder, scratch
 from linkloom.sources.store import OPEN_STATES, Store
 
 # Copies of one text are first reduced inside this many groups, so that a text with very many copies
@@ -81,8 +81,12 @@ def _known(arrived: DataFrame, page: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def ingest_batch(store: Store, batch: DataFrame, number: int, stream: str) -> None:
-    if store.applied(stream, number):
-        return
+    if not store.applied(stream, number):
+        with scratch(store.spark, "micro-batch"):
+            _ingest(store, batch, number, stream)
+
+
+def _ingest(store: Store, batch: DataFrame, number: int, stream: str) -> None:
     state = rounds.load(store)
     kept, rejects = _known(_responses(batch), state.page)
     processed = materialize(rounds.process(kept), "arrived")
