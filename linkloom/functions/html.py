@@ -8,7 +8,8 @@ exhaust the regex stack.
 from __future__ import annotations
 
 import json
-from html.entities import name2codepoint
+from collections.abc import Callable
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -31,19 +32,49 @@ _ANY_TAG = rf"(?:\s(?<!\s\s)\s*+)?+(<(?:!--(?s:.*?)(?:-->|\z)|/?[A-Za-z!]{_TAG_R
 _START_TAG = rf"(?s)<(?:!--.*?(?:-->|\z)|[A-Za-z]{_TAG_REST})"
 _LINK_TAG = rf"(?is)<(?:!--.*?(?:-->|\z)|(?:a|img)(?=[\s/>]){_TAG_REST})"
 _ATTRIBUTE = r"""[^\s"'<>/=]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>]*+))?"""
-_NAMED = json.dumps({f"&{name};": chr(code) for name, code in name2codepoint.items()})
-_ENTITY = r"&#[xX][0-9A-Fa-f]+;?|&#[0-9]+;?|&[A-Za-z][A-Za-z0-9]*;|[^&]+|&"
+# A few old names also count without their semicolon, and then in front of anything: the longest wins.
+_NAMED = json.dumps({f"&{name}": text for name, text in html5.items()})
+_OPEN_NAMES = "|".join(sorted((name for name in html5 if not name.endswith(";")), key=len, reverse=True))
+_ENTITY = r"&#[xX][0-9A-Fa-f]+;?|&#[0-9]+;?|&[A-Za-z][A-Za-z0-9]{0,31};?|[^&]+|&"
+# Characters that stay entities in canonical text, so that it can be read again.
+_ESCAPED = {"&": "&amp;", "<": "&lt;", ">": "&gt;", '"': "&quot;"}
+_TO_DECODE = r"&(?!(?:amp|lt|gt|quot);)[#A-Za-z]"
+_PIECE = rf"<!--(?s:.*?)(?:-->|\z)|</?[A-Za-z]{_TAG_REST}|[^<]+|<"
+_PLAIN_TAG = r"""/?[a-z][a-z0-9:-]*+(?: [a-z][a-z0-9:_-]*+="[^"]*+")*+>"""
+_OTHER_TAG = rf"<(?=/?[A-Za-z])(?!{_PLAIN_TAG})"
 
 
 def clean_html(html: Column) -> Column:
-    """Text without script, style and meta elements, one tag or text run per line.
+    """Text without script, style and meta elements, one tag or text run per line, in canonical spelling.
 
-    Pages that differ only in removed elements or in white space around tags get equal text.
+    Pages that differ only in removed elements, in white space around or inside tags, in the case of tags and attributes, in
+    how values are quoted, or in how a character is written as an entity get equal text. Tags and entities are only
+    taken apart in pages that have one in another spelling.
     """
     kept = F.regexp_replace(html, _DROPPED, "$1")
     lines = F.regexp_replace(kept, _ANY_TAG, "\n$1\n")
     laid_out = F.replace(lines, F.lit(">\n\n<"), F.lit(">\n<"))
-    return F.btrim(F.when(html.contains("<"), laid_out).otherwise(html), F.lit("\n"))
+    text = F.btrim(F.when(html.contains("<"), laid_out).otherwise(html), F.lit("\n"))
+    pieces = F.regexp_extract_all(text, F.lit(_PIECE), F.lit(0))
+    spelled = F.transform(pieces, lambda piece: F.when(piece.rlike("^</?[A-Za-z]"), _plain_tag(piece)).otherwise(piece))
+    text = F.when(text.rlike(_OTHER_TAG), F.array_join(spelled, "")).otherwise(text)
+    return F.when(text.rlike(_TO_DECODE), _decoded(text, _escape)).otherwise(text)
+
+
+def _plain_tag(tag: Column) -> Column:
+    """A tag in lower case with double quotes, one blank before each attribute and no slash at its end."""
+    name = F.lower(F.regexp_extract(tag, r"^</?([^\s/>]+)", 1))
+    values = F.array_join(F.transform(attributes(tag), lambda attribute: F.concat(
+        F.lit(" "), attribute_name(attribute), F.lit('="'), F.replace(attribute_value(attribute), F.lit('"'), F.lit("&quot;")), F.lit('"')
+    )), "")
+    return F.when(tag.startswith("</"), F.concat(F.lit("</"), name, F.lit(">"))).otherwise(F.concat(F.lit("<"), name, values, F.lit(">")))
+
+
+def _escape(char: Column) -> Column:
+    out = char
+    for plain, entity in _ESCAPED.items():
+        out = F.when(char == plain, entity).otherwise(out)
+    return out
 
 
 def content_hash(text: Column) -> Column:
@@ -96,21 +127,33 @@ def _from_code_point(digits: Column, base: int, most: int) -> Column:
     told = F.create_map(*[F.lit(v).cast("bigint") for pair in _windows_1252().items() for v in pair])
     code = F.coalesce(F.try_element_at(told, code), code)
     valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
-    return F.decode(F.unhex(F.lpad(F.hex(F.when(valid, code).otherwise(F.lit(0xFFFD))), 8, "0")), "UTF-32")
+    # Controls and non-characters stand for nothing.
+    nothing = code.between(1, 8) | (code == 11) | code.between(14, 31) | (code == 127) | code.between(0xFDD0, 0xFDEF)
+    nothing = valid & (nothing | (code % 0x10000 >= 0xFFFE))
+    return F.when(nothing, F.lit("")).otherwise(F.decode(F.unhex(F.lpad(F.hex(F.when(valid, code).otherwise(F.lit(0xFFFD))), 8, "0")), "UTF-32"))
 
 
 def unescape(text: Column) -> Column:
-    """Decode numeric entities and the named ones of HTML 4, each exactly once."""
+    """Decode numeric entities and the named ones of HTML 5, each exactly once."""
+    return F.when(text.contains("&"), _decoded(text, lambda char: char)).otherwise(text)
+
+
+def _decoded(text: Column, escape: Callable[[Column], Column]) -> Column:
+    """``text`` with its entities decoded; ``escape`` says how a decoded character is written."""
     names = F.from_json(F.lit(_NAMED), "map<string, string>")
 
     def decode(piece: Column) -> Column:
+        opened = F.regexp_extract(piece, f"^&(?:{_OPEN_NAMES})", 0)
         return (
-            F.when(piece.rlike("^&#[xX]"), _from_code_point(F.regexp_extract(piece, "^&#[xX]0*([0-9A-Fa-f]*)", 1), 16, 8))
-            .when(piece.startswith("&#"), _from_code_point(F.regexp_extract(piece, "^&#0*([0-9]*)", 1), 10, 10))
-            .when(piece == "&apos;", "'")
-            .when(piece.startswith("&"), F.coalesce(F.try_element_at(names, piece), piece))
+            F.when(piece == "&amp;", escape(F.lit("&")))
+            .when(piece.rlike("^&#[xX]"), escape(_from_code_point(F.regexp_extract(piece, "^&#[xX]0*([0-9A-Fa-f]*)", 1), 16, 8)))
+            .when(piece.startswith("&#"), escape(_from_code_point(F.regexp_extract(piece, "^&#0*([0-9]*)", 1), 10, 10)))
+            .when(piece.rlike("^&."), F.coalesce(
+                escape(F.try_element_at(names, piece)),
+                F.concat(escape(F.try_element_at(names, opened)), F.substr(piece, F.length(opened) + 1)), piece,
+            ))
             .otherwise(piece)
         )
 
     pieces = F.regexp_extract_all(text, F.lit(_ENTITY), F.lit(0))
-    return F.when(text.contains("&"), F.array_join(F.transform(pieces, decode), "")).otherwise(text)
+    return F.array_join(F.transform(pieces, decode), "")

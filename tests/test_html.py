@@ -1,5 +1,6 @@
 import hashlib
 import html as stdlib_html
+from html import entities
 
 import pytest
 from pyspark.sql import functions as F
@@ -107,3 +108,33 @@ def test_numeric_entities_like_a_parser(spark):
     texts = ["&#x100000041;", "&#10000000065;", "&#146;", "&#128;", "&#129;", "&#x9F;", "&#0000065;", "&#x0;", "&#xD800;", "&#1114112;", "&#65;&#x42;"]
     rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", html.unescape(F.col("t")).alias("got")).collect()
     assert {r.t: r.got for r in rows} == {t: parser.unescape(t) for t in texts}
+
+
+def test_all_entities_like_a_parser(spark):
+    texts = [f"&{name}" for name in entities.html5] + [f"x&{name}y=1" for name in entities.html5 if not name.endswith(";")]
+    texts += [f"&#{code};" for code in (*range(0, 300), 0xFDD0, 0xFDEF, 0xFFFD, 0xFFFE, 0xFFFF, 0x1FFFE, 0x10FFFF, 0x110000)]
+    texts += ["&notit;", "&ampamp;", "&" + "n" * 40 + ";", "&amp;lt", "&x", "a &b; c"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", H.unescape(F.col("t")).alias("got")).collect()
+    assert {r.t: r.got for r in rows if r.got != stdlib_html.unescape(r.t)} == {}
+
+
+def test_clean_html_is_canonical(spark):
+    groups = [
+        ["<P>x &amp; y</P>", "<p>x &#38; y</p >", "<p>x &AMP; y</p>"],
+        ["<a href='u'>t</a>", '<a href="u">t</a>', "<A  HREF = u >t</A>", "<a\nhref='u'/>t</a>"],
+        ["<p title='a\"b'>&copy;</p>", '<p title="a&quot;b">©</p>', '<p title="a&#34;b">&#xA9;</p>'],
+        ["<b>&lt;i&gt;</b>", "<b>&#60;i&#62;</b>", "<B>&lt;i&gt;</B>"],
+        ["<input disabled>", '<input disabled="">'],
+        ["<!-- <P> --><p>", "<!-- <P> --><P>"],
+        ["<b><i></b>"], ["<p>", ], ["x & y"], ["x &amp; y"], [""],
+    ]
+    rows = [(i, x) for i, group in enumerate(groups) for x in group]
+    got = spark.createDataFrame(rows, "i int, raw string").select("i", H.clean_html(F.col("raw")).alias("c")).collect()
+    assert len({(r.i, r.c) for r in got}) == len(groups) == len({r.c for r in got})
+    assert {r.c for r in got if r.i == 1} == {'<a href="u">\nt\n</a>'}
+
+
+def test_clean_html_of_very_many_attributes(spark):
+    big = "<a" + ' b="c"' * 50_000 + "><P" + " b=c" * 50_000 + ">"
+    row = spark.createDataFrame([(big,)], "t string").select(H.clean_html(F.col("t")).alias("c")).first()
+    assert row.c == "<a" + ' b="c"' * 50_000 + ">\n<p" + ' b="c"' * 50_000 + ">"
