@@ -152,7 +152,8 @@ def robots_allowed(
     """``links`` with a boolean ``allowed``. Rules of a domain form one row, so links never multiply."""
     keyed = with_tested_path(links, link, "_tested").withColumn("_domain", urls.domain_of(F.col(link)))
     lists = rule_lists(rules).withColumnRenamed("domain", "_domain")
-    joined = skew_join(keyed, lists, "_domain", F.col(link), slices=slices, min_rows=min_rows)
+    # Copies of one popular link differ in their pages: all columns spread them.
+    joined = skew_join(keyed, lists, "_domain", F.struct(*links.columns), slices=slices, min_rows=min_rows)
     return joined.withColumn("allowed", verdict(F.col("_tested"), F.col("rules"))).select(*links.columns, "allowed")
 
 

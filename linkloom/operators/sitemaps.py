@@ -2,36 +2,53 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.constants import SEED_RELEVANCE, SITEMAP_NAMESPACE
+from linkloom.functions import html as H
 from linkloom.functions import urls
 from linkloom.operators.robots import robots_allowed
 
-_ENTRY = "array<struct<loc: string>>"
-_FILE = f"url {_ENTRY}, sitemap {_ENTRY}"
+_CDATA = r"<!\[CDATA\[(.*?)\]\]>"
+_COMMENT = r"(?s)<!--.*?-->"
+_BOUND = rf"""xmlns(?::([\w.\-]+))?\s*=\s*["']{SITEMAP_NAMESPACE.replace(".", "[.]")}["']"""
+# A loc element up to its first child or its end.
+_LOC = rf"(?s)<(?:([\w.\-]+):)?loc(?:\s[^>]*?)?(?:/>|>(?:[^<]++|{_CDATA.replace('(.*?)', '.*?')})*+)"
 
 
 def sitemap_urls(files: DataFrame, xml: str = "xml") -> DataFrame:
     """(…, position, url): trimmed ``loc`` texts; nothing from a file that is not well-formed.
 
-    A file with an empty ``loc`` gives nothing at all. The root element has to be in the sitemap
-    namespace, as the default one.
+    A file with an empty ``loc`` gives nothing at all. ``loc`` counts at any depth, with a prefix that the file binds to the
+    sitemap namespace, or without one where that is a default namespace; where in the file the binding stands is not looked at.
     """
     keep = [name for name in files.columns if name != xml]
-    declared = F.regexp_extract(
-        xml, r"""(?s)<(?:urlset|sitemapindex)\s[^>]*?xmlns\s*=\s*["']([^"']*)["']""", 1
-    ) == SITEMAP_NAMESPACE
-    parsed = files.filter(declared).withColumn("_file", F.from_xml(F.col(xml), _FILE))
-    entries = F.concat(
-        F.coalesce("_file.url", F.array().cast(_ENTRY)), F.coalesce("_file.sitemap", F.array().cast(_ENTRY))
+    text = F.regexp_replace(xml, _COMMENT, "")
+    parsed = files.filter(_well_formed(F.col(xml))).select(
+        *keep, F.regexp_extract_all(text, F.lit(_BOUND), F.lit(1)).alias("_bound"),
+        F.regexp_extract_all(text, F.lit(_LOC), F.lit(0)).alias("_found"),
     )
-    locations = parsed.withColumn("_locations", F.transform(entries, lambda entry: urls.strip(entry["loc"])))
+    own = F.filter("_found", lambda found: F.array_contains("_bound", F.regexp_extract(found, _LOC, 1)))
+    locations = parsed.withColumn("_locations", F.transform(own, lambda found: urls.strip(_text(found))))
     whole = F.forall("_locations", lambda loc: loc.isNotNull() & (loc != ""))
     return locations.filter(whole).select(*keep, F.posexplode("_locations").alias("position", "url"))
 
 
+def _well_formed(xml: Column) -> Column:
+    record = F.from_xml(xml, "_none string, _corrupt_record string")
+    return record.isNotNull() & record["_corrupt_record"].isNull()
+
+
+def _text(found: Column) -> Column:
+    """Text of an element: parts in CDATA as they are, entities decoded elsewhere; NULL for an empty one."""
+    parts = F.regexp_extract_all(F.regexp_replace(found, r"(?s)^<[^>]*>", ""), F.lit(rf"(?s){_CDATA}|[^<]++"), F.lit(0))
+    plain = F.transform(parts, lambda part: F.when(
+        part.startswith("<![CDATA["), F.regexp_replace(part, rf"(?s)^{_CDATA}$", "$1")
+    ).otherwise(H.unescape(part)))
+    return F.array_join(plain, "")
+
+
 def sitemap_content(sites: DataFrame, listed: DataFrame, found: DataFrame) -> DataFrame:
     """(domain, sitemap_content): all sitemap URLs of a site in order, each followed by one blank.
 

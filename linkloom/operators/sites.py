@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from linkloom.constants import DEFAULT_DELAY_SECONDS
 from linkloom.operators.appends import site_append
-from linkloom.operators.skew import MIN_HOT_ROWS, SLICES, skew_join
+from linkloom.operators.skew import MIN_HOT_ROWS, SLICES, lookup_join, skew_join
 
 _WILD = r"[%_\\]"
 
@@ -77,7 +77,8 @@ def politeness_delay(
     else:
         asked = requests.select("site_url", "ip").distinct()
         found = like_lookup(asked, by_ip, "site_url", "domain", "accessed_time", F.max, by=["ip"], out="_last")
-    joined = requests.join(found, ["site_url", "ip"], "left")
+    pair = F.when(F.col("site_url").isNotNull() & F.col("ip").isNotNull(), F.struct("site_url", "ip")).alias("_pair")
+    joined = lookup_join(requests.select("*", pair), found.select(pair, "_last"), "_pair")
     wait = F.when(F.col("robots_delay") >= 0, F.col("robots_delay").cast("double")).otherwise(F.lit(default))
     wait = F.when(F.isnan(F.col("robots_delay")), F.lit(default)).otherwise(wait)
     passed = (_micros(now) - _micros(F.col("_last"))) / 1e6
@@ -124,8 +125,7 @@ def site_lookup(
         asked = requests.withColumn("_asked", F.lower("domain"))
         lower = site.groupBy(F.lower("domain").alias("_low")).agg(F.min("id").alias("id"))
         hits = like_lookup(asked.select("_asked").distinct(), lower, "_asked", "_low", "id", F.min, out="site_id")
-    spread = F.struct(*requests.columns)
-    found = skew_join(asked, hits, "_asked", spread, slices=slices, min_rows=min_rows)
+    found = lookup_join(asked, hits, "_asked", slices=slices, min_rows=min_rows)
     return found.select(*requests.columns, F.col("site_id").isNotNull().alias("exists"), "site_id")
 
 

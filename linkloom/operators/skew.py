@@ -52,3 +52,18 @@ def skew_join(
         .drop("n_salts")
     )
     return salted_left.join(salted_right, [key, "_salt"], how).drop("_salt")
+
+
+def lookup_join(
+    left: DataFrame, right: DataFrame, key: str, slices: int = SLICES, min_rows: int = MIN_HOT_ROWS,
+) -> DataFrame:
+    """Left join with a ``right`` of one narrow row per key, also balanced when the rows of a hot key are all alike.
+
+    Rows of hot keys stay where they are and meet a broadcast of fewer than ``slices`` rows; NULL keys stay as well. All
+    others are shuffled. ``left`` is read four times, so it should be a stored table.
+    """
+    hot = hot_keys(key_counts(left, key), key, slices, min_rows).select(key)
+    answers = F.broadcast(hot.join(right.join(F.broadcast(hot), key, "left_semi"), key, "left"))
+    rest = left.filter(F.col(key).isNotNull()).join(F.broadcast(hot), key, "left_anti").join(right, key, "left")
+    unknown = left.filter(F.col(key).isNull())
+    return rest.unionByName(left.join(answers, key)).unionByName(unknown, allowMissingColumns=True)
