@@ -27,30 +27,36 @@ BLOCK = 2048
 _GLUE = "\x01"
 
 
+def _bind(value: Column, use) -> Column:
+    """``use(value)``, with ``value`` computed once however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
 def signatures(text: Column, chain: int = CHAIN, anchors: list[str] = ANCHORS) -> Column:
     """The set of signatures (64-bit hashes) of a text; a text without any has one of all its words instead.
 
     Words are runs of letters and digits, in lower case. Null counts as empty.
     """
     plain = F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " "))
-    # Anchors are glued to the word after them, so each element is a content word led by its anchors.
-    glued = F.regexp_replace(F.concat(F.lit(" "), plain, F.lit(" ")), f"(?<= )({'|'.join(anchors)}) ", f"$1{_GLUE}")
-    words = F.split(F.trim(glued), " ")
-    content = F.transform(words, lambda word: F.substring_index(word, _GLUE, -1))
-
-    def at(pair: Column) -> Column:
-        """``pair``: the words, and the content words."""
-        def spots(word: Column, k: Column) -> Column:
-            follow = [F.get(pair["content"], k + i) for i in range(chain)]
-            whole = follow[-1].isNotNull() & (follow[-1] != "")
-            parts = F.split(word, _GLUE)
-            found = F.transform(F.slice(parts, 1, F.size(parts) - 1), lambda anchor: F.xxhash64(anchor, *follow))
-            return F.when(F.contains(word, F.lit(_GLUE)) & whole, found)
-
-        return F.array_distinct(F.flatten(F.filter(F.transform(pair["words"], spots), lambda found: found.isNotNull())))
-
-    found = F.transform(F.array(F.struct(words.alias("words"), content.alias("content"))), at)[0]
-    return F.when(F.size(found) > 0, found).otherwise(F.array(F.xxhash64(plain)))
+    # A content word led by anchors, and the content words after it, which may have anchors of their own. Looked ahead,
+    # so that chains may overlap; without repeated groups, which would recurse in long runs of anchors.
+    spot = f"(?<= )(?=([^ ]*{_GLUE}[^ {_GLUE}]+" + f" [^ ]*[^ {_GLUE}]" * (chain - 1) + ") )"
+
+    def of_spot(found: Column) -> Column:
+        def hashes(words: Column) -> Column:
+            first = F.split(F.get(words, F.lit(0)), _GLUE)
+            follow = [F.substring_index(F.get(words, F.lit(i)), _GLUE, -1) for i in range(chain)]
+            return F.transform(F.slice(first, 1, F.size(first) - 1), lambda anchor: F.xxhash64(anchor, *follow))
+
+        return _bind(F.split(found, " "), hashes)
+
+    def of_text(words: Column) -> Column:
+        # Anchors are glued to the word after them, so each element is a content word led by its anchors.
+        glued = F.regexp_replace(F.concat(F.lit(" "), words, F.lit(" ")), f"(?<= )({'|'.join(anchors)}) ", f"$1{_GLUE}")
+        found = F.array_distinct(F.flatten(F.transform(F.regexp_extract_all(glued, F.lit(spot), F.lit(1)), of_spot)))
+        return _bind(found, lambda each: F.when(F.size(each) > 0, each).otherwise(F.array(F.xxhash64(words))))
+
+    return _bind(plain, of_text)
 
 
 def fingerprint(found: Column) -> Column:
