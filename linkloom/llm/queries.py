@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.llm import chunks, jaccard, katz, langid, licenses, packing, quality, slots, spotsigs, warc
+from linkloom.llm import chunks, jaccard, katz, langid, licenses, packing, quality, slots, spotsigs, turns, warc
 from linkloom.session import materialize, new_folder
 
 
@@ -81,6 +81,10 @@ def op10_chunked_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.digests(encoded, vocabulary)
 
 
+def op13_weighted_cyk_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turns.damaged_repairs(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     name: call for name, call in sorted(globals().items()) if name.startswith("op") and name[2].isdigit()
 }
