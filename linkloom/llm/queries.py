@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.llm import chunks, jaccard, katz, langid, licenses, packing, quality, slots, spotsigs, turns, warc
+from linkloom.llm import chunks, codes, graphs, jaccard, katz, langid, licenses, packing, quality, slots, spotsigs, turns, warc
 from linkloom.session import materialize, new_folder
 
 
@@ -81,6 +81,16 @@ def op10_chunked_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.digests(encoded, vocabulary)
 
 
+def op11_pruned_graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    found = graphs.search(graphs.build(rows, "vec_id", "embedding"), rows.filter("vec_id % 20 = 0"), k=20, row_id="vec_id", vector="embedding")
+    return found.select("query_id", "rank", F.col("found_id").alias("vec_id"), "score")
+
+
+def op12_hadamard_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.label_errors(*codes.compress(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", carry=["label"]))
+
+
 def op13_weighted_cyk_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turns.damaged_repairs(table(spark, sf_dir, "conversations"))
 
