@@ -207,6 +207,9 @@ def build(rows: DataFrame, row_id: str = "vec_id", vector: str = "embedding", ke
     shards = F.greatest(F.ceil(F.col("n") / most), F.least(F.lit(settings.shards), F.ceil(F.col("n") / settings.shard_rows)))
     counts = materialize(counts.select("width", shards.cast("int").alias("_shards")), "widths")
     dealt = nodes.join(small(counts), "width").select("width", F.pmod("high", "_shards").cast("int").alias("shard"), "ids", "vector")
+    # Graphs are long work on few bytes: a number of partitions that is set keeps shards from being put together in one task.
+    total = counts.agg(F.sum("_shards")).first()[0] or 1
+    dealt = dealt.repartition(2 * total, "width", "shard")
 
     def run(table: pa.Table) -> pa.Table:
         # The order of rows after a shuffle is not fixed, that of ids is.
