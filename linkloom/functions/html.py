@@ -33,7 +33,8 @@ _START_TAG = rf"(?s)<(?:!--.*?(?:-->|\z)|[A-Za-z]{_TAG_REST})"
 _LINK_TAG = rf"(?is)<(?:!--.*?(?:-->|\z)|(?:a|img)(?=[\s/>]){_TAG_REST})"
 _ATTRIBUTE = r"""[^\s"'<>/=]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>]*+))?"""
 # A few old names also count without their semicolon, and then in front of anything: the longest wins.
-_NAMED = json.dumps({f"&{name}": text for name, text in html5.items()})
+# Maps are read from their beginning, so names are looked up by their first letter, then whole.
+_NAMED = json.dumps({first: {f"&{name}": text for name, text in html5.items() if name[0] == first} for first in sorted({name[0] for name in html5})})
 _OPEN_NAMES = "|".join(sorted((name for name in html5 if not name.endswith(";")), key=len, reverse=True))
 _ENTITY = r"&#[xX][0-9A-Fa-f]+;?|&#[0-9]+;?|&[A-Za-z][A-Za-z0-9]{0,31};?|[^&]+|&"
 # Characters that stay entities in canonical text, so that it can be read again.
@@ -44,6 +45,11 @@ _PLAIN_TAG = r"""/?[a-z][a-z0-9:-]*+(?: [a-z][a-z0-9:_-]*+="[^"]*+")*+>"""
 _OTHER_TAG = rf"<(?=/?[A-Za-z])(?!{_PLAIN_TAG})"
 
 
+def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, where the value is written and computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def clean_html(html: Column) -> Column:
     """Text without script, style and meta elements, one tag or text run per line, in canonical spelling.
 
@@ -55,10 +61,13 @@ def clean_html(html: Column) -> Column:
     lines = F.regexp_replace(kept, _ANY_TAG, "\n$1\n")
     laid_out = F.replace(lines, F.lit(">\n\n<"), F.lit(">\n<"))
     text = F.btrim(F.when(html.contains("<"), laid_out).otherwise(html), F.lit("\n"))
+    text = _bind(text, lambda text: F.when(text.rlike(_OTHER_TAG), _spelled(text)).otherwise(text))
+    return _bind(text, lambda text: F.when(text.rlike(_TO_DECODE), _decoded(text, _ESCAPED)).otherwise(text))
+
+
+def _spelled(text: Column) -> Column:
     pieces = F.regexp_extract_all(text, F.lit(_PIECE), F.lit(0))
-    spelled = F.transform(pieces, lambda piece: F.when(piece.rlike("^</?[A-Za-z]"), _plain_tag(piece)).otherwise(piece))
-    text = F.when(text.rlike(_OTHER_TAG), F.array_join(spelled, "")).otherwise(text)
-    return F.when(text.rlike(_TO_DECODE), _decoded(text, _escape)).otherwise(text)
+    return F.array_join(F.transform(pieces, lambda piece: F.when(piece.rlike("^</?[A-Za-z]"), _plain_tag(piece)).otherwise(piece)), "")
 
 
 def _plain_tag(tag: Column) -> Column:
@@ -70,13 +79,6 @@ def _plain_tag(tag: Column) -> Column:
     return F.when(tag.startswith("</"), F.concat(F.lit("</"), name, F.lit(">"))).otherwise(F.concat(F.lit("<"), name, values, F.lit(">")))
 
 
-def _escape(char: Column) -> Column:
-    out = char
-    for plain, entity in _ESCAPED.items():
-        out = F.when(char == plain, entity).otherwise(out)
-    return out
-
-
 def content_hash(text: Column) -> Column:
     """SHA-256 of the UTF-8 text, in hex."""
     return F.sha2(text, 256)
@@ -121,39 +123,59 @@ def _windows_1252() -> dict[int, int]:
     return {code: ord(char) for code, char in raw if char}
 
 
-def _from_code_point(digits: Column, base: int, most: int) -> Column:
-    """The character of a number without leading zeros; one of more than ``most`` digits is beyond any code point."""
-    code = F.when(F.length(digits) <= most, F.conv(digits, base, 10).cast("bigint"))
-    told = F.create_map(*[F.lit(v).cast("bigint") for pair in _windows_1252().items() for v in pair])
-    code = F.coalesce(F.try_element_at(told, code), code)
-    valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
-    # Controls and non-characters stand for nothing.
-    nothing = code.between(1, 8) | (code == 11) | code.between(14, 31) | (code == 127) | code.between(0xFDD0, 0xFDEF)
-    nothing = valid & (nothing | (code % 0x10000 >= 0xFFFE))
-    return F.when(nothing, F.lit("")).otherwise(F.decode(F.unhex(F.lpad(F.hex(F.when(valid, code).otherwise(F.lit(0xFFFD))), 8, "0")), "UTF-32"))
+def _from_code_point(code: Column) -> Column:
+    """The character that an HTML parser reads for a number; null is a number beyond any code point."""
+    told = F.from_json(F.lit(json.dumps(_windows_1252())), "map<string, bigint>")
+
+    def char(code: Column) -> Column:
+        valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        # Controls and non-characters stand for nothing.
+        nothing = code.between(1, 8) | (code == 11) | code.between(14, 31) | (code == 127) | code.between(0xFDD0, 0xFDEF)
+        nothing = valid & (nothing | (code % 0x10000 >= 0xFFFE))
+        return F.when(nothing, F.lit("")).otherwise(F.decode(F.unhex(F.lpad(F.hex(F.when(valid, code).otherwise(F.lit(0xFFFD))), 8, "0")), "UTF-32"))
+
+    return _bind(_bind(code, lambda code: F.coalesce(F.try_element_at(told, code.cast("string")), code)), char)
+
+
+def _numbered(piece: Column) -> Column:
+    """The character of a numeric entity. Numbers of more digits than any code point has are null."""
+    def code(digits: Column) -> Column:
+        by_hex = F.when(F.length(digits) <= 8, F.conv(digits, 16, 10))
+        return F.when(piece.rlike("^&#[xX]"), by_hex).otherwise(F.when(F.length(digits) <= 10, F.conv(digits, 10, 10))).cast("bigint")
+
+    return _from_code_point(_bind(F.regexp_extract(piece, "^&#[xX]?0*([0-9A-Fa-f]*)", 1), code))
 
 
 def unescape(text: Column) -> Column:
     """Decode numeric entities and the named ones of HTML 5, each exactly once."""
-    return F.when(text.contains("&"), _decoded(text, lambda char: char)).otherwise(text)
-
-
-def _decoded(text: Column, escape: Callable[[Column], Column]) -> Column:
-    """``text`` with its entities decoded; ``escape`` says how a decoded character is written."""
-    names = F.from_json(F.lit(_NAMED), "map<string, string>")
-
-    def decode(piece: Column) -> Column:
-        opened = F.regexp_extract(piece, f"^&(?:{_OPEN_NAMES})", 0)
-        return (
-            F.when(piece == "&amp;", escape(F.lit("&")))
-            .when(piece.rlike("^&#[xX]"), escape(_from_code_point(F.regexp_extract(piece, "^&#[xX]0*([0-9A-Fa-f]*)", 1), 16, 8)))
-            .when(piece.startswith("&#"), escape(_from_code_point(F.regexp_extract(piece, "^&#0*([0-9]*)", 1), 10, 10)))
-            .when(piece.rlike("^&."), F.coalesce(
-                escape(F.try_element_at(names, piece)),
-                F.concat(escape(F.try_element_at(names, opened)), F.substr(piece, F.length(opened) + 1)), piece,
-            ))
-            .otherwise(piece)
+    return _bind(text, lambda text: F.when(text.contains("&"), _decoded(text, {})).otherwise(text))
+
+
+def _decoded(text: Column, escaped: dict[str, str]) -> Column:
+    """``text`` with its entities decoded; ``escaped`` says which characters are written as an entity nevertheless.
+
+    Text is cut at its entities, and only these are looked at: each is a decoded text (null: none) and what is left of it.
+    """
+    def named(names: Column, name: Column) -> Column:
+        return F.try_element_at(F.try_element_at(names, F.substring(name, 2, 1)), name)
+
+    def found(names: Column, piece: Column) -> Column:
+        opened = lambda name: F.struct(named(names, name).alias("text"), F.substr(piece, F.length(name) + 1).alias("rest"))
+        whole = lambda text: F.when(text.isNotNull(), F.struct(text.alias("text"), F.lit("").alias("rest"))).otherwise(
+            _bind(F.regexp_extract(piece, f"^&(?:{_OPEN_NAMES})", 0), opened)
         )
+        numbered = F.struct(_numbered(piece).alias("text"), F.lit("").alias("rest"))
+        return F.when(piece.startswith("&#"), numbered).otherwise(_bind(named(names, piece), whole))
+
+    def written(entity: Column, piece: Column) -> Column:
+        text = entity["text"]
+        if escaped:
+            text = F.coalesce(F.try_element_at(F.from_json(F.lit(json.dumps(escaped)), "map<string, string>"), text), text)
+        return F.coalesce(F.concat(text, entity["rest"]), piece)
+
+    def decode(names: Column, piece: Column) -> Column:
+        return F.when(piece.rlike("^&."), _bind(found(names, piece), lambda entity: written(entity, piece))).otherwise(piece)
 
     pieces = F.regexp_extract_all(text, F.lit(_ENTITY), F.lit(0))
-    return F.array_join(F.transform(pieces, decode), "")
+    every = F.from_json(F.lit(_NAMED), "map<string, map<string, string>>")
+    return F.array_join(_bind(every, lambda names: F.transform(pieces, lambda piece: decode(names, piece))), "")

@@ -138,3 +138,11 @@ def test_clean_html_of_very_many_attributes(spark):
     big = "<a" + ' b="c"' * 50_000 + "><P" + " b=c" * 50_000 + ">"
     row = spark.createDataFrame([(big,)], "t string").select(H.clean_html(F.col("t")).alias("c")).first()
     assert row.c == "<a" + ' b="c"' * 50_000 + ">\n<p" + ' b="c"' * 50_000 + ">"
+
+
+def test_plans_stay_short(spark):
+    """Each text is written once in the plan, whatever is asked of it: long plans cost seconds before a row is read."""
+    pages = spark.createDataFrame([("<p>", "u")], "html string, url string")
+    cleaned = pages.select("url", H.clean_html(F.col("html")).alias("html_content"))
+    for df, most in ((cleaned, 60_000), (L.extract_links(cleaned), 130_000)):
+        assert len(df._jdf.queryExecution().optimizedPlan().toString()) < most
