@@ -12,6 +12,7 @@ import pyarrow.compute as pc
 SLICE_BYTES = 1 << 20
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
+_ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
 _BASE = 0xD6E8FEB86659FD93
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -71,8 +72,6 @@ def mix(keys: np.ndarray) -> np.ndarray:
     return keys ^ (keys >> np.uint64(31))
 
 
-_BYTES = mix(np.arange(256, dtype=np.uint64))
-
 def _powers(base: int, n: int) -> np.ndarray:
     """The first ``n`` powers of ``base`` modulo 2**64."""
     factors = np.full(n, base, np.uint64)
@@ -81,7 +80,9 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 
 def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A rolling 64-bit hash of ``values[start:end]`` for each span, all from one prefix sum."""
+    """A rolling 64-bit hash of ``values[start:end]`` for each span, all from one prefix sum.
+
+    Meant for spans of a few hashes: modulo a power of two, long spans of two values can be made to agree."""
     sums = np.zeros(len(values) + 1, np.uint64)
     np.cumsum(values * _powers(_BASE, len(values)), out=sums[1:])
     inverses = _powers(_INVERSE, len(values) + 1)
@@ -90,7 +91,50 @@ def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    return span_hashes(_BYTES[data], starts, ends)
+    """A 64-bit hash of the bytes of each span, of any length: blocks of eight bytes, mixed with their place in the span."""
+    lengths = ends - starts
+    blocks = (lengths + 7) // 8
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    words = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+    out = mix(lengths)
+    for k in range(int(blocks.max(initial=0))):
+        # Spans that reach this block; most end within the first two, and those longer are taken apart below.
+        at = np.flatnonzero(blocks > k)
+        if k >= 4:
+            _long_hashes(words, starts[at], lengths[at], out, at)
+            break
+        rest = np.minimum(lengths[at] - 8 * k, 8).astype(np.uint64)
+        block = words[starts[at] + 8 * k] & (_ALL >> (np.uint64(64) - rest * np.uint64(8)))
+        out[at] = mix(out[at] ^ mix(block ^ mix(np.full(1, k + 1))))
+    return out
+
+
+def _long_hashes(words: np.ndarray, starts: np.ndarray, lengths: np.ndarray, out: np.ndarray, at: np.ndarray) -> None:
+    """Adds the blocks from the fifth on to the hashes of long spans; some spans at a time, as they may be long."""
+    counts = (lengths + 7) // 8 - 4
+    ends = np.cumsum(counts)
+    a = 0
+    while a < len(at):
+        b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + (1 << 18), side="right")))
+        if counts[a] > 1 << 18:
+            total = np.zeros(1, np.uint64)
+            for first in range(0, int(counts[a]), 1 << 18):
+                place = np.arange(first, min(first + (1 << 18), int(counts[a])))
+                total += _blocks(words, np.full(len(place), starts[a]), np.full(len(place), lengths[a]), place + 4).sum(dtype=np.uint64)
+            b = a + 1
+        else:
+            own = np.repeat(np.arange(a, b), counts[a:b])
+            begins = np.cumsum(counts[a:b]) - counts[a:b]
+            place = np.arange(len(own)) - np.repeat(begins, counts[a:b]) + 4
+            total = np.add.reduceat(_blocks(words, starts[own], lengths[own], place), begins)
+        out[at[a:b]] = mix(out[at[a:b]] ^ total)
+        a = b
+
+
+def _blocks(words: np.ndarray, starts: np.ndarray, lengths: np.ndarray, place: np.ndarray) -> np.ndarray:
+    rest = np.minimum(lengths - 8 * place, 8).astype(np.uint64)
+    block = words[starts + 8 * place] & (_ALL >> (np.uint64(64) - rest * np.uint64(8)))
+    return mix(mix(place.astype(np.uint64)) ^ mix(block))
 
 
 def window_starts(first: np.ndarray, n: int) -> np.ndarray:

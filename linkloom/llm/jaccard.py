@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from linkloom.llm import arrays
 from linkloom.llm.components import components
+from linkloom.llm.numbered import ROW, numbered
 from linkloom.operators.sizes import small
 from linkloom.operators.skew import skew_join
 from linkloom.session import materialize
@@ -74,64 +75,66 @@ def _signed(keys: np.ndarray) -> pa.Array:
     return pa.array(keys.view(np.int64))
 
 
-def digests(docs: DataFrame, n: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, high, low): the size and the digest of each document's shingle set."""
-    def make(part, keys, borders):
-        raw = [hashlib.blake2b(keys[a:b].tobytes(), digest_size=16).digest() for a, b in zip(borders[:-1], borders[1:], strict=True)]
-        halves = np.frombuffer(b"".join(raw), np.int64).reshape(-1, 2)
-        return [part.column(doc_id), pa.array(np.diff(borders)), pa.array(halves[:, 0].copy()), pa.array(halves[:, 1].copy())]
-
-    return _map(docs, [doc_id], f"{doc_id} long, n_shingles long, high long, low long", make, n, text)
-
+def digests(docs: DataFrame, n: int, text: str = "text") -> DataFrame:
+    """(__row, n_shingles, high, low) for each row: the size and the digest of its shingle set. And (shingle, n): n-grams that
+    come three times within a few million n-grams of a task, in rows of their own."""
+    schema = f"{ROW} long, n_shingles long, high long, low long, shingle long, n long"
 
-def common_shingles(docs: DataFrame, n: int, text: str = "text", most: int = MOST_COMMON, least: int = COMMON_FROM) -> np.ndarray:
-    """Sorted hashes of the ``most`` n-grams that many documents share: those that come three times within a
-    few million n-grams of a task, by their sum. The list decides on the order of columns only."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for part in arrays.slices(batches, text):
-            held.append(shingle_sets(part.column(text), n)[0])
-            size += len(held[-1])
+            keys, borders = shingle_sets(part.column(text), n)
+            raw = [hashlib.blake2b(keys[a:b].tobytes(), digest_size=16).digest() for a, b in zip(borders[:-1], borders[1:], strict=True)]
+            halves = np.frombuffer(b"".join(raw), np.int64).reshape(-1, 2)
+            none = pa.nulls(part.num_rows, pa.int64())
+            yield _batch(schema, [part.column(ROW), pa.array(np.diff(borders)), pa.array(halves[:, 0].copy()), pa.array(halves[:, 1].copy()), none, none])
+            held.append(keys)
+            size += len(keys)
             if size > 4 * BLOCK_SHINGLES:
-                yield _frequent(held)
+                yield _frequent(schema, held)
                 held, size = [], 0
-        yield _frequent(held)
+        yield _frequent(schema, held)
+
+    return docs.select(ROW, text).mapInArrow(run, schema)
 
-    counts = docs.select(text).mapInArrow(run, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
-    top = counts.filter(F.col("n") >= least).orderBy(F.desc("n"), "shingle").limit(most).select("shingle").toArrow()
-    return np.sort(np.concatenate([np.zeros(0, np.int64), top.column("shingle").to_numpy()]).astype(np.int64).view(np.uint64))
 
+def _batch(schema: str, columns: list[pa.Array]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(columns, [field.split()[0] for field in schema.split(", ")])
 
-def _frequent(held: list[np.ndarray]) -> pa.RecordBatch:
+
+def _frequent(schema: str, held: list[np.ndarray]) -> pa.RecordBatch:
     keys, counts = np.unique(np.concatenate([np.zeros(0, np.uint64), *held]), return_counts=True)
     often = counts > 2
-    return pa.RecordBatch.from_arrays([_signed(keys[often]), pa.array(counts[often])], ["shingle", "n"])
+    return _batch(schema, [*[pa.nulls(int(often.sum()), pa.int64())] * 4, _signed(keys[often]), pa.array(counts[often])])
+
+
+def common_shingles(found: DataFrame, most: int = MOST_COMMON, least: int = COMMON_FROM) -> np.ndarray:
+    """Sorted hashes of the ``most`` n-grams that many documents share, by the sums of ``digests``. The list decides on the order
+    of columns only."""
+    counts = found.filter("shingle IS NOT NULL").groupBy("shingle").agg(F.sum("n").alias("n"))
+    top = counts.filter(F.col("n") >= least).orderBy(F.desc("n"), "shingle").limit(most).select("shingle").toArrow()
+    return np.sort(np.concatenate([np.zeros(0, np.int64), top.column("shingle").to_numpy()]).astype(np.int64).view(np.uint64))
 
 
-def _postings(docs: DataFrame, n: int, percent: int, common: np.ndarray, doc_id: str, text: str) -> DataFrame:
-    """(shingle, salt, node, size, own): the columns at the beginning of each document's row. Common ones have a
-    salt, as their lists may be long; for the others it is -1."""
+def _postings(docs: DataFrame, n: int, percent: int, common: np.ndarray, text: str) -> DataFrame:
+    """(shingle, salt, node, size): the columns at the beginning of each row. Common ones have a salt, as their lists may be
+    long, which spreads nodes evenly; for the others it is -1."""
     def make(part, keys, borders):
         last = np.isin(keys, common) if len(common) else np.zeros(len(keys), bool)
         sizes = np.diff(borders)
         # Partners share at least ceil(percent * size / 100) columns, so as many as are needed of the first ones of both.
         first = sizes - (percent * sizes + 99) // 100 + 1 + sizes // 20
-        chosen, digest = [np.zeros(0, np.int64)], []
+        chosen = [np.zeros(0, np.int64)]
         for a, b, k in zip(borders[:-1], borders[1:], first, strict=True):
-            digest.append(np.bitwise_xor.reduce(arrays.mix(keys[a:b])))
             early = np.flatnonzero(~last[a:b])
             chosen.append(a + np.concatenate([early, np.flatnonzero(last[a:b])])[: k if b > a else 0])
         at = np.concatenate(chosen)
         rows = np.searchsorted(borders, at, side="right") - 1
-        own = np.array(digest, np.uint64)[rows]
-        salt = np.where(last[at], (own % np.uint64(_SALTS)).astype(np.int64), -1)
-        return [
-            _signed(keys[at]), pa.array(salt.astype(np.int32)), part.column(doc_id).take(pa.array(rows)),
-            pa.array(sizes[rows].astype(np.int32)), _signed(own),
-        ]
+        node = part.column(ROW).to_numpy()[rows]
+        salt = np.where(last[at], (arrays.mix(node) % np.uint64(_SALTS)).astype(np.int64), -1)
+        return [_signed(keys[at]), pa.array(salt.astype(np.int32)), pa.array(node), pa.array(sizes[rows].astype(np.int32))]
 
-    with_id = docs.filter(F.col(doc_id).isNotNull())
-    return _map(with_id, [doc_id], "shingle long, salt int, node long, size int, own long", make, n, text)
+    return _map(docs, [ROW], "shingle long, salt int, node long, size int", make, n, text)
 
 
 def _needed(size: Column) -> Column:
@@ -145,37 +148,34 @@ def _by_long(needed: Column) -> Column:
 
 
 def _candidates(postings: DataFrame, percent: int) -> DataFrame:
-    """(a, b): pairs of documents with overlap enough in short columns; and in long columns, documents that follow each other
+    """(a, b): pairs of nodes with overlap enough in short columns; and in long columns, nodes that follow each other
     by size, where the sizes allow a link.
 
-    A common column is chained within each of its salts; the first document of each salt and size then
+    A common column is chained within each of its salts; the first node of each salt and size then
     stands for all of them when salts are chained with each other.
     """
     def fits(smaller: Column, larger: Column) -> Column:
         return 100 * smaller.cast("long") >= percent * larger.cast("long")
 
     def chained(rows: DataFrame, *by: str) -> DataFrame:
-        order = Window.partitionBy(*by).orderBy("size", "salt", "own", "node")
-        return rows.withColumns({f"_{c}": F.lag(c).over(order) for c in ("node", "size", "own")})
-
-    other = F.col("_own").isNull() | (F.col("own") != F.col("_own"))
-    rows = chained(postings, "shingle", "salt").withColumn("_other", other)
-    # Copies follow each other; they count once.
-    counted = rows.withColumn("_n", F.sum(F.col("_other").cast("int")).over(Window.partitionBy("shingle", "salt")))
-    columns = ["shingle", "salt", "node", "size", "own"]
-    kept = materialize(counted.filter("salt >= 0 OR _n > 1").select(*columns, "_n", "_other"), "columns")
+        order = Window.partitionBy(*by).orderBy("size", "salt", "node")
+        return rows.withColumns({f"_{c}": F.lag(c).over(order) for c in ("node", "size")})
+
+    counted = postings.withColumn("_n", F.count("*").over(Window.partitionBy("shingle", "salt")))
+    columns = ["shingle", "salt", "node", "size"]
+    kept = materialize(counted.filter("salt >= 0 OR _n > 1"), "columns")
     is_long = (F.col("salt") >= 0) | (F.col("_n") > LONG)
 
     least = F.floor((F.col("size").cast("long") * percent + 99) / 100)
     able = kept.filter(is_long).groupBy("node", "size").agg(F.count("*").alias("_long")).filter(F.col("_long") >= _by_long(_needed(least)))
-    reaching = kept.filter(is_long).select(*columns).join(able.select("node", "size"), ["node", "size"], "left_semi")
-    follows = F.col("_size").isNotNull() & fits(F.col("_size"), F.col("size")) & (F.col("own") != F.col("_own"))
+    reaching = kept.filter(is_long).select(*columns).join(able.select("node"), "node", "left_semi")
+    follows = F.col("_size").isNotNull() & fits(F.col("_size"), F.col("size"))
     stands = (F.col("salt") >= 0) & (F.col("_size").isNull() | (F.col("size") != F.col("_size")))
     within = materialize(chained(reaching, "shingle", "salt").filter(follows | stands), "chains")
     between = chained(within.filter(stands).select(*columns), "shingle")
     chains = [part.filter(follows).select(F.col("_node").alias("a"), F.col("node").alias("b")) for part in (within, between)]
 
-    lists = kept.filter(~is_long & F.col("_other")).groupBy("shingle").agg(F.sort_array(F.collect_list(F.struct("size", "node"))).alias("docs"))
+    lists = kept.filter(~is_long).groupBy("shingle").agg(F.sort_array(F.collect_list(F.struct("size", "node"))).alias("docs"))
     first = lists.select("docs", F.posexplode("docs").alias("i", "x"))
     pairs = first.select("x", F.explode(F.slice("docs", F.col("i") + 2, F.lit(LONG))).alias("y")).filter(fits(F.col("x.size"), F.col("y.size")))
     needed = _needed(F.col("x.size"))
@@ -272,53 +272,69 @@ def _linked(keys: np.ndarray, borders: np.ndarray, block: np.ndarray | None, per
     return alive & ((100 + percent) * overlap >= percent * total)
 
 
-def jaccard_join(
+def labelled(
     docs: DataFrame, n: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text",
     block_shingles: int = BLOCK_SHINGLES, block_docs: int = 1024, most_common: int = MOST_COMMON, common_from: int = COMMON_FROM,
 ) -> DataFrame:
-    """(doc_id, n_shingles, n_links, component_id): per row of ``docs``, the size of its set of ``n``-word shingles,
-    the number of other rows that it is linked with, and the smallest doc_id that links lead to, its own included.
+    """``jaccard_join`` for rows numbered by ``numbered``: (__row, doc_id, n_shingles, n_links, component_id, first).
 
-    Words are what white space (ASCII) separates, A-Z in lower case; a text of fewer words than ``n`` is one shingle.
-    Rows link when 100 * intersection >= percent * union. Texts without words and null texts have no shingle and no
-    links. Rows of one doc_id are one document to the components. Rows without doc_id are linked with copies
-    of their own shingle set only, and get null as component if no copy has an id. Other columns play no part.
+    Rows are told apart by their numbers alone. ``first`` is true for one row of each component: that of the smallest doc_id
+    (null: last), and of the smallest number among those.
     """
-    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    docs = docs.select(ROW, F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     found = materialize(digests(docs, n), "digests")
-    classes = found.filter("n_shingles > 0").groupBy("n_shingles", "high", "low").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
-    # A class with a large share of all rows is spread over tasks.
-    classes = materialize(classes.select(F.struct("n_shingles", "high", "low").alias("_class"), "rep", "copies"), "classes")
-    keyed = found.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.struct("n_shingles", "high", "low")).alias("_class"))
-    members = skew_join(keyed, classes, "_class", F.col("doc_id"), counts=classes.select("_class", F.col("copies").alias("n")))
-    members = materialize(members.select("doc_id", "n_shingles", "rep", "copies"), "members")
-    common = common_shingles(docs, n, most=most_common, least=common_from)
-    pairs = _candidates(_postings(docs, n, percent, common, "doc_id", "text"), percent)
-    known = members.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("rep").alias("rep"))
-    for side in ("a", "b"):
-        pairs = pairs.join(known.select(F.col("doc_id").alias(side), F.col("rep").alias(f"{side}_rep")), side)
-    groups = components(pairs.select(F.col("a_rep").alias("a"), F.col("b_rep").alias("b")))
-    own = members.filter("doc_id = rep").groupBy("doc_id").agg(F.max("n_shingles").alias("n_shingles"), F.max("copies").alias("copies"))
-    groups = materialize(groups.join(own.withColumnRenamed("doc_id", "node"), "node"), "groups")
+    common = common_shingles(found, most_common, common_from)
+    found = found.filter("shingle IS NULL").select(ROW, "n_shingles", F.when(F.col("n_shingles") > 0, F.struct("n_shingles", "high", "low")).alias("_class"))
+    # Equal sets are one node, by the number of one of their rows. A class with a large share of all rows is spread over tasks.
+    classes = found.filter("n_shingles > 0").groupBy("_class").agg(F.min(ROW).alias("rep"), F.count("*").alias("copies"))
+    classes = materialize(classes, "classes")
+    members = skew_join(found, classes, "_class", F.col(ROW), counts=classes.select("_class", F.col("copies").alias("n")))
+    members = materialize(members.select(ROW, "n_shingles", "rep", "copies"), "members")
+    others = members.filter(F.col("rep").isNull() | (F.col("rep") != F.col(ROW))).select(ROW)
+    single = docs.join(small(materialize(others, "copies")), ROW, "left_anti").select(ROW, "text")
+    pairs = materialize(_candidates(_postings(single, n, percent, common, "text"), percent), "pairs")
+    groups = components(pairs)
+    own = classes.select(F.col("rep").alias("node"), F.col("_class.n_shingles").alias("n_shingles"), "copies")
+    groups = materialize(groups.join(own, "node"), "groups")
     dealt = materialize(_dealt(groups, block_shingles, block_docs), "dealt")
-    rows = docs.join(small(dealt.withColumnRenamed("node", "doc_id")), "doc_id")
-    keep = ["component", "copies", "block", "large", "major", "i", "j"]
+    rows = docs.select(ROW, "text").join(small(dealt.select(F.col("node").alias(ROW)).distinct()), ROW, "left_semi")
 
     def make(part, keys, borders):
-        lists = pa.ListArray.from_arrays(pa.array(borders, pa.int32()), _signed(keys))
-        return [part.column("doc_id"), *[part.column(c) for c in keep], lists]
+        return [part.column(ROW), pa.ListArray.from_arrays(pa.array(borders, pa.int32()), _signed(keys))]
 
-    schema = "node long, component long, copies long, block int, large boolean, major long, i int, j int, keys array<long>"
-    sets = _map(rows, ["doc_id", *keep], schema, make, n, "text")
+    # Only sets travel to the blocks, however many these are.
+    sets = _map(rows, [ROW], "node long, keys array<long>", make, n, "text").join(small(dealt), "node")
     forest = materialize(
         sets.groupBy("large", "major", "i", "j").applyInArrow(lambda table: _multiply(table, percent), "node long, root long, links long"), "forest"
     )
     ends = components(forest.select(F.col("node").alias("a"), F.col("root").alias("b")))
     degrees = forest.groupBy("node").agg(F.sum("links").alias("links"))
     labels = materialize(degrees.join(ends, "node", "left").withColumnRenamed("node", "rep"), "labels")
-    placed = skew_join(members, labels, "rep", F.col("doc_id"), counts=classes.filter("rep IS NOT NULL").groupBy("rep").agg(F.sum("copies").alias("n")))
-    return placed.select(
-        F.col("doc_id").alias(doc_id), "n_shingles",
+    placed = skew_join(members, labels, "rep", F.col(ROW), counts=classes.select("rep", F.col("copies").alias("n")))
+    # Rows without shingles are components of their own.
+    placed = placed.withColumn("_component", F.coalesce("component", "rep", ROW)).join(docs.select(ROW, "doc_id"), ROW)
+    placed = materialize(placed.select(ROW, "doc_id", "n_shingles", "links", "copies", "_component"), "placed")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", ROW)).alias("_least")
+    ids = placed.groupBy("_component").agg(least, F.count("*").alias("n"))
+    ids = materialize(ids.filter("n > 1").select("_component", F.col("_least.doc_id").alias("_id"), F.col(f"_least.{ROW}").alias("_row"), "n"), "components")
+    joined = skew_join(placed, ids.drop("n"), "_component", F.col(ROW), counts=ids.select("_component", "n"))
+    return joined.select(
+        ROW, "doc_id", "n_shingles",
         F.when(F.col("n_shingles") > 0, F.coalesce("links", F.lit(0)) + F.col("copies") - 1).otherwise(F.lit(0)).cast("long").alias("n_links"),
-        F.coalesce("component", "rep", "doc_id").alias("component_id"),
+        F.when(F.col("_row").isNull(), F.col("doc_id")).otherwise(F.col("_id")).alias("component_id"),
+        (F.col("_row").isNull() | (F.col("_row") == F.col(ROW))).alias("first"),
     )
+
+
+def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text", **plan: int) -> DataFrame:
+    """(doc_id, n_shingles, n_links, component_id): per row of ``docs``, the size of its set of ``n``-word shingles,
+    the number of other rows that it is linked with, and the smallest doc_id that links lead to, its own included.
+
+    Words are what white space (ASCII) separates, A-Z in lower case; a text of fewer words than ``n`` is one shingle.
+    Rows link when 100 * intersection >= percent * union. Texts without words and null texts have no shingle and no
+    links. Rows are linked as rows, whatever their ids: repeated ids and null ids are no special case, and null is the
+    component of rows only where no row that links lead to has an id. Ties and repeated rows are links like others; an empty
+    table gives no rows. Other columns play no part. ``plan`` sets the sizes of blocks and lists of ``labelled``.
+    """
+    found = labelled(numbered(docs.select(doc_id, text)), n, percent, doc_id, text, **plan)
+    return found.select(F.col("doc_id").alias(doc_id), "n_shingles", "n_links", "component_id")

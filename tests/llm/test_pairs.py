@@ -10,7 +10,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from linkloom.llm import components, jaccard, queries, slots, spotsigs, warc
+from linkloom.llm import components, jaccard, numbered, queries, slots, spotsigs, warc
 from tests.llm.conftest import PROSE
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -170,6 +170,46 @@ def test_slots_balance_and_rebalance(spark):
     assert len(loads) == 25 and max(loads) <= 1.03 * sum(loads) / 25
 
 
+def test_numbered_rows(spark, tmp_path):
+    """Numbers of stored rows are those of files and places, whatever is read of them; other rows are written with theirs."""
+    df = spark.range(1000).selectExpr("id % 10 AS id", "'x' AS text")
+    df.repartition(7).write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    found = numbered.numbered(stored.filter("id > 2"))
+    assert "Scan parquet" in found._jdf.queryExecution().toString() and found.select(numbered.ROW).distinct().count() == 700
+    part = numbered.numbered(stored.select("id").filter("id > 2")).join(found, [numbered.ROW, "id"])
+    assert part.count() == 700
+    twice = numbered.numbered(stored.union(stored))
+    assert twice.select(numbered.ROW).distinct().count() == twice.count() == 2000
+
+
+def test_pipeline_stages_on_odd_rows(spark, no_docs):
+    """Rows of one id with different texts, repeated rows, null ids, and columns that are named like results."""
+    import corpus_pipeline
+
+    rng = random.Random(8)
+    words = ["the", "a", "of", *[f"{a}{b}" for a in ("ba", "ko", "mi", "tu") for b in ("ra", "ne", "so")]]
+    prose = [" ".join(rng.choice(words) + rng.choice(words) for _ in range(80)) for _ in range(4)]
+    schema = "doc_id long, text string, lang string, score string, kept string, n_words string, `a.b` int, first string"
+    rest = ("s", "k", "w", 1, "f")
+    rows = [
+        (5, prose[0], "xx", *rest), (5, prose[0], "xx", *rest), (7, prose[0], "xx", *rest), (7, prose[1], None, *rest), (None, prose[1], "xx", *rest),
+        (None, prose[2], "xx", *rest), (None, prose[2], "xx", *rest), (9, prose[3] + " tail", "xx", None, None, None, None, None),
+        (8, prose[3], "xx", *rest), (1, None, "xx", *rest), (1, "", None, *rest), (2, "12 34", "xx", *rest),
+    ]
+    docs = spark.createDataFrame(rows, schema).repartition(4)
+    known = corpus_pipeline.language_id(spark, docs, "")
+    assert known.columns == docs.columns and Counter(map(tuple, known.collect())) == Counter(rows[:9])
+    good = corpus_pipeline.quality_rules(spark, known, "")
+    assert good.columns == docs.columns and Counter(map(tuple, good.collect())) == Counter(rows[:9])
+    left = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert left.columns == docs.columns and Counter(map(tuple, left.collect())) == Counter([rows[0], rows[3], rows[5], rows[8], *rows[9:]])
+    packed = corpus_pipeline.best_fit_packing(spark, left, "")
+    assert packed.filter("doc_id = 1").count() == 2
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, no_docs, "").count() == 0
+
+
 def test_pipeline(spark, sf_dir):
     import corpus_pipeline
 

@@ -10,7 +10,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from linkloom.llm import bpe_files, chunks, katz, langid, licenses, packing, quality, queries
+from linkloom.llm import arrays, bpe_files, chunks, katz, langid, licenses, packing, quality, queries
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 MULTI = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -151,3 +151,21 @@ def test_licenses(spark, no_docs):
     assert found["a/b/c.py"] == (None, "CC-BY-NC-4.0", "a/b/COPYING")
     assert found["e/f.py"] == found["e/g.py"] == found["h"] == (None, None, None)
     assert licenses.scan(no_docs.withColumn("path", F.lit("x"))).count() == 0
+
+
+def test_long_words_and_lines_of_two_letters_differ():
+    """Sequences that agree modulo a power of two, whatever the base of a polynomial, have different hashes."""
+    for size in (1024, 4096, 1 << 21):
+        bits = np.zeros(1, np.uint8)
+        while len(bits) < size:
+            bits = np.concatenate([bits, 1 - bits])
+        data = np.concatenate([bits, 1 - bits, bits]) + np.uint8(97)
+        starts = np.arange(3) * size
+        one, other, again = arrays.word_hashes(data, starts, starts + size)
+        assert one != other and one == again
+    rng = np.random.default_rng(2)
+    data = rng.integers(97, 99, 5000).astype(np.uint8)
+    starts = rng.integers(0, 4900, 4000)
+    ends = starts + rng.integers(1, 90, 4000)
+    by_hash = dict(zip(arrays.word_hashes(data, starts, ends).tolist(), [data[a:b].tobytes() for a, b in zip(starts, ends, strict=True)], strict=True))
+    assert len(by_hash) == len({data[a:b].tobytes() for a, b in zip(starts, ends, strict=True)})
