@@ -8,11 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.llm import jaccard, langid, packing, quality
+from linkloom.llm import jaccard, langid, quality, queries
 from linkloom.llm.numbered import ROW, numbered
 from linkloom.operators.sizes import small
 from linkloom.session import materialize
@@ -61,7 +60,7 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
     A null or empty text is a piece of one token. Rows are packed one by one, whatever their ids; no rows give none.
     """
-    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, end=2)
+    return queries.pack_fifty(docs)
 
 
 STAGES = [

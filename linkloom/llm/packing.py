@@ -36,18 +36,18 @@ def cut(length: int, capacity: int) -> list[tuple[int, int]]:
 
 def tokenize(
     docs: DataFrame, vocabulary: str, pattern: str, end: int, capacity: int = CAPACITY,
-    doc_id: str = "doc_id", text: str = "text", ids: bool = False,
+    doc_id: str = "doc_id", text: str = "text", ids: bool = False, added: dict[str, int] | None = None,
 ) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32), and the token ``ids`` if asked for, of every piece.
 
-    ``vocabulary`` is a rank file that tasks can open. ``end`` is the id put after each document, so that an
+    ``vocabulary`` is a rank file that tasks can open, ``added`` has tokens that are their own ids wherever they are in a text. ``end`` is the id put after each document, so that an
     empty or null text is a piece of one token.
     """
     kind = dict(docs.dtypes)[doc_id]
     names = [doc_id, "piece", "start", "length", "ids_crc32", *["ids"] * ids]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = bpe_files.encoding(vocabulary, pattern)
+        own = bpe_files.encoding(vocabulary, pattern, added)
         for part in arrays.slices(batches, text):
             rows, found = [], []
             for i, value in enumerate(part.column(text).to_pylist()):
@@ -132,13 +132,14 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, bucket_pieces: int = BUCKE
 
 def pack_documents(
     docs: DataFrame, vocabulary: str, pattern: str, end: int, capacity: int = CAPACITY, doc_id: str = "doc_id", text: str = "text",
+    added: dict[str, int] | None = None,
 ) -> DataFrame:
     """The pieces of all documents with their places: tokenised once, written as a table of numbers, packed.
 
     A null text is an empty document. Rows are packed one by one, so repeated ids and null ids are no special case;
     extra columns play no part. No document is dropped or cut short.
     """
-    return pack(materialize(tokenize(docs, vocabulary, pattern, end, capacity, doc_id, text), "pieces"), capacity)
+    return pack(materialize(tokenize(docs, vocabulary, pattern, end, capacity, doc_id, text, added=added), "pieces"), capacity)
 
 
 def sequences(placed: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.llm import chunks, codes, graphs, jaccard, katz, langid, licenses, packing, quality, slots, spotsigs, turns, warc
+from linkloom.llm import bpe_files, chunks, codes, graphs, jaccard, katz, langid, licenses, packing, quality, slots, spotsigs, turns, warc
 from linkloom.session import materialize, new_folder
 
 
@@ -28,8 +28,13 @@ def op2_repetition_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN, end=2)
+    return pack_fifty(table(spark, sf_dir, "documents"))
+
+
+def pack_fifty(docs: DataFrame) -> DataFrame:
+    """``docs`` packed by the ids of ``byte_bpe_50k.json``; the rank file is the same vocabulary, without the added token."""
+    added = bpe_files.added_tokens(public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, end=2, added=added)
 
 
 def op4_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -78,12 +78,15 @@ def test_chunked_encoding(docs, no_docs, chunk, overlap):
     assert chunks.encode(no_docs, MULTI, public_tokenizers.PATTERN).count() == 0
 
 
-def test_packing(docs, no_docs):
+def test_packing(spark, docs, no_docs):
     from tokenizers import Tokenizer
 
-    own = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    own.encode_special_tokens = True
-    pieces = packing.tokenize(docs, FIFTY, public_tokenizers.PATTERN, 2, ids=True)
+    json_file = public_tokenizers.path("byte_bpe_50k.json")
+    own = Tokenizer.from_file(json_file)
+    mark = "<|endoftext|>"
+    marked = [mark, mark * 2, f"{mark} begins", f"ends  {mark}", f" a {mark}\n\n{mark}  b ", f"{mark[:-1]} {mark[1:]}", f"word{mark}word <|{mark}|>"]
+    docs = docs.select("doc_id", "text").unionByName(spark.createDataFrame(list(enumerate(marked, 100)), "doc_id long, text string"))
+    pieces = packing.tokenize(docs, FIFTY, public_tokenizers.PATTERN, 2, ids=True, added=bpe_files.added_tokens(json_file))
     placed = packing.pack(pieces).collect()
     texts = {r.doc_id: own.encode(r.text or "", add_special_tokens=False).ids + [2] for r in docs.collect()}
     for row in placed:
