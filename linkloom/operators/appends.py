@@ -8,21 +8,22 @@ from pyspark.sql import functions as F
 from linkloom.operators.ids import dense_ids, max_id
 
 
-def _numbered(rows: DataFrame, table: DataFrame, order: str) -> DataFrame:
-    return dense_ids(rows, order, start=max_id(table)).select(*table.columns)
+def _numbered(rows: DataFrame, table: DataFrame, order: str, start: Column | int | None = None) -> DataFrame:
+    return dense_ids(rows, order, start=max_id(table) if start is None else start).select(*table.columns)
 
 
-def site_append(site: DataFrame, new: DataFrame, order: str = "domain") -> DataFrame:
+def site_append(site: DataFrame, new: DataFrame, order: str = "domain", start: Column | int | None = None) -> DataFrame:
     """New site rows for (domain, robots_content, sitemap_content); ``order`` must be unique in the batch.
+    ``start`` is the largest id so far, where it is known.
 
     Domains already in ``site`` are not looked at.
     """
-    return _numbered(new, site, order)
+    return _numbered(new, site, order, start)
 
 
-def page_data_append(page_data: DataFrame, new: DataFrame, order: str) -> DataFrame:
+def page_data_append(page_data: DataFrame, new: DataFrame, order: str, start: Column | int | None = None) -> DataFrame:
     """New page_data rows for (page_id, data_type_code, data)."""
-    return _numbered(new, page_data, order)
+    return _numbered(new, page_data, order, start)
 
 
 def image_append(image: DataFrame, new: DataFrame, order: str) -> tuple[DataFrame, DataFrame]:

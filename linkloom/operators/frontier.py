@@ -56,8 +56,13 @@ def insert_ignore(page: DataFrame, batch: DataFrame, order: Column, site_id: int
 
     Rows that exist are left as they are, also when the batch scores them higher.
     """
-    fresh = except_existing(first_of_batch(batch, order), page)
-    return frontier_rows(dense_ids(fresh, "url", start=max_id(page)), site_id)
+    return insert_unknown(first_of_batch(batch, order), page, max_id(page), site_id)
+
+
+def insert_unknown(first: DataFrame, known: DataFrame, start: Column | int, site_id: int | None = None) -> DataFrame:
+    """New FRONTIER rows, numbered from ``start`` on, for distinct URLs (url, relevance) that ``known`` lacks. That is all pages, or
+    what an index found of them for these URLs."""
+    return frontier_rows(dense_ids(except_existing(first, known), "url", start=start), site_id)
 
 
 def insert_counts(batch: DataFrame, inserted: DataFrame) -> DataFrame:

@@ -371,6 +371,8 @@ ORACLE = {
     "stream_html_count": "SELECT CASE WHEN lang = 'fr' THEN 'BINARY' ELSE 'HTML' END AS page_type_code, count(*) AS n FROM documents GROUP BY 1",
     "best_links": "SELECT url, relevance FROM (SELECT url, any_value(relevance) AS relevance FROM scored GROUP BY url) ORDER BY relevance DESC NULLS FIRST, url LIMIT 20",
 }
+# The same rows, found through the store's indexes.
+ORACLE |= {f"{new}_indexed": ORACLE[old] for new, old in (("frontier_insert", "frontier_insert_ignore"), ("url_to_id", "url_to_id"), ("hash_lookup", "hash_lookup"))}
 # Reachability has its own recursive part.
 _REACH = f"""reach(id, depth) AS (
     SELECT page_id, 0 FROM pages WHERE {domain('url')} = '{FOCUS}'

@@ -6,7 +6,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkloom import schemas
@@ -26,13 +26,29 @@ from linkloom.sources.store import Store
 
 @dataclass(frozen=True)
 class State:
-    """The tables of a crawl."""
+    """The tables of a crawl. ``known`` finds (url or content_hash, id) of a batch's keys, and ``last_ids`` has the largest id of each
+    table, where a store keeps an index and counts; without them, the tables are scanned."""
 
     page: DataFrame
     site: DataFrame
     link: DataFrame
     page_data: DataFrame
     image: DataFrame
+    known: Callable[[str, DataFrame], DataFrame] | None = None
+    last_ids: dict[str, int] | None = None
+
+    def tables(self) -> dict[str, DataFrame]:
+        return {name: getattr(self, name) for name in ("page", "site", "link", "page_data", "image")}
+
+    def pages_of(self, key: str, batch: DataFrame) -> DataFrame:
+        """(key, id) of the pages whose key is in ``batch``, a stored table."""
+        if self.known is not None:
+            return self.known(key, batch)
+        keys = batch.select(key).filter(F.col(key).isNotNull()).distinct()
+        return known_rows(self.page.select(key, "id"), small(keys), [key])
+
+    def last_id(self, table: str) -> Column | int:
+        return max_id(getattr(self, table)) if self.last_ids is None else self.last_ids.get(table, 0)
 
 
 @dataclass(frozen=True)
@@ -109,7 +125,7 @@ def crawl_round(state: State, inputs: Inputs, options: Options) -> Changes:
     with_site = _site_ids(claimed, all_sites)
 
     processed = one_response(materialize(_responses(with_site, inputs, options), "processed"))
-    marked = materialize(mark(processed, state.page), "marked")
+    marked = materialize(mark(processed, state), "marked")
     duplicates = marked.filter("is_duplicate").select("id", F.lit(True).alias("is_duplicate"))
     duplicates = small(duplicates)
     settled = settle(processed, duplicates)
@@ -134,9 +150,9 @@ def crawl_round(state: State, inputs: Inputs, options: Options) -> Changes:
     scored = routed.filter(F.col("type") == "HTML").drop("type").unionByName(listed_links)
     order = F.struct("accessed_time", "page_id", "step", "url")
     candidates = materialize(frontier.first_of_batch(scored, order), "candidates")
-    known = materialize(known_rows(state.page.select("id", "url"), small(candidates), ["url"]), "known")
+    known = materialize(state.pages_of("url", candidates), "known")
     fresh = materialize(
-        dense_ids(candidates.join(known.select("url"), "url", "left_anti"), "url", start=max_id(state.page)), "fresh"
+        dense_ids(candidates.join(known.select("url"), "url", "left_anti"), "url", start=state.last_id("page")), "fresh"
     )
 
     ids = known.select("id", "url").unionByName(fresh.select("id", "url"))
@@ -167,7 +183,7 @@ def _new_sites(state: State, inputs: Inputs, claimed: DataFrame) -> tuple[DataFr
     files = known_rows(inputs.sitemaps, small(listed.select("sitemap_url").distinct()), ["sitemap_url"])
     located = materialize(sitemaps.sitemap_urls(files), "located")
     content = sitemaps.sitemap_content(asked, listed, located)
-    rows = site_append(state.site, asked.join(content, "domain", "left"))
+    rows = site_append(state.site, asked.join(content, "domain", "left"), start=state.last_id("site"))
     return materialize(rows, "sites"), listed, located
 
 
@@ -223,12 +239,11 @@ def process(rows: DataFrame) -> DataFrame:
     return rows.withColumn("content_hash", H.content_hash(F.col("html_content")))
 
 
-def mark(processed: DataFrame, page: DataFrame) -> DataFrame:
-    """(id, original_id, is_duplicate); looks up only the hashes of this batch in ``page``."""
+def mark(processed: DataFrame, state: State) -> DataFrame:
+    """(id, original_id, is_duplicate); looks up only the hashes of this batch."""
     batch = processed.select("id", "accessed_time", "content_hash")
     hashes = batch.select("content_hash").filter(F.col("content_hash").isNotNull()).distinct()
-    hashes = materialize(hashes, "hashes")
-    same = known_rows(page.select("id", "content_hash"), small(hashes), ["content_hash"])
+    same = state.pages_of("content_hash", materialize(hashes, "hashes"))
     return pages.mark_duplicates(batch, same).select("id", "original_id", "is_duplicate")
 
 
@@ -263,7 +278,7 @@ def _page_data(state: State, routed: DataFrame) -> DataFrame:
         F.concat_ws(" ", F.lpad(F.col("page_id").cast("string"), 20, "0"), "url").alias("_key"),
         "page_id", F.col("type").alias("data_type_code"), F.lit(None).cast("binary").alias("data"),
     )
-    return page_data_append(state.page_data, rows, "_key")
+    return page_data_append(state.page_data, rows, "_key", state.last_id("page_data"))
 
 
 def _images(state: State, found: DataFrame) -> DataFrame:
@@ -273,7 +288,7 @@ def _images(state: State, found: DataFrame) -> DataFrame:
         "page_id", links.image_filename(F.col("link")).alias("filename"),
         F.lit(IMAGE_CONTENT_TYPE).alias("content_type"), F.lit("").cast("binary").alias("data"), "accessed_time",
     )
-    return dense_ids(rows, "_key", start=max_id(state.image)).select(*schemas.IMAGE.names)
+    return dense_ids(rows, "_key", start=state.last_id("image")).select(*schemas.IMAGE.names)
 
 
 def apply(state: State, changes: Changes) -> State:
@@ -289,8 +304,9 @@ def apply(state: State, changes: Changes) -> State:
 
 
 def load(store: Store) -> State:
-    tables = store.read()
-    return State(**{name: tables[name] for name in ("page", "site", "link", "page_data", "image")})
+    tables, status = store.read(), store.status()
+    known = lambda key, batch: store.known(key, batch, status)
+    return State(**tables, known=known, last_ids=status.last_ids)
 
 
 def crawl_to_limit(

@@ -1,14 +1,17 @@
 """Crawl state as versioned parquet.
 
 Settled pages (with their texts), links, sites, images and page data are only ever added to, one
-directory ``v=N`` per round. Open pages (FRONTIER, CRAWLING: no text) are written anew each round.
+directory ``v=N`` per round. Open pages (FRONTIER, CRAWLING: no text) are a base with the rows that were added and the
+ids that were removed since, so a version writes no more than its batch; they are folded into a new base
+when the changes have grown beyond a share of it. Beside the tables are indexes from URLs and content hashes to ids.
 A version counts once its row in ``_commits`` is there, so readers never see half a round, and a
-repeated attempt overwrites what a failed one left behind.
+repeated attempt overwrites what a failed one left behind. The commit also has the counts and largest ids.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import json
+from dataclasses import asdict, dataclass, field
 from typing import TYPE_CHECKING
 
 from pyspark.errors import AnalysisException
@@ -16,29 +19,43 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkloom import schemas
+from linkloom.operators.sizes import small
+from linkloom.sources.keys import KeyIndex, Point, Sizes
 
 if TYPE_CHECKING:
     from linkloom.plans.rounds import Changes
 
 OPEN_STATES = ("FRONTIER", "CRAWLING")
 _ADDED = ("site", "link", "page_data", "image")
-_COMMIT = "version int, base int, html_pages bigint, frontier_pages bigint, stream string, batch bigint"
+_NUMBERED = ("page", "site", "page_data", "image")
+_KEYS = ("url", "content_hash")
+_COMMIT = "version int, base int, html_pages bigint, frontier_pages bigint, stream string, batch bigint, state string"
 
 
 @dataclass(frozen=True)
 class Status:
+    """A committed version. ``open_base`` is the version of the base of open pages, ``open_rows`` its rows, ``open_changes`` the
+    rows added and ids removed since; ``keys`` has the point of each index, ``last_ids`` the largest id of each table."""
+
     version: int
     base: int
     html_pages: int
     frontier_pages: int
     stream: str | None = None
     batch: int | None = None
+    open_base: int | None = None
+    open_rows: int = 0
+    open_changes: int = 0
+    keys: dict[str, Point] = field(default_factory=dict)
+    last_ids: dict[str, int] = field(default_factory=dict)
 
 
 class Store:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, sizes: Sizes = Sizes()):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.sizes = sizes
+        self.indexes = {key: KeyIndex(spark, self.root, key, sizes) for key in _KEYS}
 
     def status(self) -> Status | None:
         """The newest committed version; its counts were taken when it was written."""
@@ -56,18 +73,28 @@ class Store:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return None
-        return None if row is None else Status(**row.asDict())
+        if row is None:
+            return None
+        state = json.loads(row.state)
+        state["keys"] = {key: Point(**point) for key, point in state["keys"].items()}
+        return Status(row.version, row.base, row.html_pages, row.frontier_pages, row.stream, row.batch, **state)
 
     def read(self) -> dict[str, DataFrame]:
         """All tables at the newest version."""
+        status = self._committed()
+        tables = {name: self._added(name, status) for name in _ADDED}
+        tables["page"] = self._added("page_settled", status).unionByName(self._open(status))
+        return tables
+
+    def _committed(self) -> Status:
         status = self.status()
         if status is None:
             raise ValueError(f"nothing committed in {self.root}")
-        tables = {name: self._added(name, status) for name in _ADDED}
-        settled = self._added("page_settled", status)
-        opened = self.spark.read.schema(schemas.PAGE).parquet(self._path("page_open", status.version))
-        tables["page"] = settled.unionByName(opened)
-        return tables
+        return status
+
+    def known(self, key: str, batch: DataFrame, status: Status) -> DataFrame:
+        """(key, id) of the pages whose ``url`` or ``content_hash`` is in ``batch``, from the index of it."""
+        return self.indexes[key].lookup(batch, status.keys[key], status.version)
 
     def replace(self, tables: dict[str, DataFrame]) -> Status:
         """Write whole tables as a new base; older versions are no longer read."""
@@ -77,8 +104,15 @@ class Store:
         for name in _ADDED:
             self._write(tables.get(name, schemas.empty(self.spark, name)), name, version)
         self._write_settled(page.filter(~F.col("page_type_code").isin(*OPEN_STATES)), version)
-        self._write(page.filter(F.col("page_type_code").isin(*OPEN_STATES)), "page_open", version)
-        return self._commit(version, version, 0)
+        self._write(page.filter(F.col("page_type_code").isin(*OPEN_STATES)), "open_added", version)
+        written = Status(version, version, 0, 0, open_base=version)
+        whole = self._added("page_settled", written).unionByName(self._open(written))
+        keys = {key: index.write_base(whole, version) for key, index in self.indexes.items()}
+        opened = self._open(written).groupBy("page_type_code").count().collect()
+        return self._commit(Status(
+            version, version, self._html(version), sum(r["count"] for r in opened if r.page_type_code == "FRONTIER"), open_base=version,
+            open_rows=sum(r["count"] for r in opened), keys=keys, last_ids=self._largest(written, {}),
+        ))
 
     def compact(self) -> Status:
         """The same rows as a new base, so that readers list one folder a table. Streams go on where they were: their
@@ -86,18 +120,40 @@ class Store:
         return self.replace(self.read())
 
     def append(self, changes: Changes, stream: str | None = None, batch: int | None = None) -> Status:
-        """Add the changes of one round, or of a micro-batch of a stream, as the next version."""
-        before = self.status()
+        """Add the changes of one round, or of a micro-batch of a stream, as the next version. What is written follows
+        the batch, but for versions that fold the open pages or an index."""
+        before = self._committed()
         version = before.version + 1
         for name in _ADDED:
             self._write(getattr(changes, name), name, version)
         self._write_settled(changes.settled, version)
+        self._write(changes.frontier, "open_added", version)
         # Which rows were settled is read back from what was just written: ids only.
-        opened = self.spark.read.schema(schemas.PAGE).parquet(self._path("page_open", before.version))
-        settled = self.spark.read.schema(schemas.PAGE).parquet(self._path("page_settled", version)).select("id")
-        still_open = opened.join(settled, "id", "left_anti").select(*schemas.PAGE.names)
-        self._write(still_open.unionByName(changes.frontier), "page_open", version)
-        return self._commit(version, before.base, before.html_pages, stream, batch)
+        settled, fresh = self._version("page_settled", version), self._version("open_added", version)
+        opened = self._open(before).select("id", "page_type_code").join(small(settled.select("id")), "id", "left_semi")
+        opened.write.mode("overwrite").parquet(self._path("open_removed", version))
+        removed = self._removed(version, version)
+        counts = removed.select(F.lit(-1).alias("n"), "page_type_code").unionByName(fresh.select(F.lit(1).alias("n"), "page_type_code"))
+        frontier = F.coalesce(F.sum(F.when(F.col("page_type_code") == "FRONTIER", F.col("n"))), F.lit(0))
+        moved, net, more = counts.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0)), frontier).first()
+        new = {"url": fresh.select("url", "id").unionByName(settled.join(small(removed.select("id")), "id", "left_anti").select("url", "id")),
+               "content_hash": settled.select("content_hash", "id")}
+        keys = {key: index.add(new[key], version, before.keys[key]) for key, index in self.indexes.items()}
+        after = Status(
+            version, before.base, before.html_pages + self._html(version), before.frontier_pages + more, stream, batch, before.open_base,
+            before.open_rows, before.open_changes + moved, keys, self._largest(Status(version, version, 0, 0, open_base=version), before.last_ids),
+        )
+        if after.open_changes > max(self.sizes.fold_rows, self.sizes.fold_share * after.open_rows):
+            after = self._fold(after)
+        return self._commit(after)
+
+    def _fold(self, status: Status) -> Status:
+        """Open pages in one table again, for readers of this version and later ones."""
+        version = status.version
+        path = self._path("open_folded", version)
+        self._open(status).write.mode("overwrite").parquet(path)
+        rows = self.spark.read.schema(schemas.PAGE).parquet(path).count()
+        return Status(**{**vars(status), "open_base": version, "open_rows": rows, "open_changes": 0})
 
     def write_rejects(self, rows: DataFrame, version: int) -> None:
         """Keep arrived rows (id, url) that a version could not take."""
@@ -111,29 +167,59 @@ class Store:
         return f"{self.root}/{table}/v={version}"
 
     def _write(self, df: DataFrame, table: str, version: int) -> None:
-        schema = schemas.PAGE if table == "page_open" else schemas.TABLES[table]
+        schema = schemas.PAGE if table == "open_added" else schemas.TABLES[table]
         df.select(*schema.names).write.mode("overwrite").parquet(self._path(table, version))
 
     def _write_settled(self, df: DataFrame, version: int) -> None:
         rows = df.select(*schemas.PAGE.names)
         rows.write.mode("overwrite").partitionBy("page_type_code").parquet(self._path("page_settled", version))
 
-    def _added(self, table: str, status: Status) -> DataFrame:
-        """Rows of all versions from the base to the newest; versions are pruned as partitions."""
-        schema = schemas.PAGE if table == "page_settled" else schemas.TABLES[table]
+    def _between(self, table: str, first: int, last: int) -> DataFrame:
+        """Rows of the versions from ``first`` to ``last``; versions are pruned as partitions."""
+        schema = schemas.TABLES.get(table, schemas.PAGE)
         stored = self.spark.read.schema(f"{_ddl(schema)}, v int").parquet(f"{self.root}/{table}")
-        return stored.filter(F.col("v").between(status.base, status.version)).select(*schema.names)
-
-    def _commit(self, version: int, base: int, html_before: int, stream: str | None = None, batch: int | None = None) -> Status:
-        opened = self.spark.read.schema(schemas.PAGE).parquet(self._path("page_open", version))
-        stored = self.spark.read.schema(f"{_ddl(schemas.PAGE)}, v int").parquet(f"{self.root}/page_settled")
-        html = stored.filter((F.col("v") == version) & (F.col("page_type_code") == "HTML"))
-        frontier = opened.filter(F.col("page_type_code") == "FRONTIER")
-        status = Status(version, base, html_before + html.count(), frontier.count(), stream, batch)
-        row = self.spark.createDataFrame([tuple(vars(status).values())], _COMMIT)
-        row.coalesce(1).write.mode("overwrite").json(f"{self.root}/_commits/{version}")
+        return stored.filter(F.col("v").between(first, last)).select(*schema.names)
+
+    def _version(self, table: str, version: int) -> DataFrame:
+        return self._between(table, version, version)
+
+    def _added(self, table: str, status: Status) -> DataFrame:
+        return self._between(table, status.base, status.version)
+
+    def _removed(self, first: int, last: int) -> DataFrame:
+        removed = self.spark.read.schema("id bigint, page_type_code string, v int").parquet(f"{self.root}/open_removed")
+        return removed.filter(F.col("v").between(first, last)).select("id", "page_type_code")
+
+    def _open(self, status: Status) -> DataFrame:
+        """The open pages: those of the base and the later versions, without the ids removed since."""
+        base, last = status.open_base, status.version
+        folded = base > status.base
+        rows = self._version("open_folded", base) if folded else self._version("open_added", base)
+        if last == base:
+            return rows
+        rows = rows.unionByName(self._between("open_added", base + 1, last))
+        return rows.join(self._removed(base + 1, last).select("id"), "id", "left_anti").select(*schemas.PAGE.names)
+
+    def _html(self, version: int) -> int:
+        return self._version("page_settled", version).filter(F.col("page_type_code") == "HTML").count()
+
+    def _largest(self, written: Status, before: dict[str, int]) -> dict[str, int]:
+        """The largest id of each table, from what ``written`` added to it."""
+        page = self._added("page_settled", written).select("id").unionByName(self._version("open_added", written.version).select("id"))
+        tables = {name: self._version(name, written.version) for name in _NUMBERED if name != "page"} | {"page": page}
+        every = None
+        for name, rows in tables.items():
+            one = rows.agg(F.max("id").alias("id")).select(F.lit(name).alias("name"), "id")
+            every = one if every is None else every.unionByName(one)
+        return {row.name: max(row.id or 0, before.get(row.name, 0)) for row in every.collect()}
+
+    def _commit(self, status: Status) -> Status:
+        state = asdict(status)
+        fixed = [state.pop(name) for name in ("version", "base", "html_pages", "frontier_pages", "stream", "batch")]
+        row = self.spark.createDataFrame([(*fixed, json.dumps(state))], _COMMIT)
+        row.coalesce(1).write.mode("overwrite").json(f"{self.root}/_commits/{status.version}")
         return status
 
 
 def _ddl(schema) -> str:
-    return ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in schema.fields)
+    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)

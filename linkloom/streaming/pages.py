@@ -49,7 +49,7 @@ def stream_ingest(arriving: DataFrame, store: Store, checkpoint: str | None = No
     ), location)
 
 
-def _known(arrived: DataFrame, page: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _known(arrived: DataFrame, state: rounds.State) -> tuple[DataFrame, DataFrame]:
     """Arrived rows that can be taken, and (id, url) of the others.
 
     An open page is updated by its id: it keeps its URL, site and relevance. A new id with a new URL is a new page. Pages
@@ -57,12 +57,13 @@ def _known(arrived: DataFrame, page: DataFrame) -> tuple[DataFrame, DataFrame]:
     URL in a batch, the first by time, then id, is taken.
     """
     ids = small(arrived.select("id").distinct())
-    by_id = materialize(known_rows(page.select("id", "url", "site_id", "relevance", "page_type_code"), ids, ["id"]), "known-ids")
+    by_id = materialize(known_rows(state.page.select("id", "url", "site_id", "relevance", "page_type_code"), ids, ["id"]), "known-ids")
     stored = by_id.select("id", F.col("url").alias("_url"), F.col("site_id").alias("_site"), F.col("relevance").alias("_relevance"), F.col("page_type_code").alias("_state"))
     rows = arrived.join(small(stored), "id", "left").withColumns({
         "url": F.coalesce("_url", "url"), "site_id": F.col("_site"), "relevance": F.col("_relevance"), "_new": F.col("_state").isNull(),
     })
-    urls_of = known_rows(page.select("url"), small(rows.filter("_new").select("url").distinct()), ["url"]).distinct()
+    asked = materialize(rows.filter("_new").select("url").distinct(), "new-urls")
+    urls_of = state.pages_of("url", asked).select("url").distinct()
     taken = rows.join(small(materialize(urls_of, "known-urls")).withColumn("_taken", F.lit(True)), "url", "left")
     fits = F.when(F.col("_new"), F.col("_taken").isNull()).otherwise(F.col("_state").isin(*OPEN_STATES))
     narrow = taken.select("id", "url", "accessed_time", F.coalesce(fits, F.lit(False)).alias("_fits"))
@@ -88,10 +89,10 @@ def ingest_batch(store: Store, batch: DataFrame, number: int, stream: str) -> No
 
 def _ingest(store: Store, batch: DataFrame, number: int, stream: str) -> None:
     state = rounds.load(store)
-    kept, rejects = _known(_responses(batch), state.page)
+    kept, rejects = _known(_responses(batch), state)
     processed = materialize(rounds.process(kept), "arrived")
     store.write_rejects(rejects, store.status().version + 1)
-    marked = materialize(rounds.mark(processed, state.page), "marked")
+    marked = materialize(rounds.mark(processed, state), "marked")
     duplicates = small(marked.filter("is_duplicate").select("id", "is_duplicate"))
     pairs = pages.duplicate_links(marked)
     spark = batch.sparkSession

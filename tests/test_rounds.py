@@ -102,7 +102,7 @@ def test_crawl_to_the_end(spark, inputs):
     status = store.status()
     assert n == status.version == 3 and status.html_pages == 3 and status.frontier_pages == 0
     assert rounds.crawl_to_limit(store, inputs, OPTIONS) == 0
-    tables = dict(vars(state))
+    tables = state.tables()
     assert quality.fk_violations(tables).count() == 0 and quality.unique_violations(tables).count() == 0
 
 
