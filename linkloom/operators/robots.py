@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkloom.functions import urls
+from linkloom.operators.sizes import fits_broadcast
 from linkloom.operators.skew import MIN_HOT_ROWS, SLICES, skew_join
+from linkloom.session import materialize
 
 _LINE_BREAK = "\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
 _RULE_KEYS = ("disallow", "allow", "crawl-delay", "request-rate")
@@ -134,27 +136,61 @@ def crawl_delays(sites: DataFrame, agent: str) -> DataFrame:
     )
 
 
-def rule_lists(rules: DataFrame) -> DataFrame:
-    """(domain, rules): one row per domain, its rules as an array in file order."""
-    ordered = F.array_sort(F.collect_list(F.struct("line_no", "path", "allow")))
-    return rules.groupBy("domain").agg(ordered.alias("rules"))
+def prefix_index(rules: DataFrame) -> DataFrame:
+    """(domain, length, hash, path, line_no, allow): of rules with one path, the first in the file. ``hash`` is that of the path."""
+    first = rules.groupBy("domain", "path").agg(F.min(F.struct("line_no", "allow")).alias("_first"))
+    return first.select(
+        "domain", F.length("path").alias("length"), F.xxhash64("path").alias("hash"), "path", "_first.line_no", "_first.allow",
+    )
+
 
+def denied_paths(paths: DataFrame, index: DataFrame, slices: int = SLICES, min_rows: int = MIN_HOT_ROWS) -> DataFrame:
+    """The rows of ``paths`` (domain, path), distinct ones, that robots rules forbid.
 
-def verdict(path: Column, rules: Column) -> Column:
-    """The first rule whose path is a prefix decides; without one, or without rules, allowed."""
-    first = F.try_element_at(F.filter(rules, lambda rule: path.startswith(rule["path"])), F.lit(1))
-    return F.coalesce(first["allow"], F.lit(True))
+    A path is cut to the lengths that rules of its domain have, and each cut is looked up by its hash: so the work of a
+    path grows with the number of lengths, and not with the number of rules. The first rule of the file decides. ``index``
+    comes from ``prefix_index`` and is a stored table.
+    """
+    lengths = materialize(index.groupBy("domain").agg(F.sort_array(F.collect_set("length")).alias("_lengths")), "rule-lengths")
+    if fits_broadcast(lengths.select("domain", F.array_join("_lengths", ",").alias("text"))):
+        probes = paths.join(F.broadcast(lengths), "domain")
+    else:
+        probes = skew_join(materialize(paths, "paths"), lengths, "domain", F.col("path"), "inner", slices=slices, min_rows=min_rows)
+    probes = probes.select("domain", "path", F.explode("_lengths").alias("length")).filter(F.col("length") <= F.length("path"))
+    probes = probes.withColumn("hash", F.xxhash64(F.expr("substring(path, 1, length)")))
+    rules = index.withColumnRenamed("path", "_prefix")
+    if fits_broadcast(rules):
+        hits = probes.join(F.broadcast(rules), ["domain", "length", "hash"])
+    else:  # short prefixes such as / are hot
+        key = F.struct("domain", "length", "hash").alias("_key")
+        probes = materialize(probes.select("path", key), "probes")
+        hits = skew_join(probes, rules.select("_prefix", "line_no", "allow", key), "_key", F.col("path"), "inner", slices=slices, min_rows=min_rows)
+        hits = hits.select("*", "_key.domain")
+    first = hits.filter(F.startswith("path", "_prefix")).groupBy("domain", "path").agg(F.min(F.struct("line_no", "allow")).alias("_first"))
+    return first.filter(~F.col("_first.allow")).select("domain", "path")
 
 
 def robots_allowed(
     links: DataFrame, rules: DataFrame, link: str = "link", slices: int = SLICES, min_rows: int = MIN_HOT_ROWS,
 ) -> DataFrame:
-    """``links`` with a boolean ``allowed``. Rules of a domain form one row, so links never multiply."""
-    keyed = with_tested_path(links, link, "_tested").withColumn("_domain", urls.domain_of(F.col(link)))
-    lists = rule_lists(rules).withColumnRenamed("domain", "_domain")
-    # Copies of one popular link differ in their pages: all columns spread them.
-    joined = skew_join(keyed, lists, "_domain", F.struct(*links.columns), slices=slices, min_rows=min_rows)
-    return joined.withColumn("allowed", verdict(F.col("_tested"), F.col("rules"))).select(*links.columns, "allowed")
+    """``links`` with a boolean ``allowed``: the first rule of the domain, in file order, whose path is a prefix decides; without one,
+    or without rules, a link is allowed.
+
+    Each path of a domain is judged once, however many links lead to it, and only forbidden paths go back to the links.
+    ``links`` is read twice, so it should be a stored table.
+    """
+    placed = with_tested_path(links, link, "_path").withColumn("_domain", urls.domain_of(F.col(link)))
+    placed = placed.withColumn("_place", F.struct(F.col("_domain").alias("domain"), F.col("_path").alias("path")))
+    index = materialize(prefix_index(rules), "rule-prefixes")
+    paths = placed.filter(F.col("_domain").isNotNull()).select("_place.*").distinct()
+    denied = denied_paths(paths, index, slices, min_rows).select(F.struct("domain", "path").alias("_place"), F.lit(True).alias("_denied"))
+    denied = materialize(denied, "denied")
+    if fits_broadcast(denied.select("_place.*")):
+        joined = placed.join(F.broadcast(denied), "_place", "left")
+    else:
+        # Copies of one popular link differ in their pages: all columns spread them.
+        joined = skew_join(placed, denied, "_place", F.struct(*links.columns), slices=slices, min_rows=min_rows)
+    return joined.select(*links.columns, F.col("_denied").isNull().alias("allowed"))
 
 
 def robots_sitemaps(sites: DataFrame) -> DataFrame:

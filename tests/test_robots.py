@@ -41,13 +41,15 @@ def sites_of(spark, files):
     return spark.createDataFrame([(DOMAIN.format(i), t) for i, t in enumerate(files)], "domain string, robots_content string")
 
 
-def test_verdicts_and_delays(spark):
+def test_verdicts_and_delays(spark, monkeypatch):
     files = HAND + random_files(700, 11)
     sites = sites_of(spark, files)
     links = [(i, p, f"https://{DOMAIN.format(i)}{p}" if p[:1] in ("", "/") else p) for i in range(len(files)) for p in PATHS]
     df = spark.createDataFrame([(i, p, u) for i, p, u in links if p != "x"], "i int, path string, link string")
     rules = R.robots_rules(sites, AGENT)
     for min_rows in (R.MIN_HOT_ROWS, 1):
+        if min_rows == 1:  # as if nothing could be broadcast
+            monkeypatch.setattr(R, "fits_broadcast", lambda df: False)
         got = R.robots_allowed(df, rules, slices=50, min_rows=min_rows).collect()
         assert len(got) == df.count()
         parsers = [parser(t) for t in files]
@@ -82,3 +84,23 @@ def test_lowest_site_id_gives_the_rules(spark):
 def test_rules_need_no_python_and_one_shuffle(spark):
     plan = R.robots_rules(sites_of(spark, HAND), AGENT)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(domain") == 1 and "Python" not in plan
+
+
+def test_many_rules_cost_a_link_no_more_than_their_lengths(spark):
+    """10,000 rules of one domain have few lengths: each path is looked up once per length, once for all its links."""
+    rng = random.Random(6)
+    paths = list(dict.fromkeys("/" + "".join(rng.choices("abcd", k=rng.randint(1, 12))) for _ in range(40_000)))[:10_000]
+    order = [(path, rng.random() < 0.5) for path in paths]
+    rules = spark.createDataFrame([("big.example", i, p, a) for i, (p, a) in enumerate(order)], "domain string, line_no int, path string, allow boolean")
+    asked = ["/" + "".join(rng.choices("abcd", k=rng.randint(0, 14))) for _ in range(5000)] * 4
+    links = spark.createDataFrame([(f"https://big.example{p}",) for p in asked], "link string")
+    got = {r.link: r.allowed for r in R.robots_allowed(links, rules).distinct().collect()}
+    first = {p: (i, a) for i, (p, a) in reversed(list(enumerate(order)))}
+    for path in set(asked):
+        hits = [first[path[:n]] for n in range(len(path) + 1) if path[:n] in first]
+        assert got[f"https://big.example{path}"] == (min(hits)[1] if hits else True)
+    index = R.prefix_index(rules)
+    assert len(paths) == 10_000 and index.select("length").distinct().count() <= 13
+    places = spark.createDataFrame([("big.example", p) for p in set(asked)], "domain string, path string")
+    plan = R.denied_paths(places, index)._jdf.queryExecution().executedPlan().toString()
+    assert "startswith" in plan.lower() and "NestedLoop" not in plan and "Cartesian" not in plan and "Python" not in plan
