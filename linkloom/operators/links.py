@@ -12,17 +12,22 @@ from linkloom.functions import urls
 def link_attributes(pages: DataFrame, html: str = "html_content") -> DataFrame:
     """Explode pages into (…, kind, value): ``a href``, any ``onclick`` and ``img src`` values.
 
-    Each value comes once per page and kind. A page is one row, so repeats are dropped inside it,
-    before anything is exploded or shuffled. The page text itself does not travel on.
+    Each value comes once per page and kind. The page text itself does not travel on.
     """
     keep = [name for name in pages.columns if name != html]
-    tags = pages.select(*keep, F.array_distinct(H.link_tags(F.col(html))).alias("_tags"))
-    tags = tags.select(*keep, F.transform("_tags", _named_attributes).alias("_tags"))
-    found = tags.select(*keep, F.array_distinct(F.flatten(F.transform("_tags", _wanted_values))).alias("_found"))
-    decoded = F.transform("_found", lambda entry: F.struct(
+    return with_link_values(pages, html, "_found").select(*keep, F.inline("_found"))
+
+
+def with_link_values(pages: DataFrame, html: str, out: str) -> DataFrame:
+    """``pages`` with ``out``: an array of (kind, value), each once. A page is one row, so repeats are dropped inside it,
+    before anything is exploded or shuffled."""
+    tags = pages.withColumn("_tags", F.array_distinct(H.link_tags(F.col(html))))
+    tags = tags.withColumn("_tags", F.transform("_tags", _named_attributes))
+    found = tags.withColumn("_tags", F.array_distinct(F.flatten(F.transform("_tags", _wanted_values))))
+    decoded = F.transform("_tags", lambda entry: F.struct(
         entry["kind"].alias("kind"), H.unescape(entry["value"]).alias("value")
     ))
-    return found.select(*keep, F.inline(F.array_distinct(decoded)))
+    return found.withColumn(out, F.array_distinct(decoded)).drop("_tags")
 
 
 def _named_attributes(tag: Column) -> Column:

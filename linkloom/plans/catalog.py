@@ -305,15 +305,10 @@ def _stored(spark, page, frontier_rows=None) -> rounds.State:
     store.replace({"page": page})
     if frontier_rows is not None:
         none = {name: schemas.empty(spark, name) for name in ("site", "link", "page_data", "image")}
-        store.append(rounds.Changes(settled=schemas.empty(spark, "page"), frontier=frontier_rows, **none))
+        store.append(rounds.Changes(schemas.empty(spark, "page_state"), schemas.empty(spark, "page_text"), frontier_rows, **none))
     return rounds.load(store)
 
 
-def _as_pages(df):
-    """Complete page rows of what ``df`` has of their columns."""
-    return df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schemas.PAGE.fields])
-
-
 def _inserted_by_index(spark, state, scored):
     first = materialize(frontier.first_of_batch(scored, F.struct("page_id", "url")), "first")
     return frontier.insert_unknown(first, state.pages_of("url", first), state.last_id("page"))
@@ -322,14 +317,14 @@ def _inserted_by_index(spark, state, scored):
 @query
 def frontier_insert_indexed(spark, sf):
     """``frontier_insert_ignore`` by the store's index of URLs."""
-    new = _inserted_by_index(spark, _stored(spark, _as_pages(_known(spark, sf))), _scored(spark, sf))
+    new = _inserted_by_index(spark, _stored(spark, schemas.fitted(_known(spark, sf), "page")), _scored(spark, sf))
     return new.select("id", "url", "site_id", "page_type_code", "relevance")
 
 
 @query
 def url_to_id_indexed(spark, sf):
     """``url_to_id`` by the store's index: URLs of its base, and those of a later version."""
-    scored, known = _scored(spark, sf), _as_pages(_known(spark, sf))
+    scored, known = _scored(spark, sf), schemas.fitted(_known(spark, sf), "page")
     new = materialize(_inserted_by_index(spark, _stored(spark, known), scored), "new")
     state = _stored(spark, known, new)
     own = known.select(F.col("id").alias("from_page"), "url")
@@ -341,7 +336,7 @@ def url_to_id_indexed(spark, sf):
 def hash_lookup_indexed(spark, sf):
     """``hash_lookup`` by the store's index of content hashes."""
     hashed = _hashed(spark, sf)
-    page = _as_pages(_doc_page(hashed).withColumns({"page_type_code": F.lit("HTML"), "url": F.col("id").cast("string")}))
+    page = schemas.fitted(_doc_page(hashed).withColumns({"page_type_code": F.lit("HTML"), "url": F.col("id").cast("string")}), "page")
     asked = hashed.select(F.col("id").alias("asked_id"), "content_hash")
     found = _stored(spark, page).pages_of("content_hash", asked)
     return pages.hash_lookup(asked, found)[0].select("asked_id", "exists", "page_id")
@@ -703,7 +698,7 @@ def _round(spark, sf) -> rounds.Changes:
 
 @query
 def crawl_round(spark, sf):
-    return _round(spark, sf).settled.select(
+    return _round(spark, sf).settled_pages().select(
         "id", "site_id", "page_type_code", "url", F.length("html_content").alias("n_chars"), "http_status_code",
         "accessed_time", "accessed_ip", "relevance", "content_hash",
     )

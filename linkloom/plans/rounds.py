@@ -18,7 +18,7 @@ from linkloom.functions import html as H
 from linkloom.operators import frontier, links, pages, robots, sitemaps, sites
 from linkloom.operators.appends import page_data_append, site_append
 from linkloom.operators.ids import dense_ids, max_id
-from linkloom.operators.sizes import except_known, known_rows, small
+from linkloom.operators.sizes import except_known, fits_broadcast, known_rows, small
 from linkloom.operators.skew import skew_join
 from linkloom.session import materialize, scratch
 from linkloom.sources.store import Store
@@ -26,7 +26,7 @@ from linkloom.sources.store import Store
 
 @dataclass(frozen=True)
 class State:
-    """The tables of a crawl. ``known`` finds (url or content_hash, id) of a batch's keys, and ``last_ids`` has the largest id of each
+    """The tables of a crawl. ``page`` either has texts itself, or ``page_text`` has them by (id, text_no). ``known`` finds (url or content_hash, id) of a batch's keys, and ``last_ids`` has the largest id of each
     table, where a store keeps an index and counts; without them, the tables are scanned."""
 
     page: DataFrame
@@ -34,12 +34,17 @@ class State:
     link: DataFrame
     page_data: DataFrame
     image: DataFrame
+    page_text: DataFrame | None = None
     known: Callable[[str, DataFrame], DataFrame] | None = None
     last_ids: dict[str, int] | None = None
 
     def tables(self) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for name in ("page", "site", "link", "page_data", "image")}
 
+    def full_page(self) -> DataFrame:
+        """Complete page rows, with their texts."""
+        return self.page.select(*schemas.PAGE.names) if self.page_text is None else with_texts(self.page, self.page_text)
+
     def pages_of(self, key: str, batch: DataFrame) -> DataFrame:
         """(key, id) of the pages whose key is in ``batch``, a stored table."""
         if self.known is not None:
@@ -79,15 +84,28 @@ class Options:
 
 @dataclass(frozen=True)
 class Changes:
-    """Rows to add. ``settled`` replaces the claimed rows of ``page``; all else is new."""
+    """Rows to add. ``settled`` (``schemas.PAGE_STATE``) replaces the claimed rows of ``page``, and ``texts`` has the texts of some
+    of them; all else is new."""
 
     settled: DataFrame
+    texts: DataFrame
     frontier: DataFrame
     site: DataFrame
     link: DataFrame
     page_data: DataFrame
     image: DataFrame
 
+    def settled_pages(self) -> DataFrame:
+        """The settled pages with their texts."""
+        return with_texts(self.settled, self.texts)
+
+
+def with_texts(page: DataFrame, texts: DataFrame) -> DataFrame:
+    """Complete page rows: pages without text do not meet the texts at all."""
+    narrow = schemas.fitted(page, "page_state")
+    found = narrow.filter("text_no IS NOT NULL").join(texts, ["id", "text_no"], "left")
+    return schemas.fitted(found, "page").unionByName(schemas.fitted(narrow.filter("text_no IS NULL"), "page"))
+
 
 def claim(page: DataFrame, options: Options, site: DataFrame | None = None) -> DataFrame:
     """(id, url, relevance) of the rows to crawl: all, the k best, or the best of every site.
@@ -114,8 +132,8 @@ def _waiting(page: DataFrame, site: DataFrame, options: Options) -> DataFrame:
 
 
 def crawl_round(state: State, inputs: Inputs, options: Options) -> Changes:
-    """One turn. Page texts are read once, cleaned once, and written once to the shared folder; all
-    other joins work on ids, hashes and URLs."""
+    """One turn. One pass over the responses cleans and hashes each text and takes its links out, and writes all that once. From there
+    on, texts stay where they are: everything else works on ids, hashes, URLs and links."""
     claimed = materialize(
         claim(state.page, options, state.site).withColumn("domain", urls.domain_of(F.col("url"))), "claimed"
     )
@@ -124,15 +142,17 @@ def crawl_round(state: State, inputs: Inputs, options: Options) -> Changes:
     all_sites = state.site.unionByName(new_sites)
     with_site = _site_ids(claimed, all_sites)
 
-    processed = one_response(materialize(_responses(with_site, inputs, options), "processed"))
+    responses = materialize(_responses(with_site, inputs, options), "responses")
+    processed = one_response(responses.drop("html_content", "values"))
     marked = materialize(mark(processed, state), "marked")
     duplicates = marked.filter("is_duplicate").select("id", F.lit(True).alias("is_duplicate"))
     duplicates = small(duplicates)
-    settled = settle(processed, duplicates)
+    settled = materialize(settle(processed, duplicates), "settled")
 
-    sources = processed.filter(F.col("page_type_code") == "HTML").join(duplicates.select("id"), "id", "left_anti")
-    sources = sources.select(F.col("id").alias("page_id"), "url", "accessed_time", "html_content")
-    values = urls.normalize_links(links.link_attributes(sources), base="url", link="value", out="link")
+    sources = settled.filter("text_no IS NOT NULL").select(F.col("id").alias("page_id"), "url", "accessed_time", "text_no")
+    own = responses.select(F.col("text_no"), F.inline("values"))
+    sources = own.join(small(sources), "text_no").drop("text_no")
+    values = urls.normalize_links(sources, base="url", link="value", out="link")
     found = materialize(
         values.filter(F.col("link").isNotNull()).select("page_id", "accessed_time", "kind", "link"), "found"
     )
@@ -163,6 +183,7 @@ def crawl_round(state: State, inputs: Inputs, options: Options) -> Changes:
 
     return Changes(
         settled=settled,
+        texts=texts(responses, settled),
         frontier=frontier.frontier_rows(fresh),
         site=new_sites,
         link=new_links,
@@ -207,21 +228,20 @@ def _responses(claimed: DataFrame, inputs: Inputs, options: Options) -> DataFram
     lost = lost.select(
         *[lost[name] if name in lost.columns else F.lit(None).cast(kind).alias(name) for name, kind in arrived.dtypes]
     ).withColumns({"accessed_ip": F.lit(options.ip).cast("string"), "accessed_time": F.lit(now).cast("timestamp_ntz")})
-    return process(arrived.unionByName(lost)).withColumn("response_no", F.monotonically_increasing_id())
+    rows = process(arrived.unionByName(lost))
+    return links.with_link_values(rows, "html_content", "values").withColumn("text_no", F.monotonically_increasing_id())
 
 
 def one_response(processed: DataFrame) -> DataFrame:
-    """The first of several responses for a page, by time, then hash; texts move only where there are several.
-
-    ``processed`` is a written table, so that ``response_no`` is the same whenever it is read.
-    """
-    order = F.struct("accessed_time", "content_hash", "http_status_code", "page_type_code", "accessed_ip", "response_no")
+    """The first of several responses for a page, by time, then hash. ``processed`` has no texts, and is a written table, so that
+    ``text_no`` is the same whenever it is read."""
+    order = F.struct("accessed_time", "content_hash", "http_status_code", "page_type_code", "accessed_ip", "text_no")
     firsts = processed.groupBy("id").agg(F.count("*").alias("n"), F.min(order).alias("_first")).filter(F.col("n") > 1)
-    firsts = materialize(firsts.select("id", F.col("_first.response_no").alias("_first")), "repeated")
+    firsts = materialize(firsts.select("id", F.col("_first.text_no").alias("_first")), "repeated")
     if firsts.isEmpty():
         return processed
     marked = processed.join(small(firsts), "id", "left")
-    kept = marked.filter(F.col("_first").isNull() | (F.col("_first") == F.col("response_no"))).drop("_first")
+    kept = marked.filter(F.col("_first").isNull() | (F.col("_first") == F.col("text_no"))).drop("_first")
     return materialize(kept, "first-responses")
 
 
@@ -253,9 +273,18 @@ def settle(processed: DataFrame, duplicates: DataFrame) -> DataFrame:
     is_duplicate = F.coalesce("is_duplicate", F.lit(False))
     return rows.withColumns({
         "page_type_code": F.when(is_duplicate, "DUPLICATE").otherwise(F.col("page_type_code")),
-        "html_content": F.when(~is_duplicate, F.col("html_content")),
+        "text_no": F.when(~is_duplicate & (F.col("page_type_code") == "HTML"), F.col("text_no")),
         "content_hash": F.when(~is_duplicate, F.col("content_hash")),
-    }).select(*schemas.PAGE.names)
+    }).select(*schemas.PAGE_STATE.names)
+
+
+def texts(responses: DataFrame, settled: DataFrame) -> DataFrame:
+    """(id, text_no, html_content) of the responses with a text. Those of duplicates, which no page refers to, are left out where
+    their numbers fit a broadcast, and else until the store is compacted: texts are not shuffled for that."""
+    texts = responses.filter(F.col("html_content").isNotNull()).select("id", "text_no", "html_content")
+    unused = texts.select("text_no").join(settled.select("text_no").filter("text_no IS NOT NULL"), "text_no", "left_anti")
+    unused = materialize(unused, "unused-texts")
+    return texts.join(F.broadcast(unused), "text_no", "left_anti") if fits_broadcast(unused) else texts
 
 
 def _sitemap_links(
@@ -293,9 +322,9 @@ def _images(state: State, found: DataFrame) -> DataFrame:
 
 def apply(state: State, changes: Changes) -> State:
     """The state after a round."""
-    untouched = state.page.join(changes.settled.select("id"), "id", "left_anti")
+    untouched = state.full_page().join(changes.settled.select("id"), "id", "left_anti")
     return State(
-        page=untouched.select(*schemas.PAGE.names).unionByName(changes.settled).unionByName(changes.frontier),
+        page=untouched.select(*schemas.PAGE.names).unionByName(changes.settled_pages()).unionByName(changes.frontier),
         site=state.site.unionByName(changes.site),
         link=state.link.unionByName(changes.link),
         page_data=state.page_data.unionByName(changes.page_data),

@@ -1,7 +1,7 @@
 """Crawl state as versioned parquet.
 
-Settled pages (with their texts), links, sites, images and page data are only ever added to, one
-directory ``v=N`` per round. Open pages (FRONTIER, CRAWLING: no text) are a base with the rows that were added and the
+Settled pages, their texts, links, sites, images and page data are only ever added to, one
+directory ``v=N`` per round. Texts are a table of their own, which meets pages by (id, text_no) where it is wanted. Open pages (FRONTIER, CRAWLING: no text) are a base with the rows that were added and the
 ids that were removed since, so a version writes no more than its batch; they are folded into a new base
 when the changes have grown beyond a share of it. Beside the tables are indexes from URLs and content hashes to ids.
 A version counts once its row in ``_commits`` is there, so readers never see half a round, and a
@@ -80,10 +80,11 @@ class Store:
         return Status(row.version, row.base, row.html_pages, row.frontier_pages, row.stream, row.batch, **state)
 
     def read(self) -> dict[str, DataFrame]:
-        """All tables at the newest version."""
+        """All tables at the newest version; ``page`` has the columns of ``schemas.PAGE_STATE``."""
         status = self._committed()
         tables = {name: self._added(name, status) for name in _ADDED}
         tables["page"] = self._added("page_settled", status).unionByName(self._open(status))
+        tables["page_text"] = self._added("page_text", status)
         return tables
 
     def _committed(self) -> Status:
@@ -97,13 +98,23 @@ class Store:
         return self.indexes[key].lookup(batch, status.keys[key], status.version)
 
     def replace(self, tables: dict[str, DataFrame]) -> Status:
-        """Write whole tables as a new base; older versions are no longer read."""
+        """Write whole tables as a new base; older versions are no longer read.
+
+        ``page`` has its texts as ``html_content``, or else they are in ``page_text``, of which just those are kept that pages have.
+        """
         before = self.status()
         version = 0 if before is None else before.version + 1
         page = tables["page"]
         for name in _ADDED:
             self._write(tables.get(name, schemas.empty(self.spark, name)), name, version)
-        self._write_settled(page.filter(~F.col("page_type_code").isin(*OPEN_STATES)), version)
+        settled = page.filter(~F.col("page_type_code").isin(*OPEN_STATES))
+        if "html_content" in page.columns:
+            settled = settled.withColumn("text_no", F.when(F.col("html_content").isNotNull(), 0))
+            texts = settled.filter("text_no = 0")
+        else:
+            texts = schemas.fitted(tables["page_text"], "page_text").join(settled.select("id", "text_no"), ["id", "text_no"], "left_semi")
+        self._write(texts, "page_text", version)
+        self._write_settled(settled, version)
         self._write(page.filter(F.col("page_type_code").isin(*OPEN_STATES)), "open_added", version)
         written = Status(version, version, 0, 0, open_base=version)
         whole = self._added("page_settled", written).unionByName(self._open(written))
@@ -127,6 +138,7 @@ class Store:
         for name in _ADDED:
             self._write(getattr(changes, name), name, version)
         self._write_settled(changes.settled, version)
+        self._write(changes.texts, "page_text", version)
         self._write(changes.frontier, "open_added", version)
         # Which rows were settled is read back from what was just written: ids only.
         settled, fresh = self._version("page_settled", version), self._version("open_added", version)
@@ -152,7 +164,7 @@ class Store:
         version = status.version
         path = self._path("open_folded", version)
         self._open(status).write.mode("overwrite").parquet(path)
-        rows = self.spark.read.schema(schemas.PAGE).parquet(path).count()
+        rows = self.spark.read.schema(schemas.PAGE_STATE).parquet(path).count()
         return Status(**{**vars(status), "open_base": version, "open_rows": rows, "open_changes": 0})
 
     def write_rejects(self, rows: DataFrame, version: int) -> None:
@@ -167,16 +179,16 @@ class Store:
         return f"{self.root}/{table}/v={version}"
 
     def _write(self, df: DataFrame, table: str, version: int) -> None:
-        schema = schemas.PAGE if table == "open_added" else schemas.TABLES[table]
-        df.select(*schema.names).write.mode("overwrite").parquet(self._path(table, version))
+        rows = schemas.fitted(df, "page_state" if table == "open_added" else table)
+        rows.write.mode("overwrite").parquet(self._path(table, version))
 
     def _write_settled(self, df: DataFrame, version: int) -> None:
-        rows = df.select(*schemas.PAGE.names)
+        rows = schemas.fitted(df, "page_state")
         rows.write.mode("overwrite").partitionBy("page_type_code").parquet(self._path("page_settled", version))
 
     def _between(self, table: str, first: int, last: int) -> DataFrame:
         """Rows of the versions from ``first`` to ``last``; versions are pruned as partitions."""
-        schema = schemas.TABLES.get(table, schemas.PAGE)
+        schema = schemas.TABLES.get(table, schemas.PAGE_STATE)
         stored = self.spark.read.schema(f"{_ddl(schema)}, v int").parquet(f"{self.root}/{table}")
         return stored.filter(F.col("v").between(first, last)).select(*schema.names)
 
@@ -198,7 +210,7 @@ class Store:
         if last == base:
             return rows
         rows = rows.unionByName(self._between("open_added", base + 1, last))
-        return rows.join(self._removed(base + 1, last).select("id"), "id", "left_anti").select(*schemas.PAGE.names)
+        return rows.join(self._removed(base + 1, last).select("id"), "id", "left_anti").select(*schemas.PAGE_STATE.names)
 
     def _html(self, version: int) -> int:
         return self._version("page_settled", version).filter(F.col("page_type_code") == "HTML").count()

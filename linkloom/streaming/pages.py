@@ -90,14 +90,17 @@ def ingest_batch(store: Store, batch: DataFrame, number: int, stream: str) -> No
 def _ingest(store: Store, batch: DataFrame, number: int, stream: str) -> None:
     state = rounds.load(store)
     kept, rejects = _known(_responses(batch), state)
-    processed = materialize(rounds.process(kept), "arrived")
+    responses = materialize(rounds.process(kept).withColumn("text_no", F.monotonically_increasing_id()), "arrived")
+    processed = responses.drop("html_content")
     store.write_rejects(rejects, store.status().version + 1)
     marked = materialize(rounds.mark(processed, state), "marked")
     duplicates = small(marked.filter("is_duplicate").select("id", "is_duplicate"))
     pairs = pages.duplicate_links(marked)
     spark = batch.sparkSession
+    settled = materialize(rounds.settle(processed, duplicates), "settled")
     store.append(rounds.Changes(
-        settled=rounds.settle(processed, duplicates),
+        settled=settled,
+        texts=rounds.texts(responses, settled),
         link=except_known(pairs, state.link, ["from_page", "to_page"]),
         **{name: schemas.empty(spark, table) for name, table in (
             ("frontier", "page"), ("site", "site"), ("page_data", "page_data"), ("image", "image"),

@@ -53,7 +53,7 @@ def test_first_of_several_responses_counts(spark):
         spark.createDataFrame([], "sitemap_url string, xml string"),
     )
     changes = rounds.crawl_round(rounds.load(store), inputs, rounds.Options(agent="loom"))
-    assert sorted((r.id, r.html_content) for r in changes.settled.collect()) == [(0, "<p>\nearly\n</p>"), (1, "<p>\nother\n</p>")]
+    assert sorted((r.id, r.html_content) for r in changes.settled_pages().collect()) == [(0, "<p>\nearly\n</p>"), (1, "<p>\nother\n</p>")]
 
 
 def test_rounds_leave_no_intermediate_tables_and_claim_what_is_missing(spark, tmp_path):

@@ -22,7 +22,7 @@ def pages(spark, rows):
 
 
 def changes(spark, settled, frontier):
-    return rounds.Changes(settled=pages(spark, settled), frontier=pages(spark, frontier), **{n: schemas.empty(spark, n) for n in NONE})
+    return rounds.Changes(pages(spark, settled), schemas.empty(spark, "page_text"), frontier=pages(spark, frontier), **{n: schemas.empty(spark, n) for n in NONE})
 
 
 def in_folder(path):
@@ -107,3 +107,34 @@ def test_a_lookup_reads_the_buckets_of_its_batch(spark, tmp_path):
     read = index._base(point).filter(F.col("bucket").isin(wanted)).select(F.input_file_name().alias("f")).distinct().count()
     assert read <= 3 < index._base(point).select(F.input_file_name().alias("f")).distinct().count()
     assert index.write_base(spark.range(10).selectExpr("cast(id as string) AS url", "id"), 1, 10**15).buckets == MOST_BUCKETS
+
+
+def test_texts_stay_apart_from_the_state(spark, tmp_path):
+    """After the pass over the responses, no exchange carries a text; texts of duplicates are not kept; they meet pages when asked for."""
+    import datetime as dt
+
+    store = Store(spark, str(tmp_path / "s"))
+    seeds = [(i, None, "FRONTIER", f"https://h.example/{i}", None, None, None, None, 1, None) for i in range(6)]
+    store.replace({"page": spark.createDataFrame(seeds, schemas.PAGE)})
+    texts = ["<p>a</p>", "<p>b</p>", "<p>a</p>", None, "<a href='/0'>c</a>"]
+    fetched = [(i, f"https://h.example/{i}", t, 200, "text/html", "ip", dt.datetime(2024, 1, 1, 0, 0, i)) for i, t in enumerate(texts)]
+    fetched += [(1, "https://h.example/1", "<p>late</p>", 200, "text/html", "ip", dt.datetime(2024, 1, 2))]
+    inputs = rounds.Inputs(
+        spark.createDataFrame(fetched, schemas.FETCHED), spark.createDataFrame([], "domain string, robots_content string"),
+        spark.createDataFrame([], "sitemap_url string, xml string"),
+    )
+    changes = rounds.crawl_round(rounds.load(store), inputs, rounds.Options(agent="loom"))
+    for name, df in vars(changes).items():
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        if name == "texts":
+            assert "Exchange" not in plan.replace("BroadcastExchange", "")
+        else:
+            assert not [scan for scan in re.findall(r"ReadSchema: \S+", plan) if "html_content" in scan], name
+    store.append(changes)
+    state = rounds.load(store)
+    assert "html_content" not in state.page.columns and state.page_text.count() == 3
+    want = {0: "<p>\na\n</p>", 1: "<p>\nb\n</p>", 2: None, 3: None, 4: '<a href="/0">\nc\n</a>', 5: None}
+    assert {r.id: r.html_content for r in state.full_page().collect()} == want
+    store.compact()
+    assert {r.id: r.html_content for r in rounds.load(store).full_page().collect()} == want
+    assert [tuple(r) for r in state.link.orderBy("from_page").collect()] == [(0, 2), (4, 0)]
