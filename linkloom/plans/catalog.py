@@ -558,9 +558,8 @@ def frontier_topk_large(spark, sf):
     return frontier.best_rows(frontier.open_frontier(page), k, limit=0, ranges=7)
 
 
-@query
-def claim_due(spark, sf):
-    """Claims of sites whose delay is over; sites were asked at different times."""
+def _asked_sites(spark, sf):
+    """(page, site): sites were asked at different times."""
     site = _site(spark, sf)
     keyed = D.mixed_page(spark, sf).drop("site_id").withColumn("domain", urls.domain_of(F.col("url")))
     keyed = keyed.join(site.select(F.col("id").alias("site_id"), "domain"), "domain", "left")
@@ -568,10 +567,25 @@ def claim_due(spark, sf):
     page = keyed.withColumns({
         "accessed_time": F.when(settled, D.seconds_after_start(F.length("domain") % 7)), "accessed_ip": F.when(settled, "10.0.0.1"),
     })
+    return page, site
+
+
+@query
+def claim_due(spark, sf):
+    """Claims of sites whose delay is over."""
+    page, site = _asked_sites(spark, sf)
     now = datetime(2024, 1, 1, 0, 0, 7)
     return rounds.claim(page, rounds.Options(agent=D.AGENT, ip="10.0.0.1", now=now, due_only=True), site)
 
 
+@query
+def claim_schedule(spark, sf):
+    """The open pages that can be fetched within nine seconds, and when."""
+    page, site = _asked_sites(spark, sf)
+    now = datetime(2024, 1, 1, 0, 0, 7)
+    return rounds.claim_schedule(page, rounds.Options(agent=D.AGENT, ip="10.0.0.1", now=now, horizon=9.0), site)
+
+
 @query
 def last_page_access(spark, sf):
     """Latest access from pages and their sites; users stand in for sites."""

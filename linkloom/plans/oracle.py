@@ -313,6 +313,14 @@ ORACLE = {
         SELECT id, url, relevance FROM mixed WHERE page_type_code = 'FRONTIER' AND {domain('url')} NOT IN (
             SELECT s.domain FROM mixed m JOIN site s ON s.domain = {domain('m.url')}
             WHERE page_type_code <> 'FRONTIER' AND 7 - length(s.domain) % 7 < CASE WHEN length(s.domain) % 3 = 0 THEN 3 ELSE 5 END)""",
+    "claim_schedule": f"""
+        SELECT id, url, relevance, domain, TIMESTAMP '2024-01-01 00:00:00' + to_seconds(starts + (place - 1) * delay) AS not_before FROM (
+            SELECT m.*, row_number() OVER (PARTITION BY m.domain ORDER BY relevance DESC NULLS FIRST, id) AS place, d.delay, greatest(7, coalesce(a.last + d.delay, 7)) AS starts
+            FROM (SELECT id, url, relevance, {domain('url')} AS domain FROM mixed WHERE page_type_code = 'FRONTIER') m
+            JOIN (SELECT DISTINCT domain, CASE WHEN length(domain) % 3 = 0 AND domain IN (SELECT domain FROM site) THEN 3 ELSE 5 END AS delay
+                  FROM (SELECT {domain('url')} AS domain FROM mixed)) d USING (domain)
+            LEFT JOIN (SELECT DISTINCT s.domain, length(s.domain) % 7 AS last FROM mixed x JOIN site s ON s.domain = {domain('x.url')} WHERE page_type_code <> 'FRONTIER') a USING (domain)
+        ) WHERE starts + (place - 1) * delay <= 16""",
     "last_page_access": """
         SELECT event_type AS accessed_ip, 'c' || c_nationkey || '.example' AS domain, max(ts) AS accessed_time
         FROM events JOIN customer ON c_custkey = user_id WHERE ts IS NOT NULL GROUP BY ALL""",

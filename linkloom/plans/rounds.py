@@ -15,7 +15,7 @@ from linkloom.constants import (
 )
 from linkloom.functions import fetches, urls
 from linkloom.functions import html as H
-from linkloom.operators import frontier, links, pages, robots, sitemaps, sites
+from linkloom.operators import frontier, links, pages, robots, schedule, sitemaps, sites
 from linkloom.operators.appends import page_data_append, site_append
 from linkloom.operators.ids import dense_ids, max_id
 from linkloom.operators.sizes import except_known, fits_broadcast, known_rows, small
@@ -80,6 +80,9 @@ class Options:
     now: datetime | None = None
     # Claim only pages of sites whose delay since the last access by ``ip`` is over at ``now``.
     due_only: bool = False
+    # Claim the pages that ``ip`` can fetch within so many seconds from ``now``, each site's a delay apart; ``fetched``, if it is
+    # a function, is then also told when (``not_before``).
+    horizon: float | None = None
 
 
 @dataclass(frozen=True)
@@ -108,11 +111,19 @@ def with_texts(page: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def claim(page: DataFrame, options: Options, site: DataFrame | None = None) -> DataFrame:
-    """(id, url, relevance) of the rows to crawl: all, the k best, or the best of every site.
+    """(id, url, relevance) of the rows to crawl: all, the k best, or the best of every site; with a horizon, of those that have a
+    slot in it, and ``not_before``.
 
-    ``site`` is needed where only due sites are asked.
+    ``site`` is needed where only due sites are asked, and for a horizon.
     """
     narrow = page.select("id", "url", "relevance", "page_type_code")
+    if options.horizon is not None:
+        rows = materialize(claim_schedule(page, options, site), "schedule")
+        if options.per_site is not None:
+            best = frontier.frontier_topk_per_site(rows.withColumn("page_type_code", F.lit("FRONTIER")), options.per_site)
+            rows = rows.join(small(materialize(best.select("id"), "best-of-sites")), "id", "left_semi")
+        rows = rows.drop("domain")
+        return rows if options.k is None else frontier.best_rows(rows, options.k)
     if options.due_only:
         waiting = small(materialize(_waiting(page, site, options), "waiting"))
         domain = urls.domain_of(F.col("url"))
@@ -124,11 +135,21 @@ def claim(page: DataFrame, options: Options, site: DataFrame | None = None) -> D
     return frontier.open_frontier(narrow) if options.k is None else frontier.frontier_topk(narrow, options.k)
 
 
+def claim_schedule(page: DataFrame, options: Options, site: DataFrame) -> DataFrame:
+    """(id, url, relevance, domain, not_before) of the open pages whose slot is within the horizon."""
+    opened = materialize(frontier.open_frontier(page), "open")
+    delays = robots.crawl_delays(robots.one_robots_per_domain(site), options.agent)
+    return schedule.fetch_schedule(opened, sites.last_page_access(site, page), delays, options.ip, _now(options), options.horizon)
+
+
+def _now(options: Options) -> Column:
+    return F.lit(options.now.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def _waiting(page: DataFrame, site: DataFrame, options: Options) -> DataFrame:
     """(domain, delay) of sites that are not due yet."""
     delays = robots.crawl_delays(robots.one_robots_per_domain(site), options.agent)
-    now = F.lit(options.now.isoformat(sep=" ")).cast("timestamp_ntz")
-    return sites.waiting_domains(sites.last_page_access(site, page), delays, options.ip, now)
+    return sites.waiting_domains(sites.last_page_access(site, page), delays, options.ip, _now(options))
 
 
 def crawl_round(state: State, inputs: Inputs, options: Options) -> Changes:
@@ -222,7 +243,7 @@ def _responses(claimed: DataFrame, inputs: Inputs, options: Options) -> DataFram
     if isinstance(inputs.fetched, DataFrame):
         got = inputs.fetched.select(*columns)
     else:  # fetched once, though read twice
-        got = materialize(inputs.fetched(claimed.select("id", "url")).select(*columns), "responses")
+        got = materialize(inputs.fetched(claimed.select("id", "url", *[c for c in claimed.columns if c == "not_before"])).select(*columns), "responses")
     arrived = got.join(hinted, "url")
     lost = claimed.join(known_rows(got.select("url"), hinted, ["url"]).distinct(), "url", "left_anti")
     lost = lost.select(
@@ -360,6 +381,6 @@ def crawl_to_limit(
         with scratch(store.spark, "round"):
             after = store.append(crawl_round(load(store), inputs, turn))
         done += 1
-        if (after.html_pages, after.frontier_pages) == (status.html_pages, status.frontier_pages) and turn.due_only:
+        if (after.html_pages, after.frontier_pages) == (status.html_pages, status.frontier_pages) and (turn.due_only or turn.horizon is not None):
             break  # every open site has to wait
     return done

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from linkloom import schemas, session
-from linkloom.operators import frontier, sitemaps, sites, skew
+from linkloom.operators import frontier, schedule, sitemaps, sites, skew
 from linkloom.plans import rounds
 from linkloom.sources.store import Store
 
@@ -132,3 +132,47 @@ def test_locations_at_any_depth_and_prefix(spark):
     for row in sitemaps.sitemap_urls(files).orderBy("i", "position").collect():
         found.setdefault(row.i, []).append(row.url)
     assert found == {i: want for i, (_, want) in enumerate(SITEMAPS) if want}
+
+
+@pytest.mark.parametrize("limit", [1000, 1])
+def test_schedules_keep_the_delay(spark, limit):
+    """No two slots of a site are closer than its delay, none is before the site may be asked, or beyond the horizon; and the best
+    pages come first."""
+    now = T0 + dt.timedelta(seconds=10)
+    rows = [(i, f"https://{('slow', 'free', 'odd', 'new')[i % 4]}.example/{i}" if i % 9 else f"mailto:{i}", (None, 1, 2)[i % 3]) for i in range(400)]
+    df = session.materialize(spark.createDataFrame(rows, "id long, url string, relevance int"), "rows")
+    latest = spark.createDataFrame([("ip", "slow.example", now - dt.timedelta(seconds=3)), ("other", "new.example", now), ("ip", "odd.example", now)],
+                                   "accessed_ip string, domain string, accessed_time timestamp_ntz")
+    delays = spark.createDataFrame([("slow.example", 60), ("free.example", 0), ("odd.example", -1)], "domain string, crawl_delay long")
+    got = schedule.fetch_schedule(df, latest, delays, "ip", F.lit(str(now)).cast("timestamp_ntz"), 600.0, limit=limit).collect()
+    best = sorted(rows, key=lambda r: (r[2] is not None, -(r[2] or 0), r[0]))
+    want = {}
+    for domain, first, delay in (("slow.example", 57, 60), ("free.example", 0, 0), ("odd.example", 5, 5), ("new.example", 0, 5), ("", 0, 5)):
+        own = [r[0] for r in best if (r[1].split("/")[2] if "//" in r[1] else "") == domain]
+        want |= {i: now + dt.timedelta(seconds=first + k * delay) for k, i in enumerate(own) if first + k * delay <= 600}
+    assert {r.id: r.not_before for r in got} == want and len(got) == len(want)
+
+
+def test_rounds_claim_by_schedule(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "store"))
+    rows = [{"id": i, "url": f"https://h{i % 2}.example/{i}", "page_type_code": "FRONTIER", "relevance": i} for i in range(10)]
+    store.replace({"page": page_table(spark, rows)})
+    asked = []
+
+    def fetch(claimed):
+        asked.append(sorted((r.id, r.not_before) for r in claimed.collect()))
+        return claimed.select(
+            "id", "url", F.concat(F.lit("<p>"), "url").alias("html"), F.lit(200).alias("http_status_code"), F.lit("text/html").alias("content_type"),
+            F.lit("ip").alias("accessed_ip"), F.col("not_before").alias("accessed_time"),
+        )
+
+    inputs = rounds.Inputs(
+        fetch, spark.createDataFrame([("h0.example", "User-agent: *\nCrawl-delay: 2")], "domain string, robots_content string"),
+        spark.createDataFrame([], "sitemap_url string, xml string"),
+    )
+    options = rounds.Options(agent="loom", ip="ip", now=T0, horizon=5.0)
+    rounds.crawl_to_limit(store, inputs, options, max_rounds=1)
+    # The robots file of a site is read when it is claimed first, so its delay holds from the next round on.
+    assert asked == [[(6, T0 + dt.timedelta(seconds=5)), (7, T0 + dt.timedelta(seconds=5)), (8, T0), (9, T0)]]
+    rounds.crawl_to_limit(store, inputs, rounds.Options(agent="loom", ip="ip", now=T0 + dt.timedelta(seconds=6), horizon=3.0), max_rounds=1)
+    assert asked[1] == [(2, T0 + dt.timedelta(seconds=9)), (4, T0 + dt.timedelta(seconds=7))]
