@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkloom.constants import SEED_RELEVANCE, SITEMAP_NAMESPACE
@@ -10,6 +10,8 @@ from linkloom.functions import html as H
 from linkloom.functions import urls
 from linkloom.operators.robots import robots_allowed
 
+# Bytes of a part of a site's sitemap text.
+PART_BYTES = 16 * 1024 * 1024
 _CDATA = r"<!\[CDATA\[(.*?)\]\]>"
 _COMMENT = r"(?s)<!--.*?-->"
 _BOUND = rf"""xmlns(?::([\w.\-]+))?\s*=\s*["']{SITEMAP_NAMESPACE.replace(".", "[.]")}["']"""
@@ -49,17 +51,28 @@ def _text(found: Column) -> Column:
     return F.array_join(plain, "")
 
 
+def sitemap_parts(listed: DataFrame, found: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
+    """(domain, part, text): the sitemap URLs of a site in order, each followed by one blank, in parts that begin within the same
+    ``part_bytes`` bytes of the whole. So a part is at most one URL longer than that, whatever the size of a site.
+
+    ``listed`` are the Sitemap lines (domain, line_no, sitemap_url), ``found`` the URLs of files
+    (sitemap_url, position, url).
+    """
+    urls_of = listed.join(found.select("sitemap_url", "position", "url"), "sitemap_url").filter(F.col("url").isNotNull())
+    order = Window.partitionBy("domain").orderBy("line_no", "position").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    size = F.octet_length("url") + 1
+    placed = urls_of.withColumn("_end", F.sum(size).over(order)).withColumn("part", F.floor((F.col("_end") - size) / part_bytes))
+    texts = placed.groupBy("domain", "part").agg(F.array_sort(F.collect_list(F.struct("line_no", "position", "url"))).alias("_urls"))
+    return texts.select("domain", "part", F.concat(F.array_join("_urls.url", " "), F.lit(" ")).alias("text"))
+
+
 def sitemap_content(sites: DataFrame, listed: DataFrame, found: DataFrame) -> DataFrame:
     """(domain, sitemap_content): all sitemap URLs of a site in order, each followed by one blank.
 
-    ``listed`` are the Sitemap lines (domain, line_no, sitemap_url), ``found`` the URLs of files
-    (sitemap_url, position, url). '' without sitemaps; NULL without robots text. The text is one
-    cell of ``site``, so its parts are put together per domain.
+    '' without sitemaps; NULL without robots text. The text is one cell of ``site``, which its parts are put together for.
     """
-    parts = listed.join(found.select("sitemap_url", "position", "url"), "sitemap_url")
-    texts = parts.groupBy("domain").agg(
-        F.array_sort(F.collect_list(F.struct("line_no", "position", "url"))).alias("_parts")
-    ).select("domain", F.concat(F.array_join("_parts.url", " "), F.lit(" ")).alias("_text"))
+    parts = sitemap_parts(listed, found).groupBy("domain").agg(F.array_sort(F.collect_list(F.struct("part", "text"))).alias("_parts"))
+    texts = parts.select("domain", F.array_join("_parts.text", "").alias("_text"))
     has_robots = F.col("robots_content").isNotNull() & (F.col("robots_content") != "")
     return sites.select("domain", "robots_content").join(texts, "domain", "left").select(
         "domain", F.when(has_robots, F.coalesce("_text", F.lit(""))).alias("sitemap_content")

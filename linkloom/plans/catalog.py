@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkloom import schemas
+from linkloom.constants import STOP_CHECK_EVERY
 from linkloom.functions import fetches, urls
 from linkloom.functions import html as H
 from linkloom.operators import appends, frontier, graph, ids, links, pages, quality, robots, sitemaps, sites
@@ -263,6 +264,35 @@ def payload_contracts(spark, sf):
     return quality.validate_rows(bodies, "link")[0]
 
 
+@query
+def payload_contracts_tables(spark, sf):
+    """Bodies of every contract that fulfil it. Each field, by a digit of the event's number to the base five, is right, of a wrong
+    type, null, missing, or right."""
+    events = table(spark, sf, "events").select("event_id")
+    found = None
+    for kind, contract in quality.CONTRACTS.items():
+        parts = []
+        for place, (name, (shape, _)) in enumerate(contract.items()):
+            digit = F.expr(f"event_id div {5**place} % 5")
+            right, wrong = ('"text"', "7") if shape == "string" else ("7", '"text"')
+            value = F.when(digit == 1, wrong).when(digit == 2, "null").otherwise(right)
+            parts.append(F.when(digit != 3, F.concat(F.lit(f'"{name}": '), value)))
+        bodies = events.withColumn("body", F.concat(F.lit("{"), F.concat_ws(", ", *parts), F.lit("}")))
+        good = quality.validate_rows(bodies, kind)[0].select(F.lit(kind).alias("kind"), "event_id")
+        found = good if found is None else found.unionByName(good)
+    return found
+
+
+@query
+def length_checks_tables(spark, sf):
+    """Rows with a text beyond the limit of its column: sites and images, whose names are as long as the event's number says."""
+    name = F.repeat(F.lit("n"), (F.col("event_id") % 700).cast("int"))
+    events = table(spark, sf, "events")
+    site = quality.length_checks(events.select("event_id", name.alias("domain")), "site")[1]
+    image = quality.length_checks(events.select("event_id", name.alias("filename"), F.lit("image").alias("content_type")), "image")[1]
+    return site.select(F.lit("site").alias("table"), "event_id").unionByName(image.select(F.lit("image").alias("table"), "event_id"))
+
+
 @query
 def length_checks(spark, sf):
     rows = D.docs(spark, sf).select("id", F.col("html_content").alias("url"))
@@ -452,6 +482,16 @@ def fk_violations(spark, sf):
     return quality.fk_violations({"page": page, "site": _site(spark, sf), "link": D.clicks(spark, sf)})
 
 
+@query
+def fk_violations_files(spark, sf):
+    """Page data and images whose page, or kind of data, there is not."""
+    events, page = table(spark, sf, "events"), table(spark, sf, "pages").select(F.col("page_id").alias("id"))
+    code = F.when(F.col("event_id") % 3 == 0, "PDF").when(F.col("event_id") % 3 == 1, "DOCX").otherwise(F.col("event_type"))
+    page_data = events.select("event_id", F.col("user_id").cast("bigint").alias("page_id"), code.alias("data_type_code"))
+    image = events.select((F.col("event_id") % 400).alias("page_id"))
+    return quality.fk_violations({"page": page.withColumns({"site_id": F.lit(None).cast("bigint"), "page_type_code": F.lit("HTML")}), "page_data": page_data, "image": image})
+
+
 @query
 def unique_violations(spark, sf):
     page = _hashed(spark, sf).select("id", "content_hash", F.substring_index("url", "/", 4).alias("url"))
@@ -471,6 +511,13 @@ def crawl_done(spark, sf):
     return pages.crawl_done(D.mixed_page(spark, sf), max_pages=25_000)
 
 
+@query
+def crawl_done_by_turn(spark, sf):
+    """The limit is only looked at every tenth turn."""
+    turns = [pages.crawl_done(D.mixed_page(spark, sf), 50, turn, STOP_CHECK_EVERY).select(F.lit(turn).alias("turn"), "done") for turn in (0, 9, 10)]
+    return turns[0].unionByName(turns[1]).unionByName(turns[2])
+
+
 @query
 def last_access(spark, sf):
     return sites.last_access(D.access(spark, sf))
@@ -507,6 +554,11 @@ def sitemap_content(spark, sf):
     return sitemaps.sitemap_content(D.site_robots(spark, sf), _listed(spark, sf), _located(spark, sf))
 
 
+@query
+def sitemap_parts(spark, sf):
+    return sitemaps.sitemap_parts(_listed(spark, sf), _located(spark, sf), part_bytes=100)
+
+
 # Windows in the relational form of sequential steps
 
 
@@ -792,6 +844,17 @@ def stream_html_count(spark, sf):
     return streams.latest_counts(spark, out)
 
 
+@query
+def stream_stored_count(spark, sf):
+    """Counts by state as pages are stored, after duplicates are marked."""
+    store = Store(spark, new_folder(spark, "store"))
+    store.replace({"page": schemas.empty(spark, "page")})
+    streams.stream_ingest(_arriving(spark, sf), store).awaitTermination()
+    out = new_folder(spark, "stored-counts")
+    streams.stream_stored_count(store, out).awaitTermination()
+    return streams.latest_counts(spark, out)
+
+
 @query
 def best_links(spark, sf):
     """The flagship: from raw pages to the 20 best URLs to crawl next."""

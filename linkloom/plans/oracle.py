@@ -298,6 +298,10 @@ ORACLE = {
     "sitemap_content": """
         SELECT domain, CASE WHEN robots_content IS NOT NULL THEN coalesce(content, '') END AS sitemap_content FROM robots LEFT JOIN (
             SELECT l.domain, string_agg(f.url || ' ', '' ORDER BY l.line_no, f.position) AS content FROM listed l JOIN located f USING (sitemap_url) GROUP BY l.domain) USING (domain)""",
+    "sitemap_parts": """
+        SELECT domain, part, string_agg(url || ' ', '' ORDER BY line_no, position) AS text FROM (
+            SELECT l.domain, l.line_no, f.position, f.url, CAST((sum(strlen(f.url) + 1) OVER (PARTITION BY l.domain ORDER BY l.line_no, f.position) - strlen(f.url) - 1) // 100 AS BIGINT) AS part
+            FROM listed l JOIN located f USING (sitemap_url) WHERE f.url IS NOT NULL) GROUP BY domain, part""",
     "mark_duplicates": """
         SELECT id, original_id, original_id <> id AS is_duplicate FROM (
             SELECT id, first_value(id) OVER (PARTITION BY content_hash ORDER BY accessed_time, id) AS original_id FROM hashed)""",
@@ -376,9 +380,35 @@ ORACLE = {
         FROM (SELECT h.*, d.lang <> 'fr' AS is_html, first_value(h.id) OVER (PARTITION BY d.lang <> 'fr', content_hash ORDER BY accessed_time, h.id) AS first_id
               FROM hashed h JOIN documents d ON d.doc_id = h.id)""",
     "stream_first_seen": "SELECT DISTINCT content_hash FROM hashed h JOIN documents d ON d.doc_id = h.id WHERE d.lang <> 'fr'",
+    "stream_stored_count": """
+        SELECT CASE WHEN NOT is_html THEN 'BINARY' WHEN first_id = id THEN 'HTML' ELSE 'DUPLICATE' END AS page_type_code, count(*) AS n
+        FROM (SELECT h.id, d.lang <> 'fr' AS is_html, first_value(h.id) OVER (PARTITION BY d.lang <> 'fr', content_hash ORDER BY accessed_time, h.id) AS first_id
+              FROM hashed h JOIN documents d ON d.doc_id = h.id) GROUP BY 1""",
     "stream_html_count": "SELECT CASE WHEN lang = 'fr' THEN 'BINARY' ELSE 'HTML' END AS page_type_code, count(*) AS n FROM documents GROUP BY 1",
     "best_links": "SELECT url, relevance FROM (SELECT url, any_value(relevance) AS relevance FROM scored GROUP BY url) ORDER BY relevance DESC NULLS FIRST, url LIMIT 20",
 }
+
+
+def contracts() -> str:
+    """Fields of each contract in order: R has to be there, N may be missing or null."""
+    kinds = {"site": "RNN", "delay": "RRN", "page_frontier": "RR", "page": "RNNR", "page_data": "RRR", "image": "RRRRN", "link": "RR"}
+    fits = {"R": "(0, 4)", "N": "(0, 2, 3, 4)"}
+    return " UNION ALL ".join(
+        f"SELECT '{kind}' AS kind, event_id FROM events WHERE " + " AND ".join(f"event_id // {5**i} % 5 IN {fits[f]}" for i, f in enumerate(fields))
+        for kind, fields in kinds.items()
+    )
+
+
+ORACLE |= {
+    "payload_contracts_tables": contracts(),
+    "length_checks_tables": "SELECT 'site' AS table, event_id FROM events WHERE event_id % 700 > 500 UNION ALL SELECT 'image', event_id FROM events WHERE event_id % 700 > 255",
+    "fk_violations_files": """
+        SELECT 'page_data.page_id' AS constraint, CAST(user_id AS VARCHAR) AS value, count(*) AS n_rows FROM events WHERE user_id NOT IN (SELECT page_id FROM pages) GROUP BY ALL
+        UNION ALL SELECT 'page_data.data_type_code', event_type, count(*) FROM events WHERE event_id % 3 = 2 GROUP BY ALL
+        UNION ALL SELECT 'image.page_id', CAST(event_id % 400 AS VARCHAR), count(*) FROM events WHERE event_id % 400 NOT IN (SELECT page_id FROM pages) GROUP BY ALL""",
+    "crawl_done_by_turn": """
+        SELECT CAST(unnest([0, 9, 10]) AS INT) AS turn, unnest([n > 50, false, n > 50]) AS done FROM (SELECT count(*) AS n FROM mixed WHERE page_type_code = 'HTML')""",
+}
 # The same rows, found through the store's indexes.
 ORACLE |= {f"{new}_indexed": ORACLE[old] for new, old in (("frontier_insert", "frontier_insert_ignore"), ("url_to_id", "url_to_id"), ("hash_lookup", "hash_lookup"))}
 # Reachability has its own recursive part.

@@ -93,6 +93,10 @@ class Store:
             raise ValueError(f"nothing committed in {self.root}")
         return status
 
+    def settled(self, first: int, last: int) -> DataFrame:
+        """The pages that the versions from ``first`` to ``last`` settled."""
+        return self._between("page_settled", first, last)
+
     def known(self, key: str, batch: DataFrame, status: Status) -> DataFrame:
         """(key, id) of the pages whose ``url`` or ``content_hash`` is in ``batch``, from the index of it."""
         return self.indexes[key].lookup(batch, status.keys[key], status.version)

@@ -141,6 +141,37 @@ def stream_html_count(arriving: DataFrame, out: str, checkpoint: str | None = No
     return _run(writer, checkpoint or new_folder(arriving.sparkSession, "stream-html-count"))
 
 
+def stream_stored_count(store: Store, out: str, checkpoint: str | None = None) -> StreamingQuery:
+    """Running counts of stored pages by state, duplicates told apart, as one small table ``batch=N`` in ``out`` per micro-batch.
+
+    The stream reads the commits of ``store``, so versions that failed are never counted. A micro-batch adds the counts of its
+    versions, by partitions alone, to those of the one before; a version that is a new base is counted from there.
+    """
+    spark = store.spark
+    commits = spark.readStream.schema("version int, base int").json(f"{store.root}/_commits/*")
+
+    def write(batch: DataFrame, number: int) -> None:
+        last = batch.agg(F.max(F.struct("version", "base"))).first()[0]
+        if last is None:
+            return
+        before, first = None, last.base
+        if number:
+            earlier = _counts(spark, out).filter(F.col("batch") < number)
+            seen = earlier.agg(F.max(F.struct("batch", "version"))).first()[0]
+            if seen is not None and seen.version >= last.base:
+                before, first = earlier.filter(F.col("batch") == seen.batch).select("page_type_code", "n"), seen.version + 1
+        counts = store.settled(first, last.version).groupBy("page_type_code").agg(F.count("*").alias("n"))
+        if before is not None:
+            counts = counts.unionByName(before).groupBy("page_type_code").agg(F.sum("n").alias("n"))
+        counts.withColumn("version", F.lit(last.version)).coalesce(1).write.mode("overwrite").parquet(f"{out}/batch={number}")
+
+    return _run(commits.writeStream.foreachBatch(write), checkpoint or new_folder(spark, "stream-stored-count"))
+
+
+def _counts(spark, out: str) -> DataFrame:
+    return spark.read.schema("page_type_code string, n bigint, version int, batch int").parquet(out)
+
+
 def latest_counts(spark, out: str) -> DataFrame:
     """(page_type_code, n) of the newest micro-batch."""
     counts = spark.read.schema("page_type_code string, n bigint, batch int").parquet(out)

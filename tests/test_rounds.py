@@ -190,6 +190,25 @@ def test_stream_restarts_after_a_commit(spark, monkeypatch):
     assert page.filter("id = 3").first().relevance == 7 and page.filter("page_type_code = 'FRONTIER'").count() == 0
 
 
+def test_stored_counts_follow_the_store(spark):
+    """After each batch, the running count of HTML pages is that of the store: duplicates do not count."""
+    folder = page_files(spark)
+    store = Store(spark, new_folder(spark, "store"))
+    store.replace({"page": spark.createDataFrame([(900, None, "HTML", "https://h.example/old", "x", None, None, None, 7, "h")], schemas.PAGE)})
+    out, checkpoint = new_folder(spark, "counts"), new_folder(spark, "checkpoint")
+    stored = spark.read.schema(schemas.FETCHED).parquet(folder)
+    for number in range(3):
+        streams.ingest_batch(store, stored.filter(F.col("id") % 3 == number), number, "s")
+        if number == 2:
+            store.compact()
+        streams.stream_stored_count(store, out, checkpoint).awaitTermination()
+        got = {r.page_type_code: r.n for r in streams.latest_counts(spark, out).collect()}
+        want = {r.page_type_code: r["count"] for r in store.read()["page"].groupBy("page_type_code").count().collect()}
+        assert got == want and got["HTML"] == store.status().html_pages
+        streams.stream_stored_count(store, out, checkpoint).awaitTermination()  # nothing new
+        assert {r.page_type_code: r.n for r in streams.latest_counts(spark, out).collect()} == want
+
+
 def test_stream_rejects(spark):
     store = Store(spark, new_folder(spark, "store"))
     store.replace({"page": spark.createDataFrame([(1, None, "FRONTIER", "https://h.example/1", None, None, None, None, 3, None)], schemas.PAGE)})

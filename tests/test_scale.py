@@ -176,3 +176,17 @@ def test_rounds_claim_by_schedule(spark, tmp_path):
     assert asked == [[(6, T0 + dt.timedelta(seconds=5)), (7, T0 + dt.timedelta(seconds=5)), (8, T0), (9, T0)]]
     rounds.crawl_to_limit(store, inputs, rounds.Options(agent="loom", ip="ip", now=T0 + dt.timedelta(seconds=6), horizon=3.0), max_rounds=1)
     assert asked[1] == [(2, T0 + dt.timedelta(seconds=9)), (4, T0 + dt.timedelta(seconds=7))]
+
+
+def test_sitemap_texts_in_parts(spark):
+    """Parts of a site over the size of one are bounded by it and a URL, and make up the whole text."""
+    urls = [f"https://big.example/{i:03}/{'x' * (i % 11)}" for i in range(500)]
+    listed = spark.createDataFrame([("big.example", 0, "a"), ("big.example", 1, "b"), ("small.example", 0, "c")], "domain string, line_no int, sitemap_url string")
+    found = spark.createDataFrame([("a" if i < 300 else "b", i, u) for i, u in enumerate(urls)] + [("c", 0, "u" * 900)], "sitemap_url string, position int, url string")
+    parts = sitemaps.sitemap_parts(listed, found, part_bytes=256).orderBy("part").collect()
+    own = [r.text for r in parts if r.domain == "big.example"]
+    assert "".join(own) == "".join(f"{u} " for u in urls) and max(map(len, own)) <= 256 + 40 and len(own) > 40
+    assert [r.text for r in parts if r.domain == "small.example"] == ["u" * 900 + " "]
+    site = spark.createDataFrame([("big.example", "r"), ("small.example", None), ("none.example", "r")], "domain string, robots_content string")
+    got = {r.domain: r.sitemap_content for r in sitemaps.sitemap_content(site, listed, found).collect()}
+    assert got == {"big.example": "".join(own), "small.example": None, "none.example": ""}
