@@ -16,11 +16,10 @@ from linkloom.operators import pages
 from linkloom.operators.sizes import except_known, known_rows, small
 from linkloom.plans import rounds
 from linkloom.session import materialize, new_folder, scratch
+from linkloom.sources.keys import KeyIndex, Point, Sizes
 from linkloom.sources.store import OPEN_STATES, Store
 
-# Copies of one text are first reduced inside this many groups, so that a text with very many copies
-# does not send them all to one task.
-SALTS = 64
+_POINT = "batch bigint, base int, buckets int, rows bigint, added bigint"
 
 
 def _responses(arrived: DataFrame) -> DataFrame:
@@ -109,20 +108,47 @@ def _ingest(store: Store, batch: DataFrame, number: int, stream: str) -> None:
 
 
 def first_seen(arriving: DataFrame) -> DataFrame:
-    """(content_hash, id, url) of accepted HTML pages: one per text.
+    """(content_hash, id, url) of accepted HTML pages: of each text the first by time, then id. Copies are combined before the
+    shuffle, so a text with very many of them is one row per task."""
+    hashed = rounds.process(_responses(arriving)).filter(F.col("page_type_code") == "HTML")
+    first = F.min(F.struct("accessed_time", "id", "url")).alias("_first")
+    return hashed.groupBy("content_hash").agg(first).select("content_hash", "_first.id", "_first.url")
+
+
+def stream_first_seen(arriving: DataFrame, out: str, checkpoint: str | None = None, sizes: Sizes = Sizes()) -> StreamingQuery:
+    """Append first sightings to parquet files in ``out``, one folder ``batch=N`` per micro-batch.
 
-    Works on streams and batches. The state holds every text's hash for good, as uniqueness of all
-    texts demands. Which copy of a text is kept within a batch is not fixed.
+    The stream keeps no state: texts seen before are found in a stored index of their hashes (in ``out/_seen``), of which a
+    micro-batch reads the buckets that it touches. A replayed batch overwrites what it wrote.
     """
-    hashed = rounds.process(_responses(arriving)).filter(F.col("page_type_code") == "HTML")
-    narrow = hashed.select("content_hash", "id", "url", F.pmod(F.xxhash64("id"), F.lit(SALTS)).alias("_salt"))
-    return narrow.dropDuplicates(["content_hash", "_salt"]).drop("_salt").dropDuplicates(["content_hash"])
+    spark = arriving.sparkSession
+    index = KeyIndex(spark, f"{out}/_seen", "content_hash", sizes)
+    writer = arriving.writeStream.foreachBatch(lambda batch, number: first_seen_batch(batch, number, index, out))
+    return _run(writer, checkpoint or new_folder(spark, "stream-first-seen"))
 
 
-def stream_first_seen(arriving: DataFrame, out: str, checkpoint: str | None = None) -> StreamingQuery:
-    """Append first sightings to parquet files in ``out``."""
-    writer = first_seen(arriving).writeStream.format("parquet").option("path", out).outputMode("append")
-    return _run(writer, checkpoint or new_folder(arriving.sparkSession, "stream-first-seen"))
+def first_seen_batch(batch: DataFrame, number: int, index: KeyIndex, out: str) -> None:
+    spark = batch.sparkSession
+    with scratch(spark, "first-seen"):
+        point = _seen_point(index, number)
+        if point is None:
+            point = index.write_base(spark.createDataFrame([], index.schema), 0)
+        firsts = materialize(first_seen(batch), "firsts")
+        known = index.lookup(firsts, point, number).select("content_hash")
+        path = f"{out}/batch={number}"
+        firsts.join(small(materialize(known, "seen")), "content_hash", "left_anti").write.mode("overwrite").parquet(path)
+        after = index.add(spark.read.schema("content_hash string, id bigint").parquet(path), number + 1, point)
+        row = spark.createDataFrame([(number, *vars(after).values())], _POINT)
+        row.coalesce(1).write.mode("overwrite").json(f"{index.root}/points/{number}")
+
+
+def _seen_point(index: KeyIndex, number: int) -> Point | None:
+    """Where the index stood after the batches before ``number``."""
+    if not number:
+        return None
+    points = index.spark.read.schema(_POINT).json(f"{index.root}/points/*").filter(F.col("batch") < number)
+    row = points.orderBy(F.col("batch").desc()).first()
+    return None if row is None else Point(row.base, row.buckets, row.rows, row.added)
 
 
 def type_counts(arriving: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from linkloom import schemas
 from linkloom.operators import quality
 from linkloom.plans import rounds
 from linkloom.session import new_folder
+from linkloom.sources.keys import KeyIndex, Sizes
 from linkloom.sources.store import Store
 from linkloom.sources.tables import page_stream
 from linkloom.streaming import pages as streams
@@ -190,6 +191,18 @@ def test_stream_restarts_after_a_commit(spark, monkeypatch):
     assert page.filter("id = 3").first().relevance == 7 and page.filter("page_type_code = 'FRONTIER'").count() == 0
 
 
+def test_first_sightings_need_no_state(spark):
+    """Texts of earlier batches are found in the index, over folds of it; a replayed batch changes nothing."""
+    stored = spark.read.schema(schemas.FETCHED).parquet(page_files(spark))
+    out = new_folder(spark, "seen")
+    index = KeyIndex(spark, f"{out}/_seen", "content_hash", Sizes(bucket_rows=2, fold_rows=2, fold_share=0.0))
+    for number in (0, 1, 1, 2, 3):
+        part = stored.filter(F.col("id").between(number * 3, number * 3 + 2) if number < 3 else F.col("id") > 5)
+        streams.first_seen_batch(part, number, index, out)
+    got = sorted((r.content_hash, r.id) for r in spark.read.parquet(out).collect())
+    assert got == sorted((r.content_hash, r.id) for r in streams.first_seen(stored).collect()) and len(got) == 7
+
+
 def test_stored_counts_follow_the_store(spark):
     """After each batch, the running count of HTML pages is that of the store: duplicates do not count."""
     folder = page_files(spark)
