@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from linkloom import schemas, session
-from linkloom.operators import frontier, schedule, sitemaps, sites, skew
+from linkloom.operators import frontier, graph, schedule, sitemaps, sites, skew
 from linkloom.plans import rounds
 from linkloom.sources.store import Store
 
@@ -190,3 +190,20 @@ def test_sitemap_texts_in_parts(spark):
     site = spark.createDataFrame([("big.example", "r"), ("small.example", None), ("none.example", "r")], "domain string, robots_content string")
     got = {r.domain: r.sitemap_content for r in sitemaps.sitemap_content(site, listed, found).collect()}
     assert got == {"big.example": "".join(own), "small.example": None, "none.example": ""}
+
+
+def test_long_ways_have_short_plans_and_links_stay_in_place(spark):
+    """A path of 30 levels with side ways: the plan of the result holds no more tables than a fold, and a large level is dealt to
+    the buckets of the links, not the links to it."""
+    link = spark.createDataFrame([(i, i + 1) for i in range(30)] + [(i, 100 + i % 3) for i in range(30)] + [(5, 2), (None, 7), (7, None)], "from_page long, to_page long")
+    got = graph.reachable_pages(link, spark.createDataFrame([(0,)], "id long"))
+    want = {i: i for i in range(31)} | {100: 1, 101: 2, 102: 3}
+    assert {r.id: r.depth for r in got.collect()} == want and got.count() == len(want)
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Relation") <= graph.FOLD_LEVELS + 1
+    edges = graph._by_source(link)
+    level = session.materialize(spark.range(3), "level")
+    plan = graph.next_level(spark.table(edges), level, graph.BROADCAST_LEVEL + 1, level)._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan
+    scan = plan[plan.index(edges) - 400 : plan.index(edges)]
+    assert "Exchange" not in scan and spark.table(edges).count() == 61
+    spark.sql(f"DROP TABLE {edges}")
