@@ -107,7 +107,50 @@ QUERIES = {
 _DIGIT = "substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((v >> {shift}) & 31)::INT, 1)"
 _GROUPS = "[('0x' || substr(hex, 1 + 5 * i::INT, 5))::BIGINT for i in range(8)]"
 
+
+
+def _codes_sql(rounds: int = codes.ROUNDS) -> str:
+    """Each round as tables of its own: nearest entries (distance and index in one number), then new entries."""
+    near = """
+        near{k} AS (
+            SELECT r, p, v, min(d * 256 + e) AS best FROM (
+                SELECT x.r, x.p, x.v, b.e, CAST(list_sum([(x.v[i] - b.c[i]) * (x.v[i] - b.c[i]) for i in range(1, len(x.v) + 1)]) AS BIGINT) AS d FROM cut x JOIN book{k} b USING (p)
+            ) GROUP BY ALL)"""
+    book = """
+        sums{k} AS (SELECT p, best % 256 AS e, i, sum(v[i]) AS s, count(*) AS n FROM near{k}, range(1, 1 + (SELECT max(len(v)) FROM cut)) t(i) GROUP BY ALL),
+        means{k} AS (SELECT p, e, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS c FROM sums{k} GROUP BY p, e),
+        book{next} AS (SELECT b.p, b.e, coalesce(m.c, b.c) AS c FROM book{k} b LEFT JOIN means{k} m USING (p, e))"""
+    steps = ",".join((near + "," + book).format(k=k, next=k + 1) for k in range(rounds)) + "," + near.format(k=rounds)
+    return f"""
+        WITH kept AS (
+            SELECT row_number() OVER (ORDER BY vec_id) - 1 AS r, vec_id, label, [CAST(floor(CAST(x AS DOUBLE) * 1024) AS BIGINT) for x in embedding] AS v
+            FROM embeddings WHERE embedding IS NOT NULL AND len([1 for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+        cut AS (SELECT r, CAST(p AS INT) AS p, v[len(v) // 4 * p + 1 : len(v) // 4 * (p + 1)] AS v FROM kept, range(0, 4) t(p)),
+        book0 AS (SELECT p, r AS e, v AS c FROM cut WHERE r < 256),
+        {steps},
+        coded AS (SELECT r, string_agg(format('{{:02x}}', best % 256), '' ORDER BY p) AS code, CAST(sum(best // 256) AS BIGINT) AS error FROM near{rounds} GROUP BY r),
+        digest AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM book{rounds})
+        SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM kept JOIN coded USING (r), digest
+    """
+
+
 ORACLE: dict[str, str] = {
+    "op9_ngram_jaccard_join": r"""
+        WITH RECURSIVE texts AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        sets AS (
+            SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+                ELSE list_distinct([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3] for i in range(1, len(w) - 2)]) END AS s FROM texts),
+        items AS (SELECT doc_id, unnest(s) AS g FROM sets),
+        shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n FROM items a JOIN items b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+        links AS (SELECT x, y FROM shared JOIN sets p ON p.doc_id = x JOIN sets q ON q.doc_id = y WHERE 100 * n >= 85 * (len(p.s) + len(q.s) - n)),
+        both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+        reach(node, other) AS (SELECT doc_id, doc_id FROM sets UNION SELECT r.node, b.y FROM reach r JOIN both_ways b ON b.x = r.other)
+        SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, coalesce(l.n, 0) AS n_links, c.least AS component_id
+        FROM sets s JOIN (SELECT node, min(other) AS least FROM reach GROUP BY node) c ON c.node = s.doc_id
+        LEFT JOIN (SELECT x, count(*) AS n FROM both_ways GROUP BY x) l ON l.x = s.doc_id
+    """,
+    "op12_hadamard_codes": _codes_sql(),
     "op4_warc_revisits": f"""
         WITH payloads AS (SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS hex FROM pages),
         hashed AS (

@@ -22,6 +22,7 @@ from linkloom.operators.skew import skew_join
 from linkloom.session import materialize
 
 RECORDS_PER_FILE = 2048
+_RESULTS = ("payload_bytes", "payload_digest", "record_type", "refers_to")
 _END = "\r\n"
 _ID = "urn:x-record:"
 _REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -35,28 +36,31 @@ def base32_sha1(payload: Column) -> Column:
 
 
 def resolve(records: DataFrame, record_id: str, payload: str, least: int = 0) -> DataFrame:
-    """``records`` with ``payload_bytes``, ``payload_digest``, ``record_type`` and ``refers_to``.
+    """``records`` with ``payload_bytes``, ``payload_digest``, ``record_type`` and ``refers_to``; columns of these names are replaced.
 
     ``payload`` is text, taken as UTF-8 (null: empty). Among records with equal payloads of at least ``least`` bytes, that
     with the largest id is the response. Records without an id are responses, and so are all rows of
-    the largest id if it is repeated. Payloads are not shuffled unless very many of them are repeated.
+    the largest id if it is repeated. An empty table gives none. Payloads are not shuffled unless very many of them are repeated.
     """
+    if record_id in _RESULTS or payload in _RESULTS:
+        raise ValueError(f"the id and the payload cannot be named like a result: {', '.join(_RESULTS)}")
+    records = records.drop(*_RESULTS)
     body = F.coalesce(F.col(payload), F.lit("")).cast("binary")
     seen = records.withColumns({"payload_bytes": F.octet_length(body).cast("long"), "payload_digest": base32_sha1(body)})
     headers = seen.filter(F.col(record_id).isNotNull() & (F.col("payload_bytes") >= least))
     originals = materialize(
-        headers.groupBy("payload_digest").agg(F.max(record_id).alias("_original"), F.count("*").alias("_n")).filter("_n > 1"), "originals"
+        headers.groupBy("payload_digest").agg(F.max(record_id).alias("__original"), F.count("*").alias("__n")).filter("__n > 1"), "originals"
     )
-    kept = originals.drop("_n")
+    kept = originals.drop("__n")
     if fits_broadcast(kept):
         joined = seen.join(F.broadcast(kept), "payload_digest", "left")
     else:
-        counts = originals.select("payload_digest", F.col("_n").alias("n"))
+        counts = originals.select("payload_digest", F.col("__n").alias("n"))
         joined = skew_join(seen, kept, "payload_digest", F.col(record_id), counts=counts)
-    revisit = (F.col("payload_bytes") >= least) & (F.col(record_id) < F.col("_original"))
+    revisit = (F.col("payload_bytes") >= least) & (F.col(record_id) < F.col("__original"))
     return joined.select(
-        *records.columns, "payload_bytes", "payload_digest",
-        F.when(revisit, "revisit").otherwise("response").alias("record_type"), F.when(revisit, F.col("_original")).alias("refers_to"),
+        *[F.col(f"`{c}`") for c in records.columns], "payload_bytes", "payload_digest",
+        F.when(revisit, "revisit").otherwise("response").alias("record_type"), F.when(revisit, F.col("__original")).alias("refers_to"),
     )
 
 
@@ -74,7 +78,7 @@ def _record(record_id: str, url: str, payload: str) -> Column:
         F.lit(f"WARC/1.1{_END}"),
         line("WARC-Type", F.col("record_type")),
         line("WARC-Record-ID", own(record_id)),
-        line("WARC-Date", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'")),
+        line("WARC-Date", F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")),
         line("WARC-Target-URI", F.regexp_replace(F.coalesce(url, F.lit("urn:x-unknown")), r"[\r\n\s]+", "%20")),
         line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("payload_digest"))),
         F.when(revisit, F.concat(line("WARC-Profile", F.lit(_REVISIT)), line("WARC-Refers-To", own("refers_to")))).otherwise(""),

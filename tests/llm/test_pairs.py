@@ -143,6 +143,10 @@ def test_warc(spark, tmp_path):
     least = warc.resolve(pages, "page_id", "html", least=5).filter("record_type = 'revisit'").select("page_id").collect()
     assert {r.page_id for r in least} == {0, 1}
     assert warc.resolve(pages.limit(0), "page_id", "html").count() == 0
+    clashing = pages.withColumns({c: F.lit("clash") for c in ("payload_bytes", "payload_digest", "record_type", "refers_to", "_original", "a.b")})
+    found = warc.resolve(clashing, "page_id", "html")
+    assert {r.page_id: r.refers_to for r in found.collect()} == {i: r.refers_to for i, r in rows.items()}
+    assert set(found.columns) == set(clashing.columns) and found.filter("`a.b` = 'clash' AND _original = 'clash'").count() == 8
 
 
 def test_slots(spark, docs, no_docs):
