@@ -7,10 +7,11 @@ its shard would be over its share, and writes a new version.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from linkloom.session import materialize
+from linkloom.session import materialize, new_folder
 
 SLOTS = 4096
 LAW = "bytes"
@@ -61,6 +62,26 @@ def slot_map(totals: DataFrame, shards: int, previous: DataFrame | None = None,
     )
 
 
+def write_map(mapping: DataFrame, path: str) -> int:
+    """Store a map below ``path`` as its version, which is returned. Earlier versions stay; a repeated attempt overwrites its own."""
+    version = mapping.first().version
+    mapping.drop("version").coalesce(1).write.mode("overwrite").parquet(f"{path}/version={version}")
+    return version
+
+
+def read_map(spark: SparkSession, path: str, version: int | None = None) -> DataFrame | None:
+    """A stored map, the newest unless a version is asked for; None where there is none."""
+    try:
+        stored = spark.read.schema("virtual_slot int, shard int, bytes long, rows long, version int").parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    newest = stored.agg(F.max("version")).first()[0] if version is None else version
+    found = stored.filter(F.col("version") == newest)
+    return None if newest is None or found.isEmpty() else found
+
+
 def assign(records: DataFrame, mapping: DataFrame, order: list[str]) -> DataFrame:
     """``records`` (virtual_slot, …) with ``shard`` and ``slot``, the place within the shard, without gaps from 0.
 
@@ -73,17 +94,24 @@ def assign(records: DataFrame, mapping: DataFrame, order: list[str]) -> DataFram
     return ranked.join(F.broadcast(starts), "virtual_slot").withColumn("slot", F.col("_start") + F.col("_rank") - 1).drop("_start", "_rank")
 
 
-def shard_documents(docs: DataFrame, shards: int = 24, slots: int = SLOTS, doc_id: str = "doc_id", text: str = "text", previous: DataFrame | None = None) -> DataFrame:
+def shard_documents(docs: DataFrame, shards: int = 24, slots: int = SLOTS, doc_id: str = "doc_id", text: str = "text", maps: str | None = None) -> DataFrame:
     """(doc_id, size, text_crc32, virtual_slot, version, shard, slot) for all rows of ``docs``.
 
     Size is the UTF-8 bytes of the text (null: none) plus 8. A slot follows from id and text, so copies of a text
     and rows without an id are spread; rows alike in both share a slot. Texts are read once and never shuffled. An
     empty table gives no rows; other columns play no part.
+
+    ``maps`` is where versions of the map are stored: the newest is edited, and its next version is stored and used. Unless
+    given, that is a new folder, and the map is the first. An empty table stores none.
     """
+    spark = docs.sparkSession
+    maps = new_folder(spark, "slot-maps") if maps is None else maps
     body = F.coalesce(F.col(text), F.lit("")).cast("binary")
     records = materialize(docs.select(
         F.col(doc_id), (F.octet_length(body) + 8).cast("long").alias("size"), F.crc32(body).alias("text_crc32"),
         virtual_slot(F.col(doc_id), F.col(text), slots=slots).alias("virtual_slot"),
     ), "slot-records")
-    mapping = materialize(slot_map(slot_totals(records), shards, previous), "slot-map")
+    mapping = materialize(slot_map(slot_totals(records), shards, read_map(spark, maps)), "slot-map")
+    if not mapping.isEmpty():
+        mapping = read_map(spark, maps, write_map(mapping, maps))
     return assign(records, mapping, [doc_id, "text_crc32", "size"])

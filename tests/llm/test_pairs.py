@@ -161,6 +161,19 @@ def test_slots(spark, docs, no_docs):
     assert slots.shard_documents(no_docs).count() == 0
 
 
+def test_slot_maps_are_stored_by_version(spark, no_docs, tmp_path):
+    """Each run edits the newest map: most slots stay, earlier versions can still be read, and records follow the version that is used."""
+    maps = str(tmp_path / "maps")
+    assert slots.read_map(spark, maps) is None and slots.shard_documents(no_docs, maps=maps).count() == 0 and slots.read_map(spark, maps) is None
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x"), (F.col("id") % 90).cast("int")).alias("text"))
+    found = [slots.shard_documents(part, shards=4, slots=256, maps=maps) for part in (docs.limit(2000), docs)]
+    stored = [{r.virtual_slot: r.shard for r in slots.read_map(spark, maps, v).collect()} for v in (1, 2)]
+    assert {r.virtual_slot: r.shard for r in slots.read_map(spark, maps).collect()} == stored[1] and slots.read_map(spark, maps, 3) is None
+    for rows, mapping, version in zip(found, stored, (1, 2), strict=True):
+        assert all(r.shard == mapping[r.virtual_slot] and r.version == version for r in rows.collect())
+    assert sum(stored[0][s] == stored[1].get(s) for s in stored[0]) > 0.8 * len(stored[0])
+
+
 def test_slots_balance_and_rebalance(spark):
     totals = spark.range(4096).select(F.col("id").cast("int").alias("virtual_slot"), (F.hash("id") % 500 + 600).cast("long").alias("bytes"), F.lit(1).cast("long").alias("rows"))
     first = slots.slot_map(totals, 24).cache()
