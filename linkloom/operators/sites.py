@@ -6,17 +6,14 @@ wildcards, case-sensitive for access and insensitive for site lookup.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.constants import DEFAULT_DELAY_SECONDS
 from linkloom.operators.appends import site_append
+from linkloom.operators.qgrams import like_lookup, matching_domains
 from linkloom.operators.skew import MIN_HOT_ROWS, SLICES, lookup_join, skew_join
 
-_WILD = r"[%_\\]"
-
 
 def site_access(site: DataFrame, page: DataFrame, slices: int = SLICES, min_rows: int = MIN_HOT_ROWS) -> DataFrame:
     """(accessed_ip, domain, accessed_time): every access of a page, with the domain of its site."""
@@ -138,88 +135,3 @@ def site_get_or_create(site: DataFrame, wanted: DataFrame, mode: str = "exact")
     asked = first.select("domain", "_row.robots_content", "_row.sitemap_content")
     missing = site_lookup(asked, site, mode).filter(~F.col("exists")).drop("exists", "site_id")
     return site_append(site, missing)
-
-
-def _pattern(text: Column) -> Column:
-    """``%text%`` as a LIKE pattern; a backslash before an ordinary character stands for nothing."""
-    valid = F.regexp_replace(text, r"(?s)((?:\\[%_\\])+)|\\(.)", "$1$2")
-    return F.concat(F.lit("%"), valid, F.lit("%"))
-
-
-def _with_literal(requests: DataFrame, text: str) -> DataFrame:
-    """Split requests by kind: ``plain`` text, ``mixed`` with wildcards, or wildcards ``only``."""
-    pieces = F.split(F.col(text), _WILD, -1)
-    longest = F.aggregate(
-        pieces, F.lit(""), lambda best, piece: F.when(F.length(piece) > F.length(best), piece).otherwise(best)
-    )
-    kind = (
-        F.when(~F.col(text).rlike(_WILD), "plain")
-        .when(F.col(text).rlike(r"^[%_]+\z"), "only")
-        .otherwise("mixed")
-    )
-    return requests.filter(F.col(text).isNotNull()).withColumns({"_literal": longest, "_kind": kind})
-
-
-def _substrings(domain: Column, n: Column) -> Column:
-    """All distinct substrings of length ``n``."""
-    starts = F.sequence(F.lit(1), F.length(domain) - n + 1)
-    return F.array_distinct(F.transform(starts, lambda start: F.substring(domain, start, n)))
-
-
-def _literal_keys(facts: DataFrame, domain: str, requests: DataFrame) -> DataFrame:
-    """``facts`` with ``_literal``: one row per substring that a request of this length could mean.
-
-    The lengths asked for are distinct small numbers, at most the length of the longest domain.
-    """
-    lengths = requests.agg(F.collect_set(F.length("_literal"))).scalar()
-    sized = facts.withColumn("_n", F.explode(lengths)).filter(F.col("_n") <= F.length(domain))
-    return sized.withColumn("_literal", F.explode(_substrings(F.col(domain), F.col("_n")))).drop("_n")
-
-
-def matching_domains(requests: DataFrame, facts: DataFrame, text: str, by: list[str], domain: str = "domain") -> DataFrame:
-    """(text, *by, domain) pairs where domain LIKE %text%, found by equality on the longest literal.
-
-    ``facts`` has distinct (*by, domain) rows. No domain is compared with a request that shares no
-    literal with it.
-    """
-    asked = _with_literal(requests, text)
-    keyed = _literal_keys(facts.select(*by, domain), domain, asked)
-    pairs = keyed.join(asked, [*by, "_literal"])
-    fits = (F.col("_kind") == "plain") | _like(domain, text)
-    return pairs.filter(fits).select(text, *by, domain)
-
-
-def _like(domain: str, text: str) -> Column:
-    return F.like(F.col(domain), _pattern(F.col(text)))
-
-
-def like_lookup(
-    requests: DataFrame, facts: DataFrame, text: str, domain: str, measure: str, best: Callable[[Column], Column],
-    by: list[str] | None = None, out: str = "found",
-) -> DataFrame:
-    """(text, *by, out): ``best`` of ``measure`` over the facts whose domain is LIKE %text%.
-
-    ``best`` is a min or max, so facts are combined per key before they are shuffled: requests
-    without wildcards then meet one row each, however many domains contain them.
-    """
-    by = by or []
-    asked = _with_literal(requests, text)
-    plain = asked.filter(F.col("_kind") == "plain")
-    per_literal = _literal_keys(facts, domain, plain).groupBy(*by, "_literal").agg(best(F.col(measure)).alias(out))
-    plain_hits = plain.join(per_literal, [*by, "_literal"]).select(text, *by, out)
-
-    # Only wildcards: the domain merely has to be as long as there are underscores.
-    only = asked.filter(F.col("_kind") == "only").withColumn("_least", F.length(F.regexp_replace(text, "%", "")))
-    longest = only.agg(F.coalesce(F.max("_least"), F.lit(-1))).scalar()
-    upto = F.least(F.length(F.col(domain)), longest)
-    per_length = (
-        facts.filter(upto >= 0).withColumn("_length", upto).groupBy(*by, "_length").agg(best(F.col(measure)).alias("_best"))
-        .withColumn("_least", F.explode(F.sequence(F.lit(0), F.col("_length"))))
-        .groupBy(*by, "_least").agg(best(F.col("_best")).alias(out))
-    )
-    only_hits = only.join(per_length, [*by, "_least"]).select(text, *by, out)
-
-    mixed = asked.filter(F.col("_kind") == "mixed")
-    pairs = _literal_keys(facts, domain, mixed).join(mixed, [*by, "_literal"])
-    mixed_hits = pairs.filter(_like(domain, text)).groupBy(text, *by).agg(best(F.col(measure)).alias(out))
-    return plain_hits.unionByName(only_hits).unionByName(mixed_hits)
