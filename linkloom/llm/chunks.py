@@ -4,7 +4,8 @@ A short text is encoded in its row. A longer one is cut into overlapping chunks
 Where the chunks overlap, the first border that both have is where they resynchronise: the pattern looks at no
 earlier text, so from there on they agree. The texts between those borders are encoded in parallel. Borders
 after white space are passed over, as what follows decides how white space is split. If an overlap has no common
-border, the rest of the text is one piece. Decoding concatenates the bytes of the tokens.
+border, the chunks around it are joined and pre-tokenised again, until all neighbours meet. Decoding concatenates the
+bytes of the tokens.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ CHUNK = 16_384
 OVERLAP = 512
 # A match ends where it ends whatever comes more than so many characters later.
 _LOOK = 4
+# Rounds of joining chunks that do not meet. What is left of a text after so many is one piece.
+ROUNDS = 8
 
 
 def spans(length: int, chunk: int, overlap: int) -> list[tuple[int, int]]:
@@ -59,31 +62,66 @@ def _cut(long: DataFrame, carry: list[str], text: str, chunk: int, overlap: int)
 
 
 def _borders(chunks: DataFrame, pattern: str, chunk: int, overlap: int) -> DataFrame:
-    """(_row, _no, _head, _tail): ends of pre-tokens in the overlap with the chunk before and after, but for those after white space."""
+    """(_row, _no, _head, _tail): ends of pre-tokens in the overlap with the chunk before and after, but for those after white space.
+
+    ``_last`` is where the last of the chunks that ``_text`` was joined from starts.
+    """
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compiled = regex.compile(pattern)
         for part in arrays.slices(batches, "_text"):
             heads, tails = [], []
-            for start, value in zip(part.column("_start").to_pylist(), part.column("_text").to_pylist(), strict=True):
-                ends = [m.end() for m in compiled.finditer(value) if not value[m.end() - 1].isspace()]
-                heads.append([start + e for e in ends if e <= overlap - _LOOK])
-                tails.append([start + e for e in ends if chunk <= e <= chunk + overlap - _LOOK])
+            for start, last, value in zip(*[part.column(c).to_pylist() for c in ("_start", "_last", "_text")], strict=True):
+                ends = [start + m.end() for m in compiled.finditer(value) if not value[m.end() - 1].isspace()]
+                heads.append([e for e in ends if e <= start + overlap - _LOOK])
+                tails.append([e for e in ends if last + chunk <= e <= last + chunk + overlap - _LOOK])
             yield pa.RecordBatch.from_arrays(
                 [part.column("_row"), part.column("_no"), pa.array(heads, pa.list_(pa.int64())), pa.array(tails, pa.list_(pa.int64()))],
                 ["_row", "_no", "_head", "_tail"],
             )
 
-    return chunks.select("_row", "_no", "_start", "_text").mapInArrow(run, "_row long, _no int, _head array<long>, _tail array<long>")
+    return chunks.select("_row", "_no", "_start", "_last", "_text").mapInArrow(run, "_row long, _no int, _head array<long>, _tail array<long>")
+
+
+def _meetings(borders: DataFrame) -> DataFrame:
+    """(_row, _no, _sync, _failed): the first border that a chunk has in common with the one before; the first chunk starts at 0."""
+    common = F.array_min(F.array_intersect("_head", F.lag("_tail").over(Window.partitionBy("_row").orderBy("_no"))))
+    found = borders.select("_row", "_no", F.when(F.col("_no") == 0, F.lit(0).cast("long")).otherwise(common).alias("_sync"))
+    return found.withColumn("_failed", F.col("_sync").isNull())
 
 
-def _pieces(chunks: DataFrame, borders: DataFrame) -> DataFrame:
+def _synchronised(chunks: DataFrame, pattern: str, chunk: int, overlap: int, rounds: int) -> DataFrame:
+    """(_row, _no, _sync): where each chunk resynchronises; null for chunks that belong to the one before.
+
+    If all neighbours meet, all borders are right: the first chunk's are, and right ones are handed on from chunk to chunk. A chunk
+    that does not meet the one before is joined to it, and their text is pre-tokenised as one. This may change the
+    borders at its end, so the texts concerned (only those) are looked at again.
+    """
+    order = Window.partitionBy("_row").orderBy("_no")
+    state = materialize(_meetings(_borders(chunks.withColumn("_last", F.col("_start")), pattern, chunk, overlap)), "meetings")
+    for _ in range(rounds):
+        broken = state.filter("_failed").select("_row").distinct()
+        if broken.isEmpty():
+            break
+        runs = state.join(broken, "_row", "left_semi").select("_row", "_no", F.count("_sync").over(order).alias("_run"))
+        part = F.struct("_no", "_start", "_text")
+        joined = chunks.join(runs, ["_row", "_no"]).groupBy("_row", "_run").agg(F.array_sort(F.collect_list(part)).alias("_parts"))
+        before = F.transform(F.slice("_parts", 1, F.size("_parts") - 1), lambda p: F.substring(p._text, 1, chunk))
+        last = F.element_at("_parts", -1)
+        whole = joined.select(
+            "_row", F.col("_parts")[0]._no.alias("_no"), F.col("_parts")[0]._start.alias("_start"), last._start.alias("_last"),
+            F.array_join(F.concat(before, F.array(last._text)), "").alias("_text"),
+        )
+        met = runs.select("_row", "_no").join(_meetings(_borders(whole, pattern, chunk, overlap)), ["_row", "_no"], "left")
+        held = state.join(broken, "_row", "left_anti")
+        state = materialize(held.unionByName(met.withColumn("_failed", F.coalesce("_failed", F.lit(False)))), "meetings")
+    sound = ~F.max("_failed").over(order)
+    return state.select("_row", "_no", F.when(sound, F.col("_sync")).alias("_sync"))
+
+
+def _pieces(chunks: DataFrame, synchronised: DataFrame) -> DataFrame:
     """(_row, _run, _from, _until, _parts): chunks from one synchronised border to the next, usually one."""
     order = Window.partitionBy("_row").orderBy("_no")
-    common = F.array_min(F.array_intersect("_head", F.lag("_tail").over(order)))
-    found = borders.withColumn("_sync", F.when(F.col("_no") == 0, F.lit(0).cast("long")).otherwise(common))
-    known = F.min(F.col("_sync").isNotNull()).over(order)
-    found = found.withColumn("_sync", F.when(known, F.col("_sync"))).withColumn("_run", F.count("_sync").over(order))
-    rows = chunks.join(found.select("_row", "_no", "_run", "_sync"), ["_row", "_no"])
+    rows = chunks.join(synchronised.withColumn("_run", F.count("_sync").over(order)), ["_row", "_no"])
     runs = rows.groupBy("_row", "_run").agg(
         F.max("_sync").alias("_from"), F.array_sort(F.collect_list(F.struct("_no", "_start", "_text"))).alias("_parts")
     )
@@ -110,7 +148,7 @@ def _encode_pieces(pieces: DataFrame, vocabulary: str, pattern: str, chunk: int)
 
 def encode(
     docs: DataFrame, vocabulary: str, pattern: str, text: str = "text", carry: list[str] | None = None,
-    chunk: int = CHUNK, overlap: int = OVERLAP,
+    chunk: int = CHUNK, overlap: int = OVERLAP, rounds: int = ROUNDS,
 ) -> DataFrame:
     """The columns ``carry`` of ``docs`` (all but the text, unless given) and ``ids``, the tokens of the whole text.
 
@@ -133,7 +171,8 @@ def encode(
     columns = list(dict.fromkeys([*keep, text]))
     short = docs.filter(~is_long).select(*columns).mapInArrow(run, schema)
     chunks = materialize(_cut(docs.filter(is_long).select(*columns), keep, text, chunk, overlap), "chunks")
-    pieces = _encode_pieces(_pieces(chunks.drop(*keep), _borders(chunks, pattern, chunk, overlap)), vocabulary, pattern, chunk)
+    bare = chunks.drop(*keep)
+    pieces = _encode_pieces(_pieces(bare, _synchronised(bare, pattern, chunk, overlap, rounds)), vocabulary, pattern, chunk)
     whole = pieces.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("_run", "_ids"))).alias("_all"))
     held = chunks.filter("_no = 0").select(*keep, "_row")
     joined = held.join(whole, "_row").select(*keep, F.flatten("_all._ids").alias("ids"))

@@ -78,6 +78,27 @@ def test_chunked_encoding(docs, no_docs, chunk, overlap):
     assert chunks.encode(no_docs, MULTI, public_tokenizers.PATTERN).count() == 0
 
 
+@pytest.mark.parametrize("rounds", [0, 1, chunks.ROUNDS])
+def test_chunks_meet_again_after_long_words(spark, rounds):
+    """Only the chunks around a word that is longer than an overlap are one piece."""
+    plain = "".join(f"word{i} and, so on; " for i in range(400))
+    texts = {0: "x" * 150 + plain, 1: plain[:130] + "y" * 700 + plain, 2: " " * 900 + plain, 3: plain + "z" * 500, 4: "".join(plain[i : i + 90] + "w" * 60 for i in range(0, 2000, 90)), 5: plain}
+    cut = {"chunk": 100, "overlap": 30}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    own = bpe_files.encoding(MULTI, public_tokenizers.PATTERN)
+    got = {r.doc_id: r.ids for r in chunks.encode(docs, MULTI, public_tokenizers.PATTERN, rounds=rounds, **cut).collect()}
+    assert got == {k: own.encode_ordinary(text) for k, text in texts.items()}
+    pieces = chunks.materialize(chunks._cut(docs, ["doc_id"], "text", **cut), "chunks")
+    bare = pieces.drop("doc_id")
+    found = chunks._pieces(bare, chunks._synchronised(bare, public_tokenizers.PATTERN, rounds=rounds, **cut))
+    ids = pieces.filter("_no = 0").select("doc_id", "_row")
+    longest = dict(found.join(ids, "_row").groupBy("doc_id").agg(F.max(F.size("_parts"))).collect())
+    if rounds == chunks.ROUNDS:
+        assert longest[5] == 1 and longest[0] <= 4 and longest[1] <= 11 and longest[2] <= 12 and longest[3] <= 8
+    if rounds == 0:
+        assert longest[5] == 1 and longest[0] > 50
+
+
 def test_packing(spark, docs, no_docs):
     from tokenizers import Tokenizer
 
