@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from linkloom.operators.sizes import BROADCAST_BYTES, except_known, fits_broadcast
 from linkloom.operators.skew import MIN_HOT_ROWS, SLICES, skew_join
+from linkloom.session import materialize
 
 
 def hash_lookup(
@@ -64,14 +66,29 @@ def duplicate_updates(marked: DataFrame) -> DataFrame:
     )
 
 
-def page_update(page: DataFrame, updates: DataFrame, now: Column) -> tuple[DataFrame, DataFrame]:
+def page_update(
+    page: DataFrame, updates: DataFrame, now: Column, limit: int = BROADCAST_BYTES,
+) -> tuple[DataFrame, DataFrame]:
     """(page, rejects): ``page`` with ``updates`` applied; updates of unknown ids are rejects.
 
     ``updates`` has one row per id: page_type_code, http_status_code, accessed_ip, has_site_id,
     site_id, html_content, content_hash. The site is set only with has_site_id, also to NULL;
     text is kept only for HTML; relevance and URL never change. ``now`` may use columns of updates,
     by the name ``u``.
+
+    The ids of updates are written once. If they fit a broadcast, pages that are not updated stay where
+    they are, and only updated ones are shuffled; beyond ``limit`` bytes all are joined at once.
     """
+    ids = materialize(updates.select("id"), "updated")
+    if not fits_broadcast(ids, limit):
+        return _with_updates(page, updates, now), updates.join(page.select("id"), "id", "left_anti")
+    asked = F.broadcast(ids)
+    rest, touched = page.join(asked, "id", "left_anti"), page.join(asked, "id", "left_semi")
+    updated = rest.select(*page.columns).unionByName(_with_updates(touched, updates, now))
+    return updated, except_known(updates, page, ["id"], asked)
+
+
+def _with_updates(page: DataFrame, updates: DataFrame, now: Column) -> DataFrame:
     new = updates.withColumn("_hit", F.lit(True)).alias("u")
     joined = page.alias("p").join(new, F.col("p.id") == F.col("u.id"), "left")
     hit = F.col("u._hit").isNotNull()
@@ -84,11 +101,10 @@ def page_update(page: DataFrame, updates: DataFrame, now: Column) -> tuple[DataF
         "html_content": F.when(F.col("u.page_type_code") == "HTML", F.col("u.html_content")),
         "content_hash": F.col("u.content_hash"),
     }
-    updated = joined.select(*[
+    return joined.select(*[
         (F.when(hit, values[name]).otherwise(F.col(f"p.{name}")) if name in values else F.col(f"p.{name}")).alias(name)
         for name in page.columns
     ])
-    return updated, updates.join(page.select("id"), "id", "left_anti")
 
 
 def html_count(page: DataFrame) -> DataFrame:

@@ -124,12 +124,13 @@ def test_hash_lookup(spark):
     assert rejects.count() == 2
 
 
-def test_page_update(spark):
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+def test_page_update(spark, limit):
     page = page_of(spark, [{"id": i, "site_id": 8, "url": f"u{i}", "page_type_code": "CRAWLING", "relevance": 2} for i in (1, 2, 3)])
     updates = spark.createDataFrame(
         [(1, "HTML", 200, "ip", True, None, "text", "h"), (2, "BINARY", 404, "ip", False, None, "text", None), (9, "HTML", 200, "ip", False, None, "t", "g")],
         "id long, page_type_code string, http_status_code int, accessed_ip string, has_site_id boolean, site_id long, html_content string, content_hash string")
-    updated, rejects = pages.page_update(page, updates, F.lit(T0).cast("timestamp_ntz"))
+    updated, rejects = pages.page_update(page, updates, F.lit(T0).cast("timestamp_ntz"), limit)
     assert tuples(updated, "id", "page_type_code", "site_id", "html_content", "relevance", "content_hash", "accessed_time") == [
         (1, "HTML", None, "text", 2, "h", T0), (2, "BINARY", 8, None, 2, None, T0), (3, "CRAWLING", 8, None, 2, None, None)]
     assert tuples(rejects, "id") == [(9,)]
