@@ -148,9 +148,10 @@ def _encode_pieces(pieces: DataFrame, vocabulary: str, pattern: str, chunk: int)
 
 def encode(
     docs: DataFrame, vocabulary: str, pattern: str, text: str = "text", carry: list[str] | None = None,
-    chunk: int = CHUNK, overlap: int = OVERLAP, rounds: int = ROUNDS,
+    chunk: int = CHUNK, overlap: int = OVERLAP, rounds: int = ROUNDS, digest: bool = False,
 ) -> DataFrame:
-    """The columns ``carry`` of ``docs`` (all but the text, unless given) and ``ids``, the tokens of the whole text.
+    """The columns ``carry`` of ``docs`` (all but the text, unless given) and ``ids``, the tokens of the whole text; with
+    ``digest``, the columns of ``digests`` instead, which short texts get where they are encoded.
 
     ``vocabulary`` is a rank file that tasks can open; names of special tokens are ordinary text. A null text is
     empty and has no tokens. Rows are encoded one by one: repeated rows, ties and null in other columns make no
@@ -158,15 +159,20 @@ def encode(
     """
     keep = [c for c in ([c for c in docs.columns if c != text] if carry is None else carry) if c != "ids"]
     types = dict(zip(docs.columns, docs.schema.fields, strict=True))
-    schema = T.StructType([*[types[c] for c in keep], T.StructField("ids", T.ArrayType(T.IntegerType()))])
+    if digest:
+        keep = [c for c in keep if c not in _DIGESTS.names]
+    made = _DIGESTS.fields if digest else [T.StructField("ids", T.ArrayType(T.IntegerType()))]
+    schema = T.StructType([*[types[c] for c in keep], *made])
     # More characters than fit one chunk; a null length is short.
     is_long = F.coalesce(F.length(text) > chunk + overlap, F.lit(False))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = bpe_files.encoding(vocabulary, pattern)
+        table, decimal = _spellings(vocabulary) if digest else ([], [])
         for part in arrays.slices(batches, text):
             ids = [np.array(bpe_files.encode(own, value), np.int32) for value in part.column(text).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*[part.column(c) for c in keep], pa.array(ids, pa.list_(pa.int32()))], [*keep, "ids"])
+            columns = _digest(ids, table, decimal) if digest else [pa.array(ids, pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays([*[part.column(c) for c in keep], *columns], schema.names)
 
     columns = list(dict.fromkeys([*keep, text]))
     short = docs.filter(~is_long).select(*columns).mapInArrow(run, schema)
@@ -176,7 +182,7 @@ def encode(
     whole = pieces.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("_run", "_ids"))).alias("_all"))
     held = chunks.filter("_no = 0").select(*keep, "_row")
     joined = held.join(whole, "_row").select(*keep, F.flatten("_all._ids").alias("ids"))
-    return short.unionByName(joined)
+    return short.unionByName(digests(joined, vocabulary) if digest else joined)
 
 
 def decode(ids: np.ndarray, table: list[bytes]) -> bytes:
@@ -184,23 +190,45 @@ def decode(ids: np.ndarray, table: list[bytes]) -> bytes:
     return b"".join([table[i] for i in ids.tolist()])
 
 
+_DIGESTS = T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())])
+# Ids that are spelled out at a time.
+_SPELLED = 1 << 16
+
+
+def _spellings(vocabulary: str) -> tuple[list[bytes], list[bytes]]:
+    """The bytes of each token, and its decimal id led by a comma."""
+    table = bpe_files.tokens(vocabulary)
+    return table, [b",%d" % i for i in range(len(table))]
+
+
+def _digest(rows: list[np.ndarray], table: list[bytes], decimal: list[bytes]) -> list[pa.Array]:
+    """The columns of ``digests`` for the ids of each row."""
+    names, texts = [], []
+    for row in rows:
+        name, text = hashlib.sha256(), hashlib.sha256()
+        for start in range(0, len(row), _SPELLED):
+            block = row[start : start + _SPELLED]
+            spelled = b"".join([decimal[i] for i in block.tolist()])
+            name.update(spelled if start else spelled[1:])
+            text.update(decode(block, table))
+        names.append(name.hexdigest())
+        texts.append(text.hexdigest())
+    return [pa.array([len(row) for row in rows], pa.int64()), pa.array(names, pa.string()), pa.array(texts, pa.string())]
+
+
 def digests(encoded: DataFrame, vocabulary: str, ids: str = "ids") -> DataFrame:
     """``encoded`` without its ids, with ``n_tokens``, ``ids_sha256`` (decimal ids joined by commas) and
     ``decoded_sha256`` (the bytes that the ids decode to)."""
-    keep = [c for c in encoded.columns if c != ids]
+    keep = [c for c in encoded.columns if c not in (ids, *_DIGESTS.names)]
     types = dict(zip(encoded.columns, encoded.schema.fields, strict=True))
-    new = ["n_tokens", "ids_sha256", "decoded_sha256"]
-    schema = T.StructType([*[types[c] for c in keep], T.StructField(new[0], T.LongType()), *[T.StructField(c, T.StringType()) for c in new[1:]]])
+    schema = T.StructType([*[types[c] for c in keep], *_DIGESTS.fields])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = bpe_files.tokens(vocabulary)
-        decimal = [b"%d," % i for i in range(len(table))]
+        table, decimal = _spellings(vocabulary)
         for batch in batches:
             lists = batch.column(ids)
             flat, borders = lists.flatten().to_numpy(), np.cumsum([0, *pc.list_value_length(lists).to_pylist()])
             rows = [flat[a:b] for a, b in zip(borders[:-1], borders[1:], strict=True)]
-            names = [hashlib.sha256(b"".join([decimal[i] for i in row.tolist()])[:-1]).hexdigest() for row in rows]
-            texts = [hashlib.sha256(decode(row, table)).hexdigest() for row in rows]
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(np.diff(borders)), pa.array(names, pa.string()), pa.array(texts, pa.string())], [*keep, *new])
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], *_digest(rows, table, decimal)], schema.names)
 
-    return encoded.mapInArrow(run, schema)
+    return encoded.select(*keep, ids).mapInArrow(run, schema)

@@ -82,8 +82,7 @@ def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_chunked_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    encoded = chunks.encode(table(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN, carry=["doc_id"])
-    return chunks.digests(encoded, vocabulary)
+    return chunks.encode(table(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN, carry=["doc_id"], digest=True)
 
 
 def op11_pruned_graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:

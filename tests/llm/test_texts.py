@@ -66,8 +66,9 @@ def test_language_without_labels(no_docs, docs):
 @pytest.mark.parametrize(("chunk", "overlap"), [(chunks.CHUNK, chunks.OVERLAP), (50, 20)])
 def test_chunked_encoding(docs, no_docs, chunk, overlap):
     own = bpe_files.encoding(MULTI, public_tokenizers.PATTERN)
+    rows = chunks.encode(docs, MULTI, public_tokenizers.PATTERN, chunk=chunk, overlap=overlap, carry=["doc_id"], digest=True).collect()
     encoded = chunks.encode(docs, MULTI, public_tokenizers.PATTERN, chunk=chunk, overlap=overlap, carry=["doc_id"])
-    rows = chunks.digests(encoded, MULTI).collect()
+    assert Counter(chunks.digests(encoded, MULTI).collect()) == Counter(rows)
     texts = {r.doc_id: r.text or "" for r in docs.collect()}
     assert Counter(r.doc_id for r in rows) == Counter(r.doc_id for r in docs.collect())
     for row in rows:
