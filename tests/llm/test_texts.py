@@ -1,7 +1,9 @@
 """Operators that judge a text in its row, against brute force."""
 
 import hashlib
+import math
 import re
+import textwrap
 import zlib
 from collections import Counter
 
@@ -10,7 +12,8 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from linkloom.llm import arrays, bpe_files, chunks, katz, langid, licenses, packing, quality, queries
+from linkloom.llm import arrays, bpe_files, chunks, katz, langid, license_templates, licenses, packing, quality, queries
+from tests.llm.conftest import PROSE
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 MULTI = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -178,6 +181,70 @@ def test_licenses(spark, no_docs):
     assert licenses.scan(no_docs.withColumn("path", F.lit("x"))).count() == 0
 
 
+def commented(text, mark="# ", width=70):
+    lines = []
+    for paragraph in text.split("\n\n"):
+        lines += [mark + line for line in textwrap.wrap(paragraph, width)] + [mark.strip()]
+    return "\n".join(lines)
+
+
+LICENSED = {name: forms[-1] for name, forms in license_templates.TEMPLATES.items()}
+
+
+def test_license_texts_and_headers(spark):
+    """Whole texts, and headers over several comment lines, with holders and code around them; plain prose has none."""
+    files, want = [], {}
+    for k, (name, text) in enumerate(LICENSED.items()):
+        body = textwrap.fill(text, 72)
+        files += [(f"r{k}/LICENSE", f"Copyright (c) 20{10 + k} Somebody Else\n\n{body}\n"), (f"r{k}/src/main.c", "int x;\n"),
+                  (f"h{k}/head.py", f"#!/usr/bin/python\n\n{commented(text)}\n\nimport os\n"), (f"h{k}/head.c", f"/*\n{commented(text, ' * ', 60)}\n */\n\nint y;")]
+        want |= {f"r{k}/LICENSE": name, f"r{k}/src/main.c": name, f"h{k}/head.py": name, f"h{k}/head.c": name}
+    files += [(f"p/{i}.txt", f"{PROSE}\nword{i} copies use of any software\n\n{PROSE}") for i in range(200)]
+    got = {r.path: r.license for r in licenses.scan(spark.createDataFrame(files, "path string, text string")).collect()}
+    assert {p: got[p] for p in want} == want
+    assert {got[f"p/{i}.txt"] for i in range(200)} == {None}
+
+
+@pytest.mark.parametrize("least", [0.3, 0.8])
+def test_license_cosine_against_brute_force(spark, least):
+    rng = np.random.default_rng(3)
+    names = list(LICENSED)
+    files = []
+    for k in range(120):
+        words = LICENSED[names[k % len(names)]].split()
+        kept = [w if rng.random() < 0.8 else f"other{rng.integers(50)}" for w in words]
+        files.append((f"d{k}/LICENSE" if k % 3 else f"d{k}/x.c", "\n".join(" ".join(kept[i : i + 9]) + "\n" * int(rng.integers(1, 3)) for i in range(0, len(kept), 9))))
+    table = spark.createDataFrame(files, "path string, text string")
+    got = {(r.path, r.level, r.part): (r.license, r.score) for r in licenses.part_licenses(table, "path", "text", least=least).collect()}
+    forms = [(name, licenses.template_words(t)) for name, texts in license_templates.TEMPLATES.items() for t in texts]
+    held = [set(licenses.template_words(t)) for _, t in files]
+    n = len(files)
+    vocabulary = {w for _, f in forms for w in f}
+    idf = lambda w: math.log((1 + n) / (1 + sum(w in h for h in held) if w in vocabulary else 2)) + 1
+    known = {w: idf(w) for h in [*held, vocabulary] for w in h}
+    row = lambda counts: {w: c * known[w] for w, c in counts.items()}
+    rows = [(name, row(f)) for name, f in forms]
+    want = {}
+    for path, text in files:
+        parts = [(1, line) for line in text.split("\n")] + [(2, b) for b in re.split(r"\n(?:[ \t\r]*\n)+", text) if "\n" in b.strip("\n")]
+        for level, part in [*parts, *([(3, text)] if "LICENSE" in path else [])]:
+            own = row(licenses.template_words(part))
+            norm = math.sqrt(sum(v * v for v in own.values()))
+            best = max(((round(sum(v * r.get(w, 0) for w, v in own.items()) / norm / math.sqrt(sum(v * v for v in r.values())), 9), name) for name, r in rows), default=None) if norm else (0, "")
+            if best[0] >= least:
+                want[path, level, part] = best
+    assert set(got) == set(want)
+    assert all(abs(got[k][1] - want[k][0]) < 1e-8 for k in want)
+    assert sum(got[k][0] == want[k][1] for k in want) >= len(want) - 2
+
+
+def test_hot_folders_are_spread(spark):
+    rows = [("LICENSE", "Released under the MIT License"), ("a/b/COPYING", "Licensed under CC BY 4.0"), *[(f"a/b/c{i}/f.py", "x") for i in range(50)], *[(f"z{i}/f.py", None) for i in range(50)]]
+    got = {r.path: r.license_from for r in licenses.scan(spark.createDataFrame(rows, "path string, text string"), slices=5, min_rows=2).collect()}
+    assert got == {p: "a/b/COPYING" if p.startswith("a/b/") else "LICENSE" for p, _ in rows}
+
+
+
 def test_long_words_and_lines_of_two_letters_differ():
     """Sequences that agree modulo a power of two, whatever the base of a polynomial, have different hashes."""
     for size in (1024, 4096, 1 << 21):
