@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from linkloom.llm import components, jaccard, numbered, queries, slots, spotsigs, warc
@@ -110,6 +111,42 @@ def test_spotsigs(docs, no_docs):
     assert spotsigs.edited_fingerprints(no_docs).count() == 0
 
 
+def brute_signatures(text):
+    """Each anchor before a content word, with that word and the next content word; without any, all words as one."""
+    words = regex.findall(r"[\p{L}\p{N}]+", text.lower())
+    found, led = [], []
+    for word in words:
+        if word in spotsigs.ANCHORS:
+            led.append(word)
+        else:
+            found.append((word, led))
+            led = []
+    out = {(anchor, word, found[i + 1][0]) for i, (word, led) in enumerate(found[:-1]) for anchor in led}
+    return out or {" ".join(words)}
+
+
+@pytest.mark.parametrize("block", [3, 2048])
+def test_spotsigs_likeness_against_brute_force(spark, docs, block):
+    rng = random.Random(6)
+    pool = [*spotsigs.ANCHORS[:12], *(f"c{i}" for i in range(30))]
+    made = [(100 + i, " ".join(rng.choices(pool, k=rng.choice([0, 1, 5, 60, 300])))) for i in range(60)]
+    rows = [(r.doc_id, r.text or "") for r in docs.collect()] + made + [(100 + 3, made[3][1])]
+    texts = dict(rows)
+    order = sorted(texts, reverse=True)
+    found = {i: brute_signatures(t) for i, t in texts.items()}
+    same = {}
+    for row in spotsigs.edited_fingerprints(spark.createDataFrame(rows, "doc_id long, text string"), block=block).collect():
+        i, j = row.doc_id, order[(order.index(row.doc_id) + 1) % len(order)]
+        n = len(texts[i]) // 3
+        edited = brute_signatures(texts[i][: len(texts[i]) - n] + texts[j][:n])
+        assert row.n_signatures == len(found[i])
+        assert abs(row.near_edited - len(found[i] & edited) / len(found[i] | edited)) < 1e-12
+        assert abs(row.near_next - len(found[i] & found[j]) / len(found[i] | found[j])) < 1e-12
+        for name, value in ((row.fingerprint, found[i]), (row.edited_fingerprint, edited)):
+            assert same.setdefault(name, value) == value
+    assert len(same) == len(set(map(frozenset, same.values())))
+
+
 def test_spotsigs_signatures(spark):
     text = "The cat sat on the old mat, of the House"
     found = spark.createDataFrame([(text,)], "text string").select(

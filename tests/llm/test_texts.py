@@ -149,6 +149,70 @@ def test_katz(docs, no_docs):
     assert katz.katz_scores(no_docs, held_out=F.lit(False)).count() == 0
 
 
+def discounted(counts):
+    """Katz's discounts for counts up to 5: a function from a count to what is left of it."""
+    n = Counter(counts)
+    for top in range(5, 0, -1):
+        if not all(n[c] for c in range(1, top + 2)):
+            continue
+        rest = (top + 1) * n[top + 1] / n[1]
+        if rest >= 1:
+            continue
+        left = {c: c * ((c + 1) * n[c + 1] / (c * n[c]) - rest) / (1 - rest) for c in range(1, top + 1)}
+        if all(0 < v < c for c, v in left.items()):
+            return lambda c, left=left: left.get(c, c)
+    off = min(0.9, max(0.1, n[1] / max(1, n[1] + 2 * n[2])))
+    return lambda c: c - off if c <= 5 else c
+
+
+def brute_katz(rows):
+    """(id, text, held out) -> (id, held, tokens, known, training tokens, base score, score), word by word."""
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tokens = [["<s>", *WORD.findall((text or "").translate(lower)), "</s>"] for _, text, _ in rows]
+    words, pairs, histories = Counter(), Counter(), Counter()
+    for (_, _, held), found in zip(rows, tokens, strict=True):
+        if not held:
+            words.update(found[1:])
+            histories.update(found[:-1])
+            pairs.update(zip(found, found[1:]))
+    total, after = sum(words.values()), {}
+    for (h, w), c in pairs.items():
+        after.setdefault(h, {})[w] = c
+    of_word, of_pair = discounted(words.values()), discounted(pairs.values())
+    lost = sum(c - of_word(c) for c in words.values())
+    whole = total + (lost <= 0)
+    uni = lambda w: of_word(words[w]) / whole if w in words else (lost or 1) / whole
+
+    def weight(h):
+        gone = sum(c - of_pair(c) for c in after[h].values())
+        size = histories[h] + (gone <= 0)
+        return size, (gone if gone > 0 else 1) / size / (1 - sum(map(uni, after[h])))
+
+    weights = {h: weight(h) for h in after}
+
+    def chance(h, w):
+        if (h, w) in pairs:
+            return of_pair(pairs[h, w]) / weights[h][0]
+        return (weights[h][1] if h in weights else 1) * uni(w)
+
+    for (key, _, held), found in zip(rows, tokens, strict=True):
+        base = sum(math.log10((words[w] + 0.5) / (total + 0.5 * (len(words) + 1))) for w in found[1:])
+        score = sum(math.log10(chance(h, w)) for h, w in zip(found, found[1:]))
+        yield key, held, len(found) - 1, sum(w in words for w in found[1:]), total, base, score
+
+
+@pytest.mark.parametrize("held", [lambda i: i % 5 == 1, lambda i: i % 2 == 0, lambda i: i != 3, lambda i: False])
+def test_katz_against_brute_force(spark, docs, held):
+    rng = np.random.default_rng(8)
+    zipf = [(100 + k, " ".join(f"w{v}" for v in rng.zipf(1.4, 200) % 500)) for k in range(40)]
+    rows = [(r.doc_id, r.text, held(r.doc_id)) for r in docs.collect()] + [(i, t, held(i)) for i, t in zipf]
+    table = spark.createDataFrame(rows, "doc_id long, text string, out boolean")
+    got = sorted((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in katz.katz_scores(table, F.col("out"), block_tokens=20_000, bucket_entries=5_000).collect())
+    want = sorted(brute_katz(rows))
+    assert [r[:5] for r in got] == [r[:5] for r in want]
+    assert np.allclose([r[5:] for r in got], [r[5:] for r in want], rtol=1e-9)
+
+
 def test_katz_is_normalised():
     rng = np.random.default_rng(1)
     first, second = rng.zipf(1.5, 20_000) % 300, rng.zipf(1.3, 20_000) % 300
