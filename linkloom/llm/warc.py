@@ -11,7 +11,9 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import io
 from collections.abc import Iterable, Iterator
+from typing import BinaryIO
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,6 +24,8 @@ from linkloom.operators.skew import skew_join
 from linkloom.session import materialize
 
 RECORDS_PER_FILE = 2048
+# Payloads and headers that are read before they are passed on.
+BATCH_BYTES = 16 << 20
 _RESULTS = ("payload_bytes", "payload_digest", "record_type", "refers_to")
 _END = "\r\n"
 _ID = "urn:x-record:"
@@ -94,16 +98,16 @@ def write_archives(resolved: DataFrame, path: str, record_id: str, url: str, pay
     rows.write.option("lineSep", _END * 2).option("compression", "gzip").option("maxRecordsPerFile", per_file).text(path)
 
 
-def _parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes, dict[str, str]]]:
-    """Headers, payload and HTTP headers of each record."""
-    at = 0
-    while at < len(data):
-        stop = data.index(b"\r\n\r\n", at)
-        head = _fields(data[at:stop])
-        block = data[stop + 4 : stop + 4 + int(head["content-length"])]
-        http, _, payload = block.partition(b"\r\n\r\n")
-        yield head, payload, _fields(http)
-        at = stop + 4 + len(block) + 4
+def _parse(stream: BinaryIO) -> Iterator[tuple[dict[str, str], bytes, dict[str, str]]]:
+    """Headers, payload and HTTP headers of each record, read one after the other."""
+    while line := stream.readline():
+        head = [line]
+        while (line := stream.readline()).strip():
+            head.append(line)
+        fields = _fields(b"".join(head))
+        http, _, payload = stream.read(int(fields["content-length"])).partition(b"\r\n\r\n")
+        stream.read(len(_END * 2))
+        yield fields, payload, _fields(http)
 
 
 def _fields(head: bytes) -> dict[str, str]:
@@ -116,28 +120,37 @@ def _number(uri: str | None) -> int | None:
     return int(digits) if digits else None
 
 
-def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
+def read_archives(spark: SparkSession, path: str, payloads: bool = True, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """(record_id, record_type, refers_to, url, payload_bytes, payload_digest, payload) of each record in the archives.
 
     Length and digest of a response are those of the payload that was read; a revisit has those of its headers and
-    no payload. A file is parsed whole in one task; ``write_archives`` bounds it by its records.
+    no payload. A file is one task's work, and its compressed bytes are one cell: ``write_archives`` bounds it by its records and
+    by what a writing task has. It is decompressed record by record, and rows go on in batches of about ``batch_bytes``.
     """
     names = ["record_id", "record_type", "refers_to", "url", "payload_bytes", "payload_digest", *["payload"] * payloads]
 
+    kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.binary()][: len(names)]
+
+    def packed(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for content in batch.column("content"):
-                rows = []
-                for head, payload, http in _parse(gzip.decompress(content.as_py())):
+                rows, held = [], 0
+                for head, payload, http in _parse(gzip.open(io.BytesIO(content.as_buffer()))):
                     response = head["warc-type"] == "response"
                     digest = base64.b32encode(hashlib.sha1(payload).digest()).decode() if response else head["warc-payload-digest"].removeprefix("sha1:")
                     rows.append((
                         _number(head["warc-record-id"]), head["warc-type"], _number(head.get("warc-refers-to")), head["warc-target-uri"],
                         len(payload) if response else int(http["content-length"]), digest, *[payload if response else None] * payloads,
                     ))
-                kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.binary()]
+                    held += 200 + payloads * len(payload)
+                    if held >= batch_bytes:
+                        yield packed(rows)
+                        rows, held = [], 0
                 if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds)], names)
+                    yield packed(rows)
 
     schema = "record_id long, record_type string, refers_to long, url string, payload_bytes long, payload_digest string" + ", payload binary" * payloads
     files = spark.read.format("binaryFile").load(path).select("content")

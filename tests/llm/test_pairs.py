@@ -162,6 +162,15 @@ def test_likeness_prunes_by_length(spark):
     assert tuple(got) == (0.5, 0.0, 1.0)
 
 
+def test_archives_are_read_record_by_record(spark, tmp_path):
+    """Many times the bytes of a batch in one file, with long payloads that compress well."""
+    pages = spark.range(300).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), F.repeat(F.concat("id", F.lit("\r\n\r\nWARC/1.1 ")), 500).alias("html"))
+    path = str(tmp_path / "archives")
+    warc.write_archives(warc.resolve(pages.coalesce(1), "page_id", "html"), path, "page_id", "url", "html")
+    got = warc.read_archives(spark, path, batch_bytes=1 << 12).select("record_id", F.col("payload").cast("string").alias("html"))
+    assert Counter(map(tuple, got.collect())) == Counter((r.page_id, r.html) for r in pages.collect())
+
+
 def test_warc(spark, tmp_path):
     html = ["<p>ä\r\n\r\nb</p>", "<p>ä\r\n\r\nb</p>", None, "", "WARC/1.1\r\n\r\nx", "long " * 50_000, "<p>ä\r\n\r\nb</p>"]
     pages = spark.createDataFrame([(i, f"http://x/{i} \n", t) for i, t in enumerate(html)] + [(None, None, "<p>ä\r\n\r\nb</p>")], "page_id long, url string, html string")
