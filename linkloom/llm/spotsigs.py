@@ -12,6 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from linkloom.operators.skew import MIN_HOT_ROWS, SLICES, skew_join
 from linkloom.session import materialize
 
 # Common words of English, French, German and Spanish, the anchors.
@@ -82,6 +83,51 @@ def likeness(a: Column, b: Column, least: float = 0.0) -> Column:
     return F.when(near & (small >= least * large), exact).otherwise(0.0)
 
 
+def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """(classes, members): (class_id, found) for each distinct set of signatures, and (doc_id, class_id) per row.
+
+    ``class_id`` is the fingerprint. Null texts are empty, and texts without words are one class. Sets of copies are combined before
+    they are shuffled.
+    """
+    found = docs.select(F.col(doc_id).alias(doc_id), F.sort_array(signatures(F.col(text))).alias("found"))
+    known = materialize(found.withColumn("class_id", fingerprint(F.col("found"))), "signatures")
+    distinct = known.groupBy("class_id").agg(F.min("found").alias("found"))
+    return materialize(distinct, "classes"), known.select(doc_id, "class_id")
+
+
+def near_pairs(sets: DataFrame, least: float = 0.8, slices: int = SLICES, min_rows: int = MIN_HOT_ROWS) -> DataFrame:
+    """(class_id, other_id, likeness): all pairs of ``sets`` (class_id, found) whose Jaccard likeness is ``least`` or more, ``class_id``
+    the shorter set (ties: the smaller id).
+
+    An inverted index: two sets that are so alike share a signature among the rarest ``n - ceil(least * n) + 1`` of each, and are
+    in the same length partition or neighbouring ones. Each posting has its set's length and the signature's rank there, which
+    bounds what the pair can share; pairs that are left are compared exactly. An empty table gives none.
+    """
+    size = F.size("found")
+    # A little off, so that no rounding costs a pair; all pairs are compared in the end.
+    reach = size - F.ceil(size * (least - 1e-9)) + 1
+    each = sets.select("class_id", size.alias("n"), reach.alias("_reach"), F.explode("found").alias("spot"))
+    counts = materialize(each.groupBy("spot").agg(F.count("*").alias("n")), "spot-counts")
+    rated = skew_join(each, counts.withColumnRenamed("n", "_df"), "spot", F.col("class_id"), "inner", counts=counts, slices=slices, min_rows=min_rows)
+    order = Window.partitionBy("class_id").orderBy("_df", "spot")
+    ranked = rated.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= F.col("_reach"))
+    part = length_partition(F.col("n"), least - 1e-9)
+    postings = materialize(ranked.select("spot", part.alias("part"), "class_id", "n", "rank"), "postings")
+    # A shorter set asks its own partition and the next one.
+    asked = postings.select("spot", F.explode(F.array("part", F.col("part") + 1)).alias("part"), *[F.col(c).alias(f"_{c}") for c in ("class_id", "n", "rank")])
+    met = asked.withColumn("_key", F.struct("spot", "part")).drop("spot", "part").join(postings.withColumn("_key", F.struct("spot", "part")), "_key")
+    earlier = (F.col("_n") < F.col("n")) | ((F.col("_n") == F.col("n")) & (F.col("_class_id") < F.col("class_id")))
+    # What can still be shared from this signature on, in the one order of all signatures.
+    rest = 1 + F.least(F.col("_n") - F.col("_rank"), F.col("n") - F.col("rank")) + F.least(F.col("_rank"), F.col("rank")) - 1
+    able = (F.col("_n") >= least * F.col("n") - 1e-6) & (rest * (1 + least) >= least * (F.col("_n") + F.col("n")) - 1e-6)
+    pairs = materialize(met.filter(earlier & able).select(F.col("_class_id").alias("class_id"), F.col("class_id").alias("other_id")).distinct(), "pairs")
+    left = pairs.join(sets, "class_id")
+    both = left.join(sets.select(F.col("class_id").alias("other_id"), F.col("found").alias("_other")), "other_id")
+    alike = F.size(F.array_intersect("found", "_other"))
+    value = alike / (F.size("found") + F.size("_other") - alike)
+    return both.select("class_id", "other_id", value.alias("likeness")).filter(F.col("likeness") >= least)
+
+
 def positions(docs: DataFrame) -> DataFrame:
     """(doc_id, _hash, _at): the place of each distinct document by descending id, from 0; ``docs`` has doc_id and _hash.
 

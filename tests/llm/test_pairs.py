@@ -147,6 +147,33 @@ def test_spotsigs_likeness_against_brute_force(spark, docs, block):
     assert len(same) == len(set(map(frozenset, same.values())))
 
 
+@pytest.mark.parametrize("least", [0.8, 0.5])
+@pytest.mark.parametrize("min_rows", [2, 10**6])
+def test_spotsigs_pairs_against_brute_force(spark, docs, no_docs, least, min_rows):
+    rng = random.Random(12)
+    texts = [r.text or "" for r in docs.collect()]
+    for _ in range(12):
+        base = [w for i in range(rng.choice([1, 3, 25, 80])) for w in ("the", f"a{rng.randrange(300)}", f"b{rng.randrange(300)}", "and", "hot", "spot")]
+        for _ in range(rng.choice([2, 9])):
+            copy = list(base)
+            for _ in range(rng.randrange(6)):
+                copy[rng.randrange(len(copy))] = f"z{rng.randrange(10**6)}"
+            texts += [" ".join(copy)] * rng.choice([1, 3])
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sets, members = spotsigs.classes(table)
+    of = dict(map(tuple, members.collect()))
+    found = {of[i]: brute_signatures(t) for i, t in enumerate(texts)}
+    assert len(of) == len(texts) and sets.count() == len(found)
+    want = {}
+    for a, x in found.items():
+        for b, y in found.items():
+            if (len(x), a) < (len(y), b) and len(x & y) >= least * len(x | y):
+                want[a, b] = len(x & y) / len(x | y)
+    got = spotsigs.near_pairs(sets, least, slices=7, min_rows=min_rows).collect()
+    assert len(got) == len(want) > 10 and {(r.class_id, r.other_id): round(r.likeness, 9) for r in got} == {k: round(v, 9) for k, v in want.items()}
+    assert spotsigs.near_pairs(spotsigs.classes(no_docs)[0]).count() == 0
+
+
 def test_spotsigs_signatures(spark):
     text = "The cat sat on the old mat, of the House"
     found = spark.createDataFrame([(text,)], "text string").select(
