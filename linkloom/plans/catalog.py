@@ -17,7 +17,7 @@ from linkloom.plans import rounds
 from linkloom.session import materialize, new_folder
 from linkloom.sources import derived as D
 from linkloom.sources.store import Store
-from linkloom.sources.tables import table
+from linkloom.sources.tables import table, table_stream
 from linkloom.streaming import pages as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -813,7 +813,7 @@ def reachable_pages(spark, sf):
 def _arriving(spark, sf):
     """Documents as a stream of responses."""
     schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
-    doc = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(sf)
+    doc = table_stream(spark, sf, "documents", schema)
     return doc.select(
         F.col("doc_id").alias("id"), F.concat(F.lit(f"https://{D.DOCS_HOST}/"), "source", F.lit("/"), F.col("doc_id").cast("string")).alias("url"),
         F.col("text").alias("html"), F.lit(200).alias("http_status_code"),

@@ -1,13 +1,14 @@
 """Whole rounds, the store, and streams that have to end where batches do."""
 
 import datetime as dt
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
 
 from linkloom import schemas
 from linkloom.operators import quality
-from linkloom.plans import rounds
+from linkloom.plans import catalog, rounds
 from linkloom.session import new_folder
 from linkloom.sources.keys import KeyIndex, Sizes
 from linkloom.sources.store import Store
@@ -231,3 +232,22 @@ def test_stream_rejects(spark):
     assert {r.id for r in store.rejects().collect()} == {9, 6}
     streams.ingest_batch(store, spark.createDataFrame([row(1, 1, 9)], schemas.FETCHED), 1, "s")
     assert rounds.load(store).page.count() == 2
+
+
+def document_tables(spark, tmp_path):
+    """The same documents as one file and as a folder of two."""
+    rows = [(i, f"<p>text {i % 5}</p>", ("en", "fr", "de")[i % 3], "web", 10) for i in range(30)]
+    documents = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    one, two = tmp_path / "one", tmp_path / "two"
+    documents.coalesce(1).write.parquet(str(tmp_path / "written"))
+    one.mkdir()
+    shutil.copy(next((tmp_path / "written").glob("part-*")), one / "documents.parquet")
+    documents.repartition(2).write.parquet(str(two / "documents.parquet"))
+    return str(one), str(two)
+
+
+def test_first_seen_of_tables_in_folders(spark, tmp_path):
+    for sf in document_tables(spark, tmp_path):
+        assert catalog.stream_first_seen(spark, sf).distinct().count() == catalog.stream_first_seen(spark, sf).count() == 5
+        pages = catalog.stream_ingest(spark, sf).groupBy("page_type_code").count()
+        assert {r.page_type_code: r["count"] for r in pages.collect()} == {"HTML": 5, "DUPLICATE": 15, "BINARY": 10}
