@@ -251,3 +251,8 @@ def test_first_seen_of_tables_in_folders(spark, tmp_path):
         assert catalog.stream_first_seen(spark, sf).distinct().count() == catalog.stream_first_seen(spark, sf).count() == 5
         pages = catalog.stream_ingest(spark, sf).groupBy("page_type_code").count()
         assert {r.page_type_code: r["count"] for r in pages.collect()} == {"HTML": 5, "DUPLICATE": 15, "BINARY": 10}
+
+
+def test_counts_of_tables_in_folders(spark, tmp_path):
+    for sf in document_tables(spark, tmp_path):
+        assert {r.page_type_code: r.n for r in catalog.stream_html_count(spark, sf).collect()} == {"HTML": 20, "BINARY": 10}
