@@ -31,12 +31,14 @@ def image_append(image: DataFrame, new: DataFrame, order: str) -> tuple[DataFram
 
     Undecodable data, missing data, or a time that cannot be read is an error; no time is allowed.
     """
-    # Characters outside the base64 alphabet are skipped, wrong padding is not.
-    alphabet = F.regexp_replace("data", "[^A-Za-z0-9+/=]", "")
-    decoded = new.withColumns({
-        "_data": F.try_to_binary(alphabet, F.lit("base64")),
-        "_time": F.expr("try_cast(accessed_time AS timestamp_ntz)"),
-    })
+    # Characters outside the base64 alphabet are skipped, wrong padding is not. Only data that cannot be read as they are, line
+    # breaks included, are searched for such characters.
+    alphabet = F.regexp_replace("data", "[^A-Za-z0-9+/=]*+([A-Za-z0-9+/=]*+)", "$1")
+    data = F.coalesce(*[F.try_to_binary(text, F.lit("base64")) for text in (F.col("data"), alphabet)])
+    # Exploding a one-element array keeps filters on ``_data`` above it, so that data are decoded once.
+    decoded = new.select("*", F.explode(F.array(data)).alias("_data")).withColumn(
+        "_time", F.expr("try_cast(accessed_time AS timestamp_ntz)")
+    )
     good = F.col("_data").isNotNull() & (F.col("accessed_time").isNull() | F.col("_time").isNotNull())
     rows = decoded.filter(good).withColumns({"data": F.col("_data"), "accessed_time": F.col("_time")})
     return _numbered(rows, image, order), decoded.filter(~good).drop("_data", "_time")

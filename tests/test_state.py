@@ -227,6 +227,17 @@ def test_appends(spark):
     assert tuples(appends.page_data_append(schemas.empty(spark, "page_data"), data, "k"), "id", "page_id", "data_type_code", "data") == [(1, 5, "PDF", None)]
 
 
+def test_image_data_is_decoded_once(spark):
+    """Line breaks and other characters are skipped; the rows and the count of a bucket each decode data once."""
+    new = spark.createDataFrame(
+        [(1, "f1", "image", "aG\r\nk=", None), (1, "f2", "image", "-a!G*k\u00e9=", None), (1, "f3", "image", "a\r\n", None), (1, "f4", "image", "aG= =", None)],
+        "page_id long, filename string, content_type string, data string, accessed_time string")
+    rows, rejects = appends.image_append(schemas.empty(spark, "image"), new, "filename")
+    assert [(f, bytes(d)) for f, d in tuples(rows, "filename", "data")] == [("f1", b"hi"), ("f2", b"hi"), ("f4", b"h")]
+    assert tuples(rejects, "filename") == [("f3",)]
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace(data") == 2
+
+
 @pytest.mark.parametrize("kind,body,ok", [
     ("site", '{"domain": "a"}', True), ("site", '{"domain": "a", "robots_content": null}', True), ("site", '{"domain": null}', False),
     ("site", '{"domain": 1}', False), ("site", "{}", False), ("site", "[1]", False), ("site", '{"domain": "a"', False), ("site", None, False),
