@@ -15,7 +15,10 @@ def link_attributes(pages: DataFrame, html: str = "html_content") -> DataFrame:
     Each value comes once per page and kind. The page text itself does not travel on.
     """
     keep = [name for name in pages.columns if name != html]
-    return with_link_values(pages, html, "_found").select(*keep, F.inline("_found"))
+    # Exploding a one-element array keeps the check for empty arrays, which comes with ``inline``, from being pushed down through
+    # all of the above.
+    found = with_link_values(pages, html, "_found").select(*keep, F.explode(F.array("_found")).alias("_found"))
+    return found.select(*keep, F.inline("_found"))
 
 
 def with_link_values(pages: DataFrame, html: str, out: str) -> DataFrame:

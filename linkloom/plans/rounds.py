@@ -303,7 +303,8 @@ def texts(responses: DataFrame, settled: DataFrame) -> DataFrame:
     """(id, text_no, html_content) of the responses with a text. Those of duplicates, which no page refers to, are left out where
     their numbers fit a broadcast, and else until the store is compacted: texts are not shuffled for that."""
     texts = responses.filter(F.col("html_content").isNotNull()).select("id", "text_no", "html_content")
-    unused = texts.select("text_no").join(settled.select("text_no").filter("text_no IS NOT NULL"), "text_no", "left_anti")
+    hashed = responses.filter(F.col("content_hash").isNotNull())  # what has a text has a hash: no text is read for the numbers
+    unused = hashed.select("text_no").join(settled.select("text_no").filter("text_no IS NOT NULL"), "text_no", "left_anti")
     unused = materialize(unused, "unused-texts")
     return texts.join(F.broadcast(unused), "text_no", "left_anti") if fits_broadcast(unused) else texts
 

@@ -146,3 +146,14 @@ def test_plans_stay_short(spark):
     cleaned = pages.select("url", H.clean_html(F.col("html")).alias("html_content"))
     for df, most in ((cleaned, 60_000), (L.extract_links(cleaned), 130_000)):
         assert len(df._jdf.queryExecution().optimizedPlan().toString()) < most
+
+
+def test_plain_text_is_searched_for_no_pattern(spark):
+    """Patterns come behind a search for their first character, which most of the time is all that plain text pays for."""
+    texts = ["plain", "a > b", "", None, "<b>x", "&amp &lt;", "<A HREF='u'>", "&eacute;", "a < b & c"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = df.select(H.clean_html(F.col("t")).alias("c"), H.link_tags(F.col("t")).alias("tags"), "i").orderBy("i").collect()
+    assert [r.c for r in got] == ["plain", "a > b", "", None, "<b>\nx", "&amp; &lt;", '<a href="u">', "\u00e9", "a < b & c"]
+    assert [r.tags for r in got] == [[], [], [], None, [], [], ["<A HREF='u'>"], [], []]
+    plan = df.select(H.clean_html(F.col("t")), H.link_tags(F.col("t")))._jdf.queryExecution().analyzed().toString().lower()
+    assert plan.count("contains(") > 4 and "&) and rlike" in plan

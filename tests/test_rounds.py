@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from linkloom import schemas
 from linkloom.operators import quality
 from linkloom.plans import catalog, rounds
-from linkloom.session import new_folder
+from linkloom.session import materialize, new_folder
 from linkloom.sources.keys import KeyIndex, Sizes
 from linkloom.sources.store import Store
 from linkloom.sources.tables import page_stream
@@ -256,3 +256,13 @@ def test_first_seen_of_tables_in_folders(spark, tmp_path):
 def test_counts_of_tables_in_folders(spark, tmp_path):
     for sf in document_tables(spark, tmp_path):
         assert {r.page_type_code: r.n for r in catalog.stream_html_count(spark, sf).collect()} == {"HTML": 20, "BINARY": 10}
+
+
+def test_unused_texts_are_found_without_reading_texts(spark, monkeypatch):
+    rows = [(1, 1, "a", "h"), (2, 2, None, None), (3, 3, "c", "k")]
+    responses = materialize(spark.createDataFrame(rows, "id bigint, text_no bigint, html_content string, content_hash string"), "responses")
+    settled = spark.createDataFrame([(1, 1), (2, None), (3, None)], "id bigint, text_no bigint")
+    read = {}
+    monkeypatch.setattr(rounds, "materialize", lambda df, name: read.update({name: df}) or materialize(df, name))
+    assert [tuple(r) for r in rounds.texts(responses, settled).collect()] == [(1, 1, "a")]
+    assert "html_content" not in read["unused-texts"]._jdf.queryExecution().sparkPlan().toString()
