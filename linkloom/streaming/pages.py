@@ -152,21 +152,29 @@ def _seen_point(index: KeyIndex, number: int) -> Point | None:
 
 
 def type_counts(arriving: DataFrame) -> DataFrame:
-    """(page_type_code, n) so far, before duplicates are marked."""
+    """(page_type_code, n), before duplicates are marked."""
     typed = rounds.process(_responses(arriving)).select("page_type_code")
     return typed.groupBy("page_type_code").agg(F.count("*").alias("n"))
 
 
 def stream_html_count(arriving: DataFrame, out: str, checkpoint: str | None = None) -> StreamingQuery:
-    """Running counts by page state, as one small table ``batch=N`` in ``out`` per micro-batch."""
+    """Running counts by page state, as one small table ``batch=N`` in ``out`` per micro-batch.
 
-    def write(counts: DataFrame, number: int) -> None:
-        counts.coalesce(1).write.mode("overwrite").parquet(f"{out}/batch={number}")
-
-    writer = type_counts(arriving).writeStream.outputMode("complete").foreachBatch(write)
+    The stream keeps no state: a micro-batch adds its counts to those of the one before, which are read from ``out``. A
+    replayed batch overwrites what it wrote.
+    """
+    writer = arriving.writeStream.foreachBatch(lambda batch, number: html_count_batch(batch, number, out))
     return _run(writer, checkpoint or new_folder(arriving.sparkSession, "stream-html-count"))
 
 
+def html_count_batch(batch: DataFrame, number: int, out: str) -> None:
+    counts = type_counts(batch)
+    if number:
+        before = batch.sparkSession.read.schema("page_type_code string, n bigint").parquet(f"{out}/batch={number - 1}")
+        counts = counts.unionByName(before).groupBy("page_type_code").agg(F.sum("n").alias("n"))
+    counts.coalesce(1).write.mode("overwrite").parquet(f"{out}/batch={number}")
+
+
 def stream_stored_count(store: Store, out: str, checkpoint: str | None = None) -> StreamingQuery:
     """Running counts of stored pages by state, duplicates told apart, as one small table ``batch=N`` in ``out`` per micro-batch.
 

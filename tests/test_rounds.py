@@ -2,6 +2,7 @@
 
 import datetime as dt
 import shutil
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -266,3 +267,23 @@ def test_unused_texts_are_found_without_reading_texts(spark, monkeypatch):
     monkeypatch.setattr(rounds, "materialize", lambda df, name: read.update({name: df}) or materialize(df, name))
     assert [tuple(r) for r in rounds.texts(responses, settled).collect()] == [(1, 1, "a")]
     assert "html_content" not in read["unused-texts"]._jdf.queryExecution().sparkPlan().toString()
+
+
+def test_counts_run_on_without_state(spark):
+    folder, checkpoint, out = page_files(spark, 2), new_folder(spark, "checkpoint"), new_folder(spark, "counts")
+    streams.stream_html_count(page_stream(spark, folder, 1), out, checkpoint).awaitTermination()
+    more = [(i, f"https://h.example/{i}", "<p>more</p>", 200, "text/html", "ip", T0) for i in range(60, 70)]
+    more = spark.createDataFrame(more, schemas.FETCHED)
+    more.coalesce(1).write.mode("append").parquet(folder)
+    streams.stream_html_count(page_stream(spark, folder, 1), out, checkpoint).awaitTermination()
+
+    def counted():
+        rows = spark.read.schema("page_type_code string, n bigint, batch int").parquet(out).collect()
+        assert len(rows) == len({(r.batch, r.page_type_code) for r in rows})
+        return {(r.batch, r.page_type_code): r.n for r in rows if r.batch}
+
+    assert counted() == {(1, "HTML"): 48, (1, "BINARY"): 12, (2, "HTML"): 58, (2, "BINARY"): 12}
+    streams.html_count_batch(more, 2, out)  # replayed
+    assert counted() == {(1, "HTML"): 48, (1, "BINARY"): 12, (2, "HTML"): 58, (2, "BINARY"): 12}
+    assert {r.page_type_code: r.n for r in streams.latest_counts(spark, out).collect()} == {"HTML": 58, "BINARY": 12}
+    assert not (Path(checkpoint) / "state").exists()
